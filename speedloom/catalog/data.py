@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,28 +46,37 @@ def featured_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = featured_slots(spark, sf_dir)
-    return cleaning.drop_outliers(slots, cleaning.iqr_bounds(slots))
+    base = slot_means(spark, sf_dir)
+    # Two numbers, fetched like any fitted parameter. The rule is defined on approximate
+    # quartiles: one aggregate, with an error below one row in ten thousand.
+    fences = cleaning.iqr_bounds(base, exact=False).first()
+    return cleaning.drop_outliers(features.with_hourly_spread(base), fences)
 
 
 def state_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(states.band_states(clean_slots(spark, sf_dir), STATE_CUTS), "states")
+    return states.band_states(clean_slots(spark, sf_dir), STATE_CUTS)
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def samples_and_parameters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Row]:
+    """Labelled, split and weighted slots, with class weight and moments of the train rows."""
     slots = state_slots(spark, sf_dir)
-    rows = horizon.label_by_rows(slots, states.congested_state(slots),
-                                 horizon.lead_steps(HORIZON_MIN, FREQ_MIN))
-    return horizon.with_class_weight(horizon.with_test_flag(rows))
+    rows = horizon.with_test_flag(horizon.label_by_rows(
+        slots, states.congested_state(slots).first(), horizon.lead_steps(HORIZON_MIN, FREQ_MIN)))
+    fitted = horizon.train_rows(rows).agg(
+        horizon.positive_weight().alias("pos_weight"), *scoring.moment_aggregates()).first()
+    return horizon.with_class_weight(rows, fitted), fitted
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return samples_and_parameters(spark, sf_dir)[0]
 
 
-def moments(samples_df: DataFrame) -> DataFrame:
-    return scoring.feature_moments(horizon.train_rows(samples_df))
+def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.standardize(*samples_and_parameters(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = samples(spark, sf_dir)
-    return scoring.logistic_score(scoring.standardize(rows, moments(rows)))
+    return scoring.logistic_score(standardized(spark, sf_dir))
 
 
 def raw_requests(events: DataFrame) -> DataFrame:

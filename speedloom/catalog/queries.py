@@ -200,9 +200,7 @@ def split_flag(spark, sf_dir):
 
 @query
 def standardized_features(spark, sf_dir):
-    rows = d.samples(spark, sf_dir)
-    return scoring.standardize(rows, d.moments(rows)).select(
-        "timestamp", *[f"z_{c}" for c in fv.FEATURES])
+    return d.standardized(spark, sf_dir).select("timestamp", *[f"z_{c}" for c in fv.FEATURES])
 
 
 @query
@@ -214,7 +212,7 @@ def score_fixed_logistic(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     """Importance of the fixed coefficients, with the spread of each feature in the data."""
-    m = d.moments(d.samples(spark, sf_dir))
+    m = scoring.feature_moments(horizon.train_rows(d.samples(spark, sf_dir)))
     spread = m.unpivot([], [f"{c}_std" for c in fv.FEATURES], "name", "feature_std").select(
         F.regexp_replace("name", "_std$", "").alias("feature"), "feature_std")
     return scoring.feature_importance(spark, fv.PUBLISHED_COEFFICIENTS).join(spread, "feature")
@@ -427,11 +425,12 @@ def request_coercion(spark, sf_dir):
 
 def _prepared(spark, sf_dir, source=None):
     """Requests completed from the spread of the hours that the scored slots know."""
-    rows = stage(d.scored(spark, sf_dir), "scored")
+    samples, fitted = d.samples_and_parameters(spark, sf_dir)
     # The hours after 20 are taken out of the table, so that its mean comes into play.
-    hourly = stage(reports.hourly_summary(rows).where(F.col("hour") < 20), "hourly")
+    hourly = stage(samples.where(F.col("hour") < 20).groupBy("hour").agg(
+        F.stddev_samp("avg_speed").alias("std_speed_hour")), "hourly")
     source = d.table(spark, sf_dir, "events") if source is None else source
-    return rows, requests.prepare_requests(d.raw_requests(source), hourly, d.now())
+    return fitted, requests.prepare_requests(d.raw_requests(source), hourly, d.now())
 
 
 @query
@@ -446,8 +445,8 @@ def request_errors(spark, sf_dir):
         "event_id", F.array_join("errors", "|").alias("errors"))
 
 
-def _response(rows, prepared):
-    z = scoring.standardize(requests.accepted(prepared), d.moments(rows))
+def _response(fitted, prepared):
+    z = scoring.standardize(requests.accepted(prepared), fitted)
     scored = scoring.logistic_score(z).withColumnRenamed("prediction_congested", "prediction")
     return requests.response(scored.drop(*[f"z_{c}" for c in fv.FEATURES]))
 
@@ -515,8 +514,8 @@ def _drained(df, name, mode="append"):
 
 @query
 def stream_scores(spark, sf_dir):
-    rows, prepared = _prepared(spark, sf_dir, _event_stream(spark, sf_dir))
-    return _drained(_flat_response(_response(rows, prepared)), "stream-scores")
+    fitted, prepared = _prepared(spark, sf_dir, _event_stream(spark, sf_dir))
+    return _drained(_flat_response(_response(fitted, prepared)), "stream-scores")
 
 
 @query

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
+from speedloom.functions.params import parameters
 from speedloom.functions.readings import is_finite, slot_start
 from speedloom.operators.ordering import exact_quantiles
 
@@ -73,19 +74,20 @@ def iqr_bounds(df: DataFrame, column: str = "avg_speed", factor: float = fv.IQR_
     )
 
 
-def flag_outliers(df: DataFrame, bounds: DataFrame, column: str = "avg_speed",
+def flag_outliers(df: DataFrame, bounds: DataFrame | Row, column: str = "avg_speed",
                   low: float = fv.HARD_LOW_EXCLUSIVE,
                   high: float = fv.HARD_HIGH_EXCLUSIVE) -> DataFrame:
-    """Add ``is_outlier``: outside the fences or the hard limits. No fences, no outliers."""
-    # One row by construction, so a scalar subquery and not a join.
-    fence = bounds.select(F.struct("lower_bound", "upper_bound").alias("fence")).scalar()
+    """Add ``is_outlier``: outside the fences or the hard limits. No fences, no outliers.
+
+    ``bounds`` is the frame of ``iqr_bounds`` or its one row, already fetched.
+    """
+    lower, upper = parameters(bounds, "lower_bound", "upper_bound").values()
     v = F.col(column)
-    inside = v.between(fence["lower_bound"], fence["upper_bound"]) & (v > low) & (v < high)
-    has_fence = fence["lower_bound"].isNotNull()
-    return df.withColumn("is_outlier", F.coalesce(has_fence & ~inside, F.lit(False)))
+    inside = v.between(lower, upper) & (v > low) & (v < high)
+    return df.withColumn("is_outlier", F.coalesce(lower.isNotNull() & ~inside, F.lit(False)))
 
 
-def drop_outliers(df: DataFrame, bounds: DataFrame, column: str = "avg_speed",
+def drop_outliers(df: DataFrame, bounds: DataFrame | Row, column: str = "avg_speed",
                   low: float = fv.HARD_LOW_EXCLUSIVE,
                   high: float = fv.HARD_HIGH_EXCLUSIVE) -> DataFrame:
     return flag_outliers(df, bounds, column, low, high).where(~F.col("is_outlier")).drop("is_outlier")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from speedloom.operators.ordering import running_totals
+from speedloom.operators.ordering import bucket_edges, running_totals
 
 
 def evaluation_rows(df: DataFrame) -> DataFrame:
@@ -52,12 +52,11 @@ def label_metrics(df: DataFrame, label: str = "label",
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "prob_congestion") -> DataFrame:
     """One row per distinct score: its positives and negatives, running and total counts."""
-    counts = (
-        df.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    )
-    return running_totals(counts, "score", {"pos": "tp", "neg": "fp"},
+    rows = df.select(F.col(score).cast("double").alias("score"), F.col(label).alias("label")).where(
+        F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isNotNull())
+    counts = rows.groupBy("score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+    return running_totals(counts, "score", {"pos": "tp", "neg": "fp"}, bucket_edges(rows, "score"),
                           totals={"pos": "n_pos", "neg": "n_neg"}, descending=True)
 
 

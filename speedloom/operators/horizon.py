@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
+from speedloom.functions.params import parameters
 
 
 def lead_steps(horizon_min: int, freq_min: int) -> int:
     return max(1, horizon_min // max(1, freq_min))
 
 
-def _with_label(df: DataFrame, congested: Column) -> DataFrame:
-    return df.withColumn("label", F.when(F.col("prediction_next") == congested, 1).otherwise(0))
+def _with_label(df: DataFrame, congested: DataFrame | Row) -> DataFrame:
+    state = parameters(congested, "congested")["congested"]
+    return df.withColumn("label", F.when(F.col("prediction_next") == state, 1).otherwise(0))
 
 
-def label_by_rows(slots: DataFrame, congested: DataFrame, steps: int,
+def label_by_rows(slots: DataFrame, congested: DataFrame | Row, steps: int,
                   needed: tuple[str, ...] = fv.FEATURES) -> DataFrame:
     """State ``steps`` rows later on the same day, and whether it is the congested one.
 
@@ -26,15 +28,15 @@ def label_by_rows(slots: DataFrame, congested: DataFrame, steps: int,
     day = Window.partitionBy(F.to_date("timestamp")).orderBy("timestamp")
     labelled = slots.withColumn("prediction_next", F.lead("prediction", steps).over(day)).dropna(
         subset=["prediction_next", "prediction", "timestamp", *needed])
-    return _with_label(labelled, congested.scalar())
+    return _with_label(labelled, congested)
 
 
-def label_by_time(slots: DataFrame, congested: DataFrame, horizon_min: int) -> DataFrame:
+def label_by_time(slots: DataFrame, congested: DataFrame | Row, horizon_min: int) -> DataFrame:
     """State exactly ``horizon_min`` later, across gaps and midnight; none, no row."""
     later = slots.select(
         (F.col("timestamp") - F.expr(f"INTERVAL '{int(horizon_min)}' MINUTE")).alias("timestamp"),
         F.col("prediction").alias("prediction_next"))
-    return _with_label(slots.join(later, "timestamp"), congested.scalar())
+    return _with_label(slots.join(later, "timestamp"), congested)
 
 
 def split_bucket(key: Column, buckets: int = 10) -> Column:
@@ -67,12 +69,18 @@ def test_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_test"))
 
 
+def positive_weight() -> Column:
+    """Aggregate: negatives per positive; null unless both classes occur."""
+    pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
+    return F.when((pos > 0) & (neg > 0), neg / pos)
+
+
 def class_balance(df: DataFrame) -> DataFrame:
     """One row: labelled samples, positives, negatives, split sizes, positive weight."""
     pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
     aggs = [
         F.count("*").alias("samples"), pos.alias("n_pos"), neg.alias("n_neg"),
-        F.when((pos > 0) & (neg > 0), neg / pos).alias("pos_weight"),
+        positive_weight().alias("pos_weight"),
     ]
     if "is_test" in df.columns:
         aggs += [F.count_if(~F.col("is_test")).alias("train_rows"),
@@ -80,8 +88,12 @@ def class_balance(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
-def with_class_weight(df: DataFrame, train_only: bool = True) -> DataFrame:
-    """Add ``weight``: negatives 1, positives n_neg / n_pos (counted on train rows)."""
-    base = train_rows(df) if train_only and "is_test" in df.columns else df
-    pos_weight = class_balance(base).select("pos_weight").scalar()
+def with_class_weight(df: DataFrame, balance: DataFrame | Row | None = None) -> DataFrame:
+    """Add ``weight``: negatives 1, positives n_neg / n_pos.
+
+    ``balance`` holds ``pos_weight``; by default it is counted on the train rows.
+    """
+    if balance is None:
+        balance = class_balance(train_rows(df) if "is_test" in df.columns else df)
+    pos_weight = parameters(balance, "pos_weight")["pos_weight"]
     return df.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(F.lit(1.0)))

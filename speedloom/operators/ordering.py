@@ -16,35 +16,44 @@ from speedloom.functions.readings import is_finite
 _BUCKETS_PER_TASK = 4
 
 
-def value_buckets(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``, a whole number that grows with ``value``."""
+def bucket_edges(rows: DataFrame, value: str, buckets: int | None = None) -> list[float]:
+    """Values that cut ``rows`` into about equal buckets (one pass, no shuffle).
+
+    A value that fills many rows collapses into one edge, so no bucket holds more
+    distinct values than an equal share of the rows.
+    """
     if buckets is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = _BUCKETS_PER_TASK * partitions
     probs = [i / buckets for i in range(1, buckets)]
-    # The edges are plan constants: every use of the buckets sees the same ones, even
-    # when a lost task is run again.
-    edges = df.approxQuantile(value, probs, 1.0 / (4 * buckets)) if probs else []
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
-    if len(splits) == 2:
+    return sorted(set(rows.approxQuantile(value, probs, 1.0 / (4 * buckets)))) if probs else []
+
+
+def with_bucket(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
+    """Add ``_bucket``, a whole number that grows with ``value``.
+
+    The edges are plan constants: every use of the buckets sees the same ones, even
+    when a lost task is run again.
+    """
+    if not edges:
         return df.withColumn("_bucket", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_bucket",
-                      handleInvalid="error").transform(df)
+    return Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol=value,
+                      outputCol="_bucket", handleInvalid="error").transform(df)
 
 
-def running_totals(df: DataFrame, value: str, sums: dict[str, str], by: tuple[str, ...] = (),
-                   totals: dict[str, str] | None = None, descending: bool = False,
-                   buckets: int | None = None) -> DataFrame:
+def running_totals(df: DataFrame, value: str, sums: dict[str, str], edges: list[float],
+                   by: tuple[str, ...] = (), totals: dict[str, str] | None = None,
+                   descending: bool = False) -> DataFrame:
     """Cumulative sums of columns in ``value`` order within ``by`` groups.
 
     ``df`` holds one row per (``by``, ``value``) with non-null values. ``sums`` maps an
     input column to the name of its running total (this value included) and ``totals``
-    an input column to the name of its group total.
+    an input column to the name of its group total. ``edges`` come from ``bucket_edges``.
     """
     totals = totals or {}
     # A struct key lets null group values match each other in the join.
     group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
-    bucketed = value_buckets(df, value, buckets).withColumn("_group", group)
+    bucketed = with_bucket(df, value, edges).withColumn("_group", group)
 
     def ordered(name: str):
         return F.col(name).desc() if descending else F.col(name).asc()
@@ -81,12 +90,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     reaches it; with it, neighbouring values are blended linearly. Null, NaN and
     infinite values do not count. Also returns ``n``, the number of values.
     """
-    counts = (
-        df.where(is_finite(F.col(value)))
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count("*").alias("_n"))
-    )
-    ranked = running_totals(counts, "_value", {"_n": "_upto"}, by, totals={"_n": "n"})
+    rows = df.where(is_finite(F.col(value))).select(*by, F.col(value).cast("double").alias("_value"))
+    counts = rows.groupBy(*by, "_value").agg(F.count("*").alias("_n"))
+    ranked = running_totals(counts, "_value", {"_n": "_upto"}, bucket_edges(rows, "_value"), by,
+                            totals={"_n": "n"})
 
     def value_at(rank):
         return F.min(F.when(F.col("_upto") >= rank, F.col("_value")))

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
+from speedloom.functions.params import parameters
+
+
+def moment_aggregates(columns: tuple[str, ...] = fv.FEATURES) -> list[Column]:
+    """Mean and sample standard deviation of every feature."""
+    return [a for c in columns for a in (
+        F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"))]
 
 
 def feature_moments(df: DataFrame, columns: tuple[str, ...] = fv.FEATURES) -> DataFrame:
-    """One row: mean and sample standard deviation of every feature."""
-    return df.agg(*[a for c in columns for a in (
-        F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"))])
+    return df.agg(*moment_aggregates(columns))
 
 
-def standardize(df: DataFrame, moments: DataFrame,
+def standardize(df: DataFrame, moments: DataFrame | Row,
                 columns: tuple[str, ...] = fv.FEATURES) -> DataFrame:
     """Add ``z_<feature>``; a feature without spread becomes 0, as a scaler does."""
-    names = [f"{c}_{m}" for c in columns for m in ("mean", "std")]
-    m = moments.select(F.struct(*names).alias("m")).scalar()
+    m = parameters(moments, *[f"{c}_{m}" for c in columns for m in ("mean", "std")])
     return df.withColumns({
         f"z_{c}": F.when(m[f"{c}_std"] > 0, (F.col(c) - m[f"{c}_mean"]) / m[f"{c}_std"])
         .otherwise(F.lit(0.0))

@@ -64,7 +64,7 @@ def filled_wide(cells: DataFrame, slots: DataFrame, sensors: list[str]) -> DataF
 def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
         has_header: bool = True, delimiter: str = ",", kmin: int = 2, kmax: int = 6,
         horizon_min: int = 15, freq_min: int = 5, standardize: bool = False,
-        cleaned_csv: bool = True) -> JobResult:
+        exact_quartiles: bool = False, cleaned_csv: bool = True) -> JobResult:
     """Run all steps over a wide sensor CSV and write every table under ``out``."""
     result = JobResult()
     sink = _Output(spark, out, result)
@@ -83,7 +83,7 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     base = sink.parquet(features.with_calendar(features.slot_average(cells)), "slot_means")
     spread = sink.parquet(features.hourly_spread(base), "hourly_spread")
     featured = features.with_hourly_spread(base, spread)
-    bounds = sink.parquet(cleaning.iqr_bounds(featured), "outlier_bounds")
+    bounds = sink.parquet(cleaning.iqr_bounds(base, exact=exact_quartiles), "outlier_bounds").first()
     flagged = cleaning.flag_outliers(featured, bounds)
     result.metrics.update(cleaning.outlier_counts(flagged).first().asDict())
     slots = sink.parquet(
@@ -105,7 +105,7 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     labelled = states.label_states(clustered, summary)
 
     # 3. Congestion model.
-    rows = horizon.label_by_rows(labelled, states.congested_state(clustered),
+    rows = horizon.label_by_rows(labelled, states.congested_state(clustered).first(),
                                  horizon.lead_steps(horizon_min, freq_min))
     samples = sink.parquet(
         horizon.with_class_weight(horizon.with_test_flag(rows)), f"samples_{horizon_min}m")
