@@ -82,8 +82,8 @@ def kde_grid(labelled: DataFrame, value: str = "avg_speed", by: str = "cluster_l
     # Bins of one group travel as one array: a fixed number of cells, whatever the input.
     groups = bins.groupBy(by).agg(
         F.sum("_w").alias("n"),
-        F.sqrt((F.sum("_q") - F.sum("_s") * F.sum("_s") / F.sum("_w"))
-               / (F.sum("_w") - 1)).alias("_sd"),
+        F.sqrt(F.greatest(F.lit(0.0), F.try_divide(
+            F.sum("_q") - F.sum("_s") * F.sum("_s") / F.sum("_w"), F.sum("_w") - 1))).alias("_sd"),
         F.collect_list(F.struct((F.col("_s") / F.col("_w")).alias("x"),
                                 F.col("_w").alias("w"))).alias("_bins"),
     ).where((F.col("n") > 1) & (F.col("_sd") > 0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
@@ -100,7 +100,7 @@ def outlier_counts(flagged: DataFrame) -> DataFrame:
         F.count("*").alias("rows_before"),
         F.count_if(~F.col("is_outlier")).alias("rows_after"),
         removed.alias("rows_removed"),
-        F.round(removed / F.count("*") * 100, 2).alias("removed_pct"),
+        F.round(F.try_divide(removed, F.count("*")) * 100, 2).alias("removed_pct"),
     )
 
 
@@ -109,12 +109,6 @@ def speed_stats(df: DataFrame, column: str = "avg_speed") -> DataFrame:
                   F.max(column).alias("max_speed"))
 
 
-def observed_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows as they pass through whatever action runs later; no job of its own."""
-    watch = Observation(name)
-    return df.observe(watch, F.count(F.lit(1)).alias("rows")), watch
-
-
 def fill_wide(wide: DataFrame, sensors: list[str]) -> DataFrame:
     """Mean-fill a wide frame with one aggregate for all columns (for narrow frames)."""
     row = wide.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in sensors]).first()

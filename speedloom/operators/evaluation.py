@@ -99,4 +99,4 @@ def run_summary(df: DataFrame) -> DataFrame:
     positive = F.count_if(F.col("prediction_congested") == 1)
     return df.agg(
         F.count("*").alias("total_rows"), positive.alias("positive_cases"),
-        (positive / F.count("*")).alias("positive_share"))
+        F.try_divide(positive, F.count("*")).alias("positive_share"))

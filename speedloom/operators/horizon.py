@@ -72,7 +72,7 @@ def test_rows(df: DataFrame) -> DataFrame:
 def positive_weight() -> Column:
     """Aggregate: negatives per positive; null unless both classes occur."""
     pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    return F.when((pos > 0) & (neg > 0), neg / pos)
+    return F.when(neg > 0, F.try_divide(neg, pos))
 
 
 def class_balance(df: DataFrame) -> DataFrame:

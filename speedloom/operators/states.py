@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -39,7 +41,8 @@ def kmeans(k: int, features: str = "features") -> KMeans:
 
 
 def fit_states(slots: DataFrame, kmin: int = 2, kmax: int = 6,
-               columns: tuple[str, ...] = fv.FEATURES, standardize: bool = False) -> StateModel | None:
+               columns: tuple[str, ...] = fv.FEATURES, standardize: bool = False,
+               parallelism: int = 4) -> StateModel | None:
     """Fit k-means for each k and keep the best silhouette; None without usable rows."""
     usable = finite_speeds(slots)
     stages = [assembler(columns, "features_raw" if standardize else "features")]
@@ -55,20 +58,23 @@ def fit_states(slots: DataFrame, kmin: int = 2, kmax: int = 6,
             return None
         evaluator = ClusteringEvaluator(featuresCol="features", metricName="silhouette",
                                         distanceMeasure="squaredEuclidean")
-        rows, best = [], None
-        for k in range(kmin, kmax + 1):
+
+        def try_k(k: int) -> tuple[int, float, KMeansModel]:
             fitted = kmeans(k).fit(data)
-            found = fitted.summary.clusterSizes
             # The silhouette needs at least two groups that hold rows.
-            score = (float(evaluator.evaluate(fitted.transform(data)))
-                     if sum(size > 0 for size in found) > 1 else -1.0)
-            rows.append((k, score))
-            if best is None or score > best[1]:
-                best = (fitted, score, k)
+            several = sum(size > 0 for size in fitted.summary.clusterSizes) > 1
+            return k, float(evaluator.evaluate(fitted.transform(data))) if several else -1.0, fitted
+
+        # The fits do not depend on each other: their jobs share the executors.
+        with ThreadPool(min(parallelism, kmax - kmin + 1)) as pool:
+            tried = pool.map(inheritable_thread_target(slots.sparkSession)(try_k),
+                             range(kmin, kmax + 1))
     finally:
         data.unpersist()
-    scores = slots.sparkSession.createDataFrame(rows, "k long, silhouette double")
-    return StateModel(PipelineModel(stages=[*stages, best[0]]), best[2], scores)
+    k, _, best = max(tried, key=lambda t: (t[1], -t[0]))
+    scores = slots.sparkSession.createDataFrame(
+        [(k, score) for k, score, _ in tried], "k long, silhouette double")
+    return StateModel(PipelineModel(stages=[*stages, best]), k, scores)
 
 
 def assign_states(slots: DataFrame, states: StateModel) -> DataFrame:

@@ -46,7 +46,7 @@ def guard_reason(balance: dict) -> str | None:
     return None
 
 
-def train(samples: DataFrame, parallelism: int = 4) -> Training:
+def train(samples: DataFrame, parallelism: int = 8) -> Training:
     """Grid search by cross-validation on the train rows of ``samples``.
 
     ``samples`` has the features, ``label``, ``weight`` and ``is_test``. Vectors are

@@ -43,7 +43,7 @@ def base_cube(scored: DataFrame) -> DataFrame:
 
 def _measures() -> list[Column]:
     n, sv = F.sum("n"), F.sum("sv")
-    variance = (F.sum("svv") - sv * sv / n) / (n - 1)
+    variance = F.try_divide(F.sum("svv") - sv * sv / n, n - 1)
     return [
         n.alias("count"), (sv / n + F.lit(_SHIFT)).alias("avg_speed"),
         F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_speed"),
@@ -104,7 +104,8 @@ def report_tables(cube: DataFrame) -> dict[str, DataFrame]:
     }
     n = F.sum("n")
     out["overview"] = cube.agg(
-        n.alias("total_rows"), (F.sum("sv") / n + F.lit(_SHIFT)).alias("avg_speed"),
+        F.coalesce(n, F.lit(0)).alias("total_rows"),
+        (F.sum("sv") / n + F.lit(_SHIFT)).alias("avg_speed"),
         (F.sum("sp") / n).alias("avg_prob_congestion"),
         (F.sum(F.col("n") * F.col("prediction_congested")) / n).alias("congestion_ratio"),
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))

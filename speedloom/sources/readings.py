@@ -87,3 +87,9 @@ def write_readings(readings: DataFrame, path: str) -> None:
         .sortWithinPartitions("date", "ts", "sensor")
         .write.mode("overwrite").partitionBy("date").parquet(path)
     )
+
+
+def read_readings(spark: SparkSession, path: str) -> DataFrame:
+    """Stored readings; filters on ``date`` prune whole folders."""
+    schema = "ts timestamp, sensor string, speed double, date date"
+    return spark.read.schema(schema).parquet(path)
