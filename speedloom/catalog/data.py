@@ -81,30 +81,33 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_requests(events: DataFrame) -> DataFrame:
     """Loosely typed request text made from events, good and bad values mixed."""
-    n, text = F.col("event_id"), F.col("value").cast("string")
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text, stamp = F.col("_text"), F.col("_stamp")
 
-    def cycle(*choices):
-        step = n % len(choices)
-        out = F.when(step == 0, choices[0])
-        for i, choice in enumerate(choices[1:], 1):
-            out = out.when(step == i, choice)
-        return out
+    def mix(every: int, default, special: dict):
+        """``default``, but another choice for some remainders of the event number."""
+        step = F.col("event_id") % every
+        out = None
+        for i, choice in special.items():
+            choice = F.lit(choice).cast("string")
+            out = F.when(step == i, choice) if out is None else out.when(step == i, choice)
+        return out.otherwise(F.lit(default).cast("string"))
 
     return events.select(
+        "event_id", "event_type", F.col("value").cast("string").alias("_text"), "user_id", "ts",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("_stamp"),
+    ).select(
         "event_id",
-        cycle(text, F.concat(F.lit(" "), text, F.lit(" ")), text, F.lit(""), text, F.lit("abc"),
-              text, F.lit("nan"), text, F.lit("1e2"), text).alias("avg_speed"),
-        cycle(F.lit("auto"), F.lit(" AUTO "), F.lit("4.25"), F.lit(None), F.lit("x"),
-              text, F.lit("inf")).alias("std_speed_hour"),
-        cycle(F.col("user_id").cast("string"), F.lit("17.9"), F.lit("24"), F.lit(None),
-              F.lit(" 8 "), F.lit("-0.5")).alias("hour"),
-        cycle(F.lit("0"), F.lit("7"), F.lit(None), F.lit("3.5"), F.lit("")).alias("weekday"),
-        cycle(stamp, F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
-              F.lit("not a time"), F.date_format("ts", "M/d/yyyy H:mm"), F.lit(None),
-              F.lit("2024-03-05")).alias("timestamp"),
-        cycle(F.lit("10.5"), F.lit("x"), F.lit("-3")).alias("latitude"),
-        cycle(F.lit("106.25"), F.lit(None)).alias("longitude"),
+        mix(11, text, {1: F.concat(F.lit(" "), text, F.lit(" ")), 3: "", 5: "abc", 7: "nan", 9: "1e2"})
+        .alias("avg_speed"),
+        mix(7, "inf", {0: "auto", 1: " AUTO ", 2: "4.25", 3: None, 4: "x", 5: text})
+        .alias("std_speed_hour"),
+        mix(6, F.col("user_id"), {1: "17.9", 2: "24", 3: None, 4: " 8 ", 5: "-0.5"}).alias("hour"),
+        mix(5, "", {0: "0", 1: "7", 2: None, 3: "3.5"}).alias("weekday"),
+        mix(6, stamp, {1: F.unix_seconds(F.col("ts").cast("timestamp")), 2: "not a time",
+                       3: F.date_format("ts", "M/d/yyyy H:mm"), 4: None, 5: "2024-03-05"})
+        .alias("timestamp"),
+        mix(3, "-3", {0: "10.5", 1: "x"}).alias("latitude"),
+        mix(2, None, {0: "106.25"}).alias("longitude"),
         F.col("event_type").alias("location"),
     )
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
 from speedloom.catalog import data as d
-from speedloom.functions.lenient import lenient_double, lenient_int, lenient_timestamp
 from speedloom.operators import chartdata, cleaning, evaluation, features, horizon, plan
 from speedloom.operators import reports, requests, scoring, states, training
 from speedloom.plans import report_cube
@@ -413,14 +412,7 @@ def plan_top5(spark, sf_dir):
 @query
 def request_coercion(spark, sf_dir):
     raw = d.raw_requests(d.table(spark, sf_dir, "events"))
-    return raw.select(
-        "event_id", lenient_double(F.col("avg_speed")).alias("avg_speed"),
-        lenient_double(F.col("std_speed_hour")).alias("std_speed_hour"),
-        lenient_int(F.col("hour"), 0, 23).alias("hour"),
-        lenient_int(F.col("weekday"), 1, 7).alias("weekday"),
-        lenient_timestamp(F.col("timestamp")).alias("timestamp"),
-        lenient_double(F.col("latitude")).alias("latitude"),
-        lenient_double(F.col("longitude")).alias("longitude"))
+    return requests.coerce_requests(raw).drop("std_speed_auto", "location")
 
 
 def _prepared(spark, sf_dir, source=None):

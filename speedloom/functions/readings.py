@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,12 +22,24 @@ def is_finite(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
 
 
+def _shape(time_format: str) -> str:
+    """Regular expression for texts of a numeric time format."""
+
+    def part(letters: re.Match) -> str:
+        width = len(letters.group())
+        return r"\d{1,2}" if width == 1 else rf"\d{{{width}}}"
+
+    return "^" + re.sub(r"([yMdHms])\1*", part, time_format) + "$"
+
+
 def parse_time(text: Column, formats: tuple[str, ...] = fv.TIME_FORMATS) -> Column:
     """Timestamp from ISO text or one of ``formats``; unreadable text gives null."""
     trimmed = F.trim(text)
     # A bare year or year-month is not a time stamp, although a cast would take it.
     iso = F.when(trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), trimmed.try_cast("timestamp"))
-    return F.coalesce(iso, *[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+    # Only texts of the right shape are parsed: a failed parse costs an exception each.
+    other = [F.when(trimmed.rlike(_shape(f)), F.try_to_timestamp(trimmed, F.lit(f))) for f in formats]
+    return F.coalesce(iso, *other)
 
 
 def slot_start(ts: Column, freq_min: int) -> Column:

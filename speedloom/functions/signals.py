@@ -7,43 +7,49 @@ from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
 
+# Ladder steps by number: 0 is an unknown probability, then from the highest step down.
+_PCTS = [fv.LADDER_UNKNOWN[0], *[pct for _, pct, _ in fv.LADDER], fv.LADDER_FLOOR[0]]
+_LEVELS = [fv.LADDER_UNKNOWN[1], *[level for *_, level in fv.LADDER], fv.LADDER_FLOOR[1]]
 
-def _ladder(prob: Column, pick: int, floor, unknown) -> Column:
-    out = F.when(prob.isNull() | F.isnan(prob), F.lit(unknown))
-    for step in fv.LADDER:
-        out = out.when(prob >= step[0], F.lit(step[pick]))
-    return out.otherwise(F.lit(floor))
 
+def _texts(shorten: str) -> list[str]:
+    return [fv.TEXT_EXTEND.format(pct) if pct > 0 else shorten.format(-pct) if pct < 0 else fv.TEXT_UNKNOWN
+            for pct in _PCTS]
 
-def green_extension_pct(prob: Column) -> Column:
-    return _ladder(prob, 1, fv.LADDER_FLOOR[0], fv.LADDER_UNKNOWN[0])
 
+def ladder_step(prob: Column) -> Column:
+    step = F.when(prob.isNull() | F.isnan(prob), 0)
+    for i, (least, *_) in enumerate(fv.LADDER, 1):
+        step = step.when(prob >= least, i)
+    return step.otherwise(len(fv.LADDER) + 1)
 
-def signal_level(prob: Column) -> Column:
-    return _ladder(prob, 2, fv.LADDER_FLOOR[1], fv.LADDER_UNKNOWN[1])
 
+def _pick(choices: list, step: Column) -> Column:
+    """Constant of a ladder step: one look-up in a literal array, however long the texts."""
+    return F.get(F.array(*choices), step)
 
-def strategy_text(pct: Column, shorten: str = fv.TEXT_SHORTEN) -> Column:
-    """Strategy sentence for an extension percentage (0 keeps the cycle)."""
 
-    def fill(template: str) -> Column:
-        head, tail = template.split("{}")
-        return F.concat(F.lit(head), F.abs(pct).cast("string"), F.lit(tail))
+def green_extension_pct(prob: Column) -> Column:
+    return _pick([F.lit(p) for p in _PCTS], ladder_step(prob))
+
+
+def signal_level(prob: Column) -> Column:
+    return _pick([F.lit(v) for v in _LEVELS], ladder_step(prob))
+
 
-    return (
-        F.when(pct > 0, fill(fv.TEXT_EXTEND))
-        .when(pct < 0, fill(shorten))
-        .otherwise(F.lit(fv.TEXT_UNKNOWN))
-    )
+def strategy_text(prob: Column, shorten: str = fv.TEXT_SHORTEN) -> Column:
+    """Strategy sentence; an unknown probability keeps the cycle."""
+    return _pick([F.lit(t) for t in _texts(shorten)], ladder_step(prob))
 
 
 def serving_strategy(prob: Column) -> Column:
-    pct = green_extension_pct(prob)
-    return F.struct(
-        signal_level(prob).alias("level"),
-        pct.alias("green_extension_pct"),
-        strategy_text(pct, fv.TEXT_SHORTEN_SERVING).alias("strategy"),
-    )
+    """Level, percentage and sentence of the answer to a request."""
+    answers = [
+        F.struct(F.lit(level).alias("level"), F.lit(pct).alias("green_extension_pct"),
+                 F.lit(text).alias("strategy"))
+        for level, pct, text in zip(_LEVELS, _PCTS, _texts(fv.TEXT_SHORTEN_SERVING))
+    ]
+    return _pick(answers, ladder_step(prob))
 
 
 def status_text(prediction: Column) -> Column:

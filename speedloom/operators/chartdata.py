@@ -52,10 +52,10 @@ def box_stats(labelled: DataFrame, value: str = "avg_speed", by: str = "cluster_
     reach = whisker * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        # One row per group joins back by key; its side of the join is small by nature
-        # and the strategy is left to its measured size.
+        # One row per state, and a model has few states: joined by broadcast, because a
+        # shuffle on so few keys would put a whole state into one task.
         labelled.where(is_finite(F.col(value))).select(by, value)
-        .join(boxes, labelled[by].eqNullSafe(boxes[by])).drop(boxes[by])
+        .join(F.broadcast(boxes), labelled[by].eqNullSafe(boxes[by])).drop(boxes[by])
         .groupBy(by)
         .agg(F.first("n").alias("n"), F.min(value).alias("min"), F.first("q1").alias("q1"),
              F.first("median").alias("median"), F.first("q3").alias("q3"), F.max(value).alias("max"),

@@ -15,7 +15,7 @@ def plan_measures() -> list:
 
 def with_signal_columns(agg: DataFrame, horizon_min: int) -> DataFrame:
     return agg.withColumn("green_extension_pct", green_extension_pct(F.col("avg_prob"))).withColumn(
-        "strategy", strategy_text(F.col("green_extension_pct"))).withColumn(
+        "strategy", strategy_text(F.col("avg_prob"))).withColumn(
         "horizon_min", F.lit(int(horizon_min)))
 
 

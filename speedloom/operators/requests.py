@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
-from speedloom.functions.lenient import is_auto, lenient_double, lenient_int, lenient_timestamp
+from speedloom.functions.lenient import finite, instant, number_in, whole
 from speedloom.functions.signals import serving_strategy, status_text
 
 REQUEST_FIELDS = ("avg_speed", "std_speed_hour", "hour", "weekday", "timestamp",
@@ -23,18 +23,24 @@ def coerce_requests(raw: DataFrame) -> DataFrame:
         return F.col(name).cast("string") if name in have else F.lit(None).cast("string")
 
     keep = [c for c in raw.columns if c not in REQUEST_FIELDS]
-    return raw.select(
+    numeric = [c for c in REQUEST_FIELDS if c != "location"]
+    # Two steps: the numbers are read once here, however often the checks use them.
+    numbers = raw.select(
+        *keep, text("location").alias("location"), text("timestamp").alias("_time"),
+        *[number_in(text(c)).alias(f"_{c}") for c in numeric])
+    std = finite(F.col("_std_speed_hour"))
+    return numbers.select(
         *keep,
-        lenient_double(text("avg_speed")).alias("avg_speed"),
-        lenient_double(text("std_speed_hour")).alias("std_speed_hour"),
-        (is_auto(text("std_speed_hour")) | lenient_double(text("std_speed_hour")).isNull())
-        .alias("std_speed_auto"),
-        lenient_int(text("hour"), 0, 23).alias("hour"),
-        lenient_int(text("weekday"), 1, 7).alias("weekday"),
-        lenient_timestamp(text("timestamp")).alias("timestamp"),
-        lenient_double(text("latitude")).alias("latitude"),
-        lenient_double(text("longitude")).alias("longitude"),
-        text("location").alias("location"),
+        finite(F.col("_avg_speed")).alias("avg_speed"),
+        std.alias("std_speed_hour"),
+        # 'auto' and unreadable text alike are looked up.
+        std.isNull().alias("std_speed_auto"),
+        whole(F.col("_hour"), 0, 23).alias("hour"),
+        whole(F.col("_weekday"), 1, 7).alias("weekday"),
+        instant(F.col("_timestamp"), F.col("_time")).alias("timestamp"),
+        finite(F.col("_latitude")).alias("latitude"),
+        finite(F.col("_longitude")).alias("longitude"),
+        "location",
     )
 
 
@@ -67,23 +73,31 @@ def with_hourly_std(requests: DataFrame, hourly: DataFrame) -> DataFrame:
     )
 
 
+# Required fields and what is said when one is missing or unreadable.
+_REQUIRED = {"avg_speed": fv.ERROR_AVG_SPEED}
+
+
 def with_errors(requests: DataFrame) -> DataFrame:
     """Add ``errors``: one text per missing or unreadable required field."""
-    bad = F.when(F.col("avg_speed").isNull(), F.lit(fv.ERROR_AVG_SPEED))
-    return requests.withColumn("errors", F.array_compact(F.array(bad)))
+    texts = [F.when(F.col(c).isNull(), F.lit(text)) for c, text in _REQUIRED.items()]
+    return requests.withColumn("errors", F.array_compact(F.array(*texts)))
 
 
 def accepted(requests: DataFrame) -> DataFrame:
-    return requests.where(F.size("errors") == 0).drop("errors")
+    # Asked of the fields and not of the error texts: a test that filters early.
+    return requests.dropna(subset=list(_REQUIRED))
 
 
 def rejected(requests: DataFrame) -> DataFrame:
-    return requests.where(F.size("errors") > 0)
+    bad = F.lit(False)
+    for c in _REQUIRED:
+        bad = bad | F.col(c).isNull()
+    return with_errors(requests.where(bad))
 
 
 def prepare_requests(raw: DataFrame, hourly: DataFrame, now: Column | None = None) -> DataFrame:
-    """Coerced, completed and validated requests with an ``errors`` column."""
-    return with_errors(with_hourly_std(with_time_defaults(coerce_requests(raw), now), hourly))
+    """Coerced and completed requests, good and bad."""
+    return with_hourly_std(with_time_defaults(coerce_requests(raw), now), hourly)
 
 
 def score_requests(requests: DataFrame, model: PipelineModel, model_path: str | None = None,

@@ -81,7 +81,7 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     wide_text = rd.read_wide_csv(spark, source, time_col, has_header, delimiter)
     sensors = rd.sensor_columns(wide_text)
     wide = rd.typed_wide(wide_text)
-    rd.write_readings(rd.wide_to_readings(wide), sink.path("readings"))
+    rd.write_wide_as_readings(wide, sink.path("readings"))
     # Counted by a scan of the time column alone. (An Observation would save the scan,
     # but a session that has used one cannot ship fitted regressions in Spark 4.1.)
     result.metrics.update(rd.time_parse_counts(wide.select("timestamp")).first().asDict())

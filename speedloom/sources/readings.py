@@ -79,12 +79,29 @@ def time_parse_counts(wide: DataFrame) -> DataFrame:
     )
 
 
+def gathered_by_date(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Rows of a date brought together for writing; a heavy date is split over tasks.
+
+    A rebalance needs no sampling pass, unlike a range, and adapts to the sizes it finds.
+    """
+    return df.withColumn("date", F.to_date(ts)).hint("rebalance", "date")
+
+
 def write_readings(readings: DataFrame, path: str) -> None:
-    """Parquet by date, ranged on time so that no date is squeezed into one task."""
+    """Parquet by date, ordered by time within a file."""
+    gathered_by_date(readings).sortWithinPartitions("date", "ts", "sensor").write.mode(
+        "overwrite").partitionBy("date").parquet(path)
+
+
+def write_wide_as_readings(wide: DataFrame, path: str) -> None:
+    """Readings of a typed wide frame. Wide rows are moved, and unpivoted where they land:
+    the long form repeats time and sensor name for every value."""
+    sensors = sensor_columns(wide)
+    gathered = gathered_by_date(wide.where(F.col("timestamp").isNotNull()), "timestamp")
     (
-        readings.withColumn("date", F.to_date("ts"))
-        .repartitionByRange("date", "ts", "sensor")
-        .sortWithinPartitions("date", "ts", "sensor")
+        gathered.unpivot([F.col("date"), F.col("timestamp").alias("ts")],
+                         [F.col(f"`{c}`") for c in sensors], "sensor", "speed")
+        .sortWithinPartitions("date", "ts")
         .write.mode("overwrite").partitionBy("date").parquet(path)
     )
 

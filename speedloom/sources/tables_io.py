@@ -39,7 +39,7 @@ def write_predictions(scored: DataFrame, path: str, horizon_min: int) -> None:
     (
         scored.withColumn("horizon_min", F.lit(int(horizon_min)))
         .withColumn("date", F.to_date("timestamp"))
-        .repartitionByRange("date", "timestamp")
+        .hint("rebalance", "date")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("horizon_min", "date").parquet(path)
     )

@@ -70,7 +70,7 @@ def test_ladder(spark):
     got = values(df.select(pct, signal_level(F.col("p"))))
     assert got == [(30, "critical"), (20, "high"), (20, "high"), (10, "moderate"), (-10, "low"),
                    (0, "unknown"), (0, "unknown")]
-    texts = [r[0] for r in df.select(strategy_text(pct)).collect()]
+    texts = [r[0] for r in df.select(strategy_text(F.col("p"))).collect()]
     assert texts[0] == "Kéo dài pha xanh thêm 30%" and texts[4] == "Rút ngắn pha xanh 10%"
     assert texts[5] == fv.TEXT_UNKNOWN
     served = df.select(serving_strategy(F.col("p")).alias("s")).collect()[4].s

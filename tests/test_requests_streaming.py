@@ -20,7 +20,9 @@ def hourly(spark):
 
 def one(spark, hourly, **fields):
     raw = spark.createDataFrame([tuple(fields.values())], ", ".join(f"{k} string" for k in fields))
-    return requests.prepare_requests(raw, hourly, F.lit(NOW).cast("timestamp")).first()
+    prepared = requests.prepare_requests(raw, hourly, F.lit(NOW).cast("timestamp"))
+    assert requests.accepted(prepared).count() + requests.rejected(prepared).count() == 1
+    return requests.with_errors(prepared).first()
 
 
 def test_defaults_from_now_and_lookup(spark, hourly):
