@@ -165,7 +165,7 @@ def _add(name: str, step: str | None, body: str) -> None:
 # -- cleaning ---------------------------------------------------------------------------
 
 _add("csv_roundtrip", None, """
-    WITH c AS (SELECT date_trunc('hour', ts) AS ts, event_type AS sensor, avg(value) AS v FROM events GROUP BY 1, 2)
+    WITH c AS (SELECT date_trunc('hour', ts) AS ts, event_type AS sensor, max(value) AS v FROM events GROUP BY 1, 2)
     SELECT t.ts, s.sensor, round(CASE WHEN v > 0 AND v <= 120 THEN v END, 6) AS speed
     FROM (SELECT DISTINCT ts FROM c) t CROSS JOIN (SELECT DISTINCT sensor FROM c) s
     LEFT JOIN c ON c.ts = t.ts AND c.sensor = s.sensor""")

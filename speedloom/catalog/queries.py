@@ -41,7 +41,7 @@ def csv_roundtrip(spark, sf_dir):
     # The sensors are the columns of the wide file.
     sensors = sorted(r.event_type for r in events.select("event_type").distinct().collect())
     slot = F.date_trunc("hour", "ts")
-    wide = events.groupBy(slot.alias("slot")).pivot("event_type", sensors).agg(F.avg("value"))
+    wide = events.groupBy(slot.alias("slot")).pivot("event_type", sensors).agg(F.max("value"))
     path = new_path(spark, "wide-csv")
     io.write_csv(wide.select(F.date_format("slot", "M/d/yyyy H:mm").alias("when"), *sensors), path)
     return rd.wide_to_readings(rd.typed_wide(rd.read_wide_csv(spark, path)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speedloom.functions.signals import green_extension_pct, strategy_text
+from speedloom.operators.reports import require_columns
 
 
 def plan_measures() -> list:
@@ -21,6 +22,7 @@ def with_signal_columns(agg: DataFrame, horizon_min: int) -> DataFrame:
 
 def signal_plan(scored: DataFrame, horizon_min: int) -> DataFrame:
     """Green-time change per date and hour."""
+    require_columns(scored, ("prob_congestion", "avg_speed", "timestamp", "hour"))
     per_hour = scored.groupBy(F.to_date("timestamp").alias("date"), "hour").agg(*plan_measures())
     return with_signal_columns(per_hour, horizon_min).orderBy("date", "hour")
 

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -107,3 +107,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def model_version(spark: SparkSession, path: str) -> str:
+    """When the model was saved, from its own metadata (ISO text)."""
+    saved = F.timestamp_millis(F.col("timestamp"))
+    return spark.read.schema("timestamp long").json(f"{path}/metadata").select(
+        F.date_format(saved, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]

@@ -6,8 +6,11 @@ step's work again and a lost executor costs one step's tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,11 @@ class _Output:
     def csv(self, df: DataFrame, name: str) -> None:
         io.write_csv(df, self.path(name))
 
+    def together(self, *writes: Callable[[], None], at_once: int = 8) -> None:
+        """Run writes that do not depend on each other; their jobs share the executors."""
+        with ThreadPool(min(at_once, len(writes))) as pool:
+            pool.map(inheritable_thread_target(self.spark)(lambda write: write()), writes, chunksize=1)
+
 
 def filled_wide(cells: DataFrame, slots: DataFrame, sensors: list[str]) -> DataFrame:
     """Wide, mean-filled cells beside the slot features (columns known from the header)."""
@@ -140,20 +148,24 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
         report_cube.roll_up(cube, "date_hour").select(
             "date", "hour", F.col("avg_prob_congestion").alias("avg_prob"), "avg_speed",
             F.col("count").alias("count_samples")), horizon_min).orderBy("date", "hour")
-    sink.json(signal, "traffic_signal_plan_json")
-    io.write_plan_csv(signal, sink.path("traffic_signal_plan"))
-    for name, table in report_cube.report_tables(cube).items():
-        if name == "overview":
-            table = table.withColumn("generated_at", F.current_timestamp())
-        sink.json(table, f"analysis/{_REPORT_FOLDERS.get(name, name)}")
-    sink.json(reports.sensor_activity(readings), "analysis/sensor_activity")
-    sink.json(reports.top_sensor_hourly(readings), "analysis/top_sensor_hourly")
-
-    # 5. Chart data.
-    sink.json(chartdata.series_head(scored), "charts/probability_series")
-    sink.json(chartdata.scatter_head(labelled), "charts/state_scatter")
-    sink.json(chartdata.box_stats(labelled), "charts/state_boxes")
-    sink.json(chartdata.kde_grid(labelled), "charts/state_density")
+    tables = report_cube.report_tables(cube)
+    tables["overview"] = tables["overview"].withColumn("generated_at", F.current_timestamp())
+
+    def report(name: str, table: DataFrame) -> Callable[[], None]:
+        return lambda: sink.json(table, f"analysis/{_REPORT_FOLDERS.get(name, name)}")
+
+    # 5. These tables, the charts' and the reports over readings only read what is stored.
+    sink.together(
+        lambda: sink.json(reports.top_sensor_hourly(readings), "analysis/top_sensor_hourly"),
+        lambda: sink.json(reports.sensor_activity(readings), "analysis/sensor_activity"),
+        lambda: sink.json(chartdata.box_stats(labelled), "charts/state_boxes"),
+        lambda: sink.json(chartdata.kde_grid(labelled), "charts/state_density"),
+        lambda: sink.json(chartdata.scatter_head(labelled), "charts/state_scatter"),
+        lambda: sink.json(chartdata.series_head(scored), "charts/probability_series"),
+        lambda: sink.json(signal, "traffic_signal_plan_json"),
+        lambda: io.write_plan_csv(signal, sink.path("traffic_signal_plan")),
+        *[report(name, table) for name, table in tables.items()],
+    )
     return result
 
 
@@ -161,8 +173,10 @@ def evaluate(sink: _Output, scored: DataFrame) -> None:
     """Metrics and curve of the held-out rows."""
     held_out = evaluation.evaluation_rows(scored)
     curve = sink.parquet(evaluation.score_curve(held_out), "evaluation/score_curve")
-    areas = evaluation.curve_areas(curve).first().asDict()
-    labels = evaluation.label_metrics(held_out).first().asDict()
-    sink.result.metrics.update(areas | labels)
-    sink.json(evaluation.confusion_cells(held_out), "evaluation/confusion")
-    sink.json(evaluation.roc_points(curve), "evaluation/roc_points")
+    metrics = sink.result.metrics
+    sink.together(
+        lambda: metrics.update(evaluation.curve_areas(curve).first().asDict()),
+        lambda: metrics.update(evaluation.label_metrics(held_out).first().asDict()),
+        lambda: sink.json(evaluation.confusion_cells(held_out), "evaluation/confusion"),
+        lambda: sink.json(evaluation.roc_points(curve), "evaluation/roc_points"),
+    )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
 from speedloom.functions.readings import bin_lower
+from speedloom.operators.reports import require_columns
 
 # Squares are summed around a mid-range speed, so the spread keeps its digits.
 _SHIFT = (fv.SPEED_MIN_EXCLUSIVE + fv.SPEED_MAX_INCLUSIVE) / 2
@@ -31,6 +32,7 @@ REPORTS = {
 
 
 def base_cube(scored: DataFrame) -> DataFrame:
+    require_columns(scored)
     v = F.col("avg_speed") - F.lit(_SHIFT)
     return (
         scored.withColumns({"date": F.to_date("timestamp"), "bin_lower": bin_lower(F.col("avg_speed"))})

@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 
 from speedloom.functions.readings import valid_speed
 from speedloom.operators.plan import plan_measures, with_signal_columns
-from speedloom.operators.requests import accepted, prepare_requests, rejected, score_requests
+from speedloom.operators.requests import (
+    REQUEST_FIELDS, accepted, prepare_requests, rejected, score_requests)
+from speedloom.operators.training import load_model, model_version
 
 
 def parquet_stream(spark: SparkSession, folder: str, name_filter: str, schema: StructType | str,
@@ -66,6 +68,24 @@ def score_stream(raw: DataFrame, hourly: DataFrame, model: PipelineModel, path:
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def json_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests as JSON lines; every field is read as text and coerced later."""
+    schema = ", ".join(f"{c} string" for c in REQUEST_FIELDS)
+    return spark.readStream.schema(schema).json(folder)
+
+
+def serve_requests(spark: SparkSession, folder: str, job_out: str, path: str, rejects_path: str,
+                   checkpoint: str) -> StreamingQuery:
+    """Answer the requests in ``folder`` with the model a batch job left in ``job_out``.
+
+    The spread look-up is the table the model's features were made with.
+    """
+    model_path = f"{job_out}/models/logistic_pipeline"
+    hourly = spark.read.schema("hour int, std_speed_hour double").parquet(f"{job_out}/models/hourly_spread")
+    return score_stream(json_requests(spark, folder), hourly, load_model(model_path), path, rejects_path,
+                        checkpoint, model_path, model_version(spark, model_path))
+
+
 def _write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))

@@ -67,3 +67,20 @@ def test_unreadable_input_stops_early(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("timestamp,1,2\nnot a time,50,60\n")
     out = job.run(spark, str(tmp_path / "bad.csv"), str(tmp_path / "out"))
     assert out.skipped == "no usable slots" and out.metrics["rejected_rows"] == 1
+
+
+def test_requests_are_answered_with_the_stored_model(spark, result, tmp_path):
+    from speedloom.streaming import jobs
+    base = result.tables["slots"].rsplit("/", 1)[0]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r.json").write_text("\n".join([
+        json.dumps({"avg_speed": 12.5, "std_speed_hour": "auto", "hour": 17, "weekday": 2, "location": "A"}),
+        json.dumps({"avg_speed": "90", "hour": "8"}), json.dumps({"hour": 8})]))
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    jobs.serve_requests(spark, str(tmp_path / "in"), base, out, bad, str(tmp_path / "cp")).awaitTermination()
+    rows = {r.inputs.avg_speed: r for r in spark.read.parquet(out).collect()}
+    assert set(rows) == {12.5, 90.0} and spark.read.parquet(bad).count() == 1
+    slow = rows[12.5]
+    assert slow.inputs.location == "A" and slow.inputs.std_speed_auto and slow.inputs.std_speed_hour > 0
+    assert slow.model.path.endswith("logistic_pipeline") and slow.model.last_modified[:2] == "20"
+    assert sum(slow.probability_distribution) == pytest.approx(1.0)
