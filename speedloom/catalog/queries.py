@@ -57,7 +57,7 @@ def validity_rule(spark, sf_dir):
 
 @query
 def missing_profile(spark, sf_dir):
-    return cleaning.missing_profile(d.cells(spark, sf_dir))
+    return cleaning.missing_profile(cleaning.sensor_profile(d.cells(spark, sf_dir)))
 
 
 @query

@@ -44,11 +44,10 @@ def sensor_profile(cells: DataFrame) -> DataFrame:
     )
 
 
-def missing_profile(cells: DataFrame, top: int = 10) -> DataFrame:
-    """The sensors with most missing cells."""
+def missing_profile(profile: DataFrame, top: int = 10) -> DataFrame:
+    """The sensors of ``sensor_profile`` with most missing cells."""
     return (
-        sensor_profile(cells)
-        .select("sensor", "missing_count", "missing_pct")
+        profile.select("sensor", "missing_count", "missing_pct")
         .orderBy(F.desc("missing_count"), "sensor")
         .limit(top)
     )

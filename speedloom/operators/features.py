@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from speedloom.operators.cleaning import sensor_means
 
 
-def slot_average(cells: DataFrame) -> DataFrame:
+def slot_average(cells: DataFrame, means: DataFrame | None = None) -> DataFrame:
     """Network mean speed per slot with gaps counted at each sensor's own mean.
 
     Filling every gap would build the slots x sensors grid. The same mean is the mean
     of the sensor means, moved by what the present cells differ from theirs. Sensors
-    without any valid cell take no part.
+    without any valid cell take no part. ``means`` are the sensors' means where they are
+    stored already; otherwise they come from ``cells``.
     """
-    means = sensor_means(cells).where(F.col("mean_speed").isNotNull()).select("sensor", "mean_speed")
+    means = sensor_means(cells) if means is None else means
+    means = means.where(F.col("mean_speed").isNotNull()).select("sensor", "mean_speed")
     network = means.agg(
         F.struct(F.sum("mean_speed").alias("total"), F.count("*").alias("sensors")).alias("network")
     ).scalar()

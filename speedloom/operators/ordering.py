@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from speedloom.functions.readings import is_finite
 
 _BUCKETS_PER_TASK = 4
+# More edges than this would make the quantile sketches large, not the buckets useful.
+_MOST_BUCKETS = 10_000
 
 
 def bucket_edges(rows: DataFrame, value: str, buckets: int | None = None) -> list[float]:
@@ -24,9 +26,9 @@ def bucket_edges(rows: DataFrame, value: str, buckets: int | None = None) -> lis
     """
     if buckets is None:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = _BUCKETS_PER_TASK * partitions
+        buckets = min(_BUCKETS_PER_TASK * partitions, _MOST_BUCKETS)
     probs = [i / buckets for i in range(1, buckets)]
-    return sorted(set(rows.approxQuantile(value, probs, 1.0 / (4 * buckets)))) if probs else []
+    return sorted(set(rows.approxQuantile(value, probs, 1.0 / (2 * buckets)))) if probs else []
 
 
 def with_bucket(df: DataFrame, value: str, edges: list[float]) -> DataFrame:

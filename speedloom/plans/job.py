@@ -65,11 +65,11 @@ class _Output:
             pool.map(inheritable_thread_target(self.spark)(lambda write: write()), writes, chunksize=1)
 
 
-def filled_wide(cells: DataFrame, slots: DataFrame, sensors: list[str]) -> DataFrame:
+def filled_wide(cells: DataFrame, profile: DataFrame, slots: DataFrame, sensors: list[str]) -> DataFrame:
     """Wide, mean-filled cells beside the slot features (columns known from the header)."""
     wide = cells.groupBy(F.col("ts").alias("timestamp")).pivot("sensor", sensors).agg(F.first("speed"))
     means = {r.sensor: r.mean_speed
-             for r in cleaning.sensor_means(cells).where(F.col("sensor").isin(sensors)).collect()
+             for r in profile.where(F.col("sensor").isin(sensors)).collect()
              if r.mean_speed is not None}
     filled = wide.fillna(means) if means else wide
     return slots.join(filled, "timestamp").select(
@@ -96,7 +96,9 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     readings = rd.read_readings(spark, result.tables["readings"])
     cells = cleaning.slot_cells(readings, freq_min)
 
-    base = sink.parquet(features.with_calendar(features.slot_average(cells)), "slot_means")
+    # Stored, the sensor table has a known size: its join is a broadcast if it is small.
+    profile = sink.parquet(cleaning.sensor_profile(cells), "sensor_profile")
+    base = sink.parquet(features.with_calendar(features.slot_average(cells, profile)), "slot_means")
     spread = sink.parquet(features.hourly_spread(base), "hourly_spread")
     featured = features.with_hourly_spread(base, spread)
     bounds = sink.parquet(cleaning.iqr_bounds(base, exact=exact_quartiles), "outlier_bounds").first()
@@ -104,9 +106,9 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     result.metrics.update(cleaning.outlier_counts(flagged).first().asDict())
     slots = sink.parquet(
         flagged.where(~F.col("is_outlier")).select("timestamp", *fv.FEATURES), "slots")
-    sink.json(cleaning.missing_profile(cells), "missing_profile")
+    sink.json(cleaning.missing_profile(profile), "missing_profile")
     if cleaned_csv:
-        io.write_cleaned_csv(filled_wide(cells, slots, sensors), sink.path("cleaned_data"))
+        io.write_cleaned_csv(filled_wide(cells, profile, slots, sensors), sink.path("cleaned_data"))
 
     # 2. States.
     fitted = states.fit_states(slots, kmin, kmax, standardize=standardize)

@@ -30,9 +30,10 @@ def test_long_mean_equals_wide_mean(wide, cells):
     sensors = [c for c in wide.columns if c not in ("timestamp", "dead")]
     want = dict(values(cleaning.wide_row_mean(cleaning.fill_wide(wide, sensors), sensors),
                        "timestamp", "avg_speed"))
-    got = dict(values(features.slot_average(cells)))
-    assert got.keys() == want.keys()
-    assert all(got[t] == pytest.approx(want[t], abs=1e-9) for t in want)
+    for means in (None, cleaning.sensor_profile(cells)):
+        got = dict(values(features.slot_average(cells, means)))
+        assert got.keys() == want.keys()
+        assert all(got[t] == pytest.approx(want[t], abs=1e-9) for t in want)
 
 
 def test_profile_counts_absent_and_rejected_cells(wide, cells):
@@ -44,7 +45,7 @@ def test_profile_counts_absent_and_rejected_cells(wide, cells):
             assert got[c].missing_count == missing
             assert got[c].missing_pct == round(missing / 300 * 100, 2)
             assert got[c].missing_after_fill == (300 if c == "dead" else 0)
-    top = values(cleaning.missing_profile(cells, 3))
+    top = values(cleaning.missing_profile(cleaning.sensor_profile(cells), 3))
     assert top[0][:2] == ("dead", 300) and len(top) == 3 and top[1][1] >= top[2][1]
 
 
