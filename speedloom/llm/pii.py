@@ -190,13 +190,15 @@ def span_report(docs: DataFrame) -> DataFrame:
     names = F.array(*map(F.lit, KINDS))
     said = lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))
     base = F.filter("spans", lambda x: x["kind"] < 4)
-    count = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
+    of_kind = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+    count = list(map(of_kind, range(4)))
     return spans.select("doc_id", *count, F.sha2(F.array_join(F.transform(base, said), ","), 256).alias("base_sha256"), F.array_join(F.transform("spans", said), ",").alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents, with every span replaced by its kind in brackets (a generalised term by WORD) and n_chars counted anew."""
     spans = private_spans(docs).where(F.size("spans") > 0).groupBy(F.col("digest").alias(KEY)).agg(F.first("spans").alias(MARKS))
+    columns = docs.columns
 
     def rows(batches):
         for batch in batches:
@@ -213,7 +215,7 @@ def redact(docs: DataFrame) -> DataFrame:
                         text = "".join(pieces) + text[done:]
                     out.append(text)
                 at = part.schema.get_field_index("text")
-                yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type)).select(docs.columns)
+                yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type)).select(columns)
 
     clean = docs.join(spans, digest() == F.col(KEY), "left").drop(KEY).mapInArrow(rows, docs.schema)
     return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else clean

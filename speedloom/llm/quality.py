@@ -1,11 +1,12 @@
 """Quality rules (1): log-likelihood ratio of hashed n-grams between trusted and raw text.
 
 Words and word pairs are hashed into a fixed number of buckets. One multinomial over the buckets is counted from all
-trusted documents, one from all documents, both with add-one smoothing. A document's score is the mean over its words and
-pairs of log(trusted / raw). Every document whose score is below the threshold, or that fails a base rule, is not kept.
+trusted documents, one from all documents. In each bucket the trusted count and the count expected at the raw share are both
+raised by PRIOR, so that few observations say little. A document's score is the mean over its words and pairs of
+log(trusted / raw). Every document whose score is below the threshold, or that fails a base rule, is not kept.
 
 Null text counts as empty: no words, base rules fail, score 0. Repeated rows are counted and judged like any other.
-An empty table gives an empty result; without trusted documents the ratio is that of the smoothing alone.
+An empty table gives an empty result; without trusted documents all scores are 0.
 Columns other than doc_id and text are not read.
 """
 
@@ -21,6 +22,7 @@ from speedloom.llm.common import HASHES, raw, shingle_hashes, slices
 BUCKET_BITS = 17
 #: Least mean log ratio of a kept document.
 THRESHOLD = -0.15
+PRIOR = 5.0
 SYMBOLS = b"#*$%&|<>"
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, llr double, kept boolean"
 
@@ -51,13 +53,15 @@ def bucket_counts(docs: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray:
     """log(trusted / raw) of each bucket; the driver gets one row per bucket at most."""
 
-    def share(df: DataFrame) -> np.ndarray:
+    def counts(df: DataFrame) -> np.ndarray:
         rows = df.toArrow()
-        n = np.ones(1 << bits)
-        n[rows.column("bucket").to_numpy()] += rows.column("n").to_numpy()
-        return np.log(n / n.sum())
+        n = np.zeros(1 << bits)
+        n[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+        return n
 
-    return share(bucket_counts(trusted, bits)) - share(bucket_counts(docs, bits))
+    good, everything = counts(bucket_counts(trusted, bits)), counts(bucket_counts(docs, bits))
+    expected = everything * (good.sum() / max(1.0, everything.sum()))
+    return np.log((good + PRIOR) / (expected + PRIOR))
 
 
 def line_repeats(text: bytes) -> int:

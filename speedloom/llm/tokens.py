@@ -60,7 +60,9 @@ class Encoder:
         """Know the pieces, which have no leading space."""
         old = new & self.older.keys()
         self.known.update((x, self.older[x]) for x in old)
-        todo = list(new - old)
+        ends_open = {x for x in new - old if x[-1].isspace()}  # the end of a text: nothing may follow it
+        self.known.update((x, self.encode(x if x[0] == "\n" else " " + x).tobytes()) for x in ends_open)
+        todo = list(new - old - ends_open)
         for lo in range(0, len(todo), AT_ONCE):
             some = todo[lo : lo + AT_ONCE]
             whole = [x if x[0] == "\n" else " " + x for x in some]

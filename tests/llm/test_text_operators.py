@@ -50,10 +50,10 @@ def test_quality_rules(spark, sf_dir, documents, odd, empty):
     good = {r.doc_id for r in labels.where("quality = 1").collect()}
     counts = {}
     for name, ids in (("raw", texts), ("good", good & texts.keys())):
-        counts[name] = np.ones(1 << quality.BUCKET_BITS)
+        counts[name] = np.zeros(1 << quality.BUCKET_BITS)
         for i in ids:
             np.add.at(counts[name], quality.buckets(texts[i].encode().split() or [b""], quality.BUCKET_BITS) if texts[i].split() else [], 1)
-    ratio = np.log(counts["good"] / counts["good"].sum()) - np.log(counts["raw"] / counts["raw"].sum())
+    ratio = np.log((counts["good"] + 5) / (counts["raw"] * counts["good"].sum() / counts["raw"].sum() + 5))
     for i in list(texts)[:60]:
         words = texts[i].encode().split()
         assert got[i].llr == pytest.approx(ratio[quality.buckets(words, quality.BUCKET_BITS)].mean() if words else 0)
@@ -66,7 +66,7 @@ def test_quality_rules(spark, sf_dir, documents, odd, empty):
 
 
 CASES = {
-    "a.b+c@x-y.co.uk, d@e and f@g.h..": [("email", 0, 15), ("email", 26, 31)],
+    "a.b+c@x-y.co.uk, d@e and f@g.h..": [("email", 0, 15), ("email", 25, 30)],
     "@@a@b.c@d.e": [("email", 2, 7)],
     "1.2.3.4 256.1.1.1 00001.2.3.255 1.2.3.4.5": [("ip", 0, 7), ("ip", 18, 31), ("ip", 32, 39)],
     "4111 1111-1111 1111 and 4111 1111 1111 1112": [("card", 0, 19)],
@@ -106,7 +106,7 @@ def test_base_spans(documents):
 def test_pii_terms(frame, odd, empty):
     # "kestrel" is only ever said beside one address, in different surroundings; "the" stands everywhere
     near = [f"the letter {w} of kestrel box@mail.example went {w}" for w in ("alpha", "beta", "gamma", "delta")]
-    texts = near + [f"the plain page number {i} says nothing" for i in range(60)] + ["a kestrel alone box@mail.example"]
+    texts = near + [f"the plain letter of page number {i} went nowhere" for i in range(60)] + ["a kestrel alone box@mail.example"]
     rows = by_id(pii.span_report(frame(texts)))
     for i in range(4):
         spans = rows[i].spans.split(",")
