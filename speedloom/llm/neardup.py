@@ -176,13 +176,14 @@ def with_estimate(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 def apart_in_buckets(members: DataFrame, percent: int) -> DataFrame:
     """a, b, estimate of members of one bucket that lie in different components and may reach the threshold.
 
-    members: key, id, component, n, sign, size (of the bucket). Members are dealt into blocks, and each pair of
+    members: band, key, id, component, n, sign, bands, size (of the bucket). A pair is told only by the first of the bands that
+    it shares: its bucket there also holds two components, so no pair is lost and none is told twice. Members are dealt into blocks, and each pair of
     blocks is compared on its own, so that no bucket has to fit in one task.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     mine = mine.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mine = mine.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "id", "component", "n", "sign")
+    mine = mine.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "id", "component", "n", "sign", "bands")
     least = percent / 100 - MARGIN
 
     def compare(part: dict[str, np.ndarray], out: list) -> None:
@@ -204,13 +205,17 @@ def apart_in_buckets(members: DataFrame, percent: int) -> DataFrame:
             guess = estimate(equal)
             x, y = np.minimum(a_n[some, None], b_n), np.maximum(a_n[some, None], b_n)
             r, c = np.nonzero((guess >= least) & (a_c[some, None] != b_c) & (100 * x >= percent * y))
+            earlier = slice(0, int(part["band"][0]))
+            new = ~(part["bands"][left][some][r][:, earlier] == part["bands"][right][c][:, earlier]).any(axis=1)
+            r, c = r[new], c[new]
             p, q = a_id[some][r], b_id[c]
             out.append(np.unique(np.rec.fromarrays([np.minimum(p, q), np.maximum(p, q), guess[r, c]], names="a,b,e")))
 
     def rows(batches):
         for whole, starts in whole_groups(batches, ["key", "i", "j"]):
-            part = {x: whole.column(x).to_numpy() for x in ("i", "j", "side", "id", "component", "n")}
-            part["sign"] = whole.column("sign").combine_chunks().flatten().to_numpy().reshape(len(part["id"]), -1)
+            part = {x: whole.column(x).to_numpy() for x in ("i", "j", "side", "band", "id", "component", "n")}
+            for x in ("sign", "bands"):
+                part[x] = whole.column(x).combine_chunks().flatten().to_numpy().reshape(len(part["id"]), -1)
             out: list[np.ndarray] = []
             for lo, hi in zip(starts, starts[1:]):
                 if hi - lo > 1:
@@ -219,7 +224,7 @@ def apart_in_buckets(members: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[x])) for x in ("a", "b", "e")], names=["a", "b", "estimate"])
 
     dealt = mine.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(rows, "a long, b long, estimate double").distinct()
+    return dealt.mapInArrow(rows, "a long, b long, estimate double")
 
 
 def best(pairs: DataFrame, count: int) -> DataFrame:
@@ -234,7 +239,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80) -> DataFrame
     classes = seen.where("digest is not null").groupBy("digest").agg(F.min_by(F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sign", "bands"), "doc_id").alias("c"))
     classes = stage(classes.select("digest", "c.*"), "near-classes")
     sketch = classes.select("id", "n", "sign")
-    in_band = classes.select("id", F.explode("bands").alias("key"))
+    in_band = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = in_band.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")
     members = stage(in_band.join(shared, "key"), "near-members")
 
@@ -245,7 +250,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80) -> DataFrame
 
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = labelled.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
-    unsure = labelled.join(split, "key").join(sketch, "id").select("key", "id", "component", "n", "sign", "size")
+    unsure = labelled.join(split, "key").join(classes.drop("digest"), "id")
     left = stage(apart_in_buckets(unsure, percent), "near-apart")
 
     for count in (*ROUNDS, None):
