@@ -32,13 +32,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_readings(spark, sf_dir)
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.slot_cells(readings(spark, sf_dir), FREQ_MIN)
+def cells(spark: SparkSession, sf_dir: str, freq_min: int = FREQ_MIN) -> DataFrame:
+    return cleaning.slot_cells(readings(spark, sf_dir), freq_min)
 
 
-def slot_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+def slot_means(spark: SparkSession, sf_dir: str, freq_min: int = FREQ_MIN) -> DataFrame:
     """Slot table with calendar, written once: all further steps are small next to it."""
-    return stage(features.with_calendar(features.slot_average(cells(spark, sf_dir))), "slots")
+    return stage(features.with_calendar(features.slot_average(cells(spark, sf_dir, freq_min))), "slots")
 
 
 def featured_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,10 +47,7 @@ def featured_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = slot_means(spark, sf_dir)
-    # Two numbers, fetched like any fitted parameter. The rule is defined on approximate
-    # quartiles: one aggregate, with an error below one row in ten thousand.
-    fences = cleaning.iqr_bounds(base, exact=False).first()
-    return cleaning.drop_outliers(features.with_hourly_spread(base), fences)
+    return cleaning.drop_outliers(features.with_hourly_spread(base), cleaning.iqr_bounds(base))
 
 
 def state_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,12 +134,12 @@ _STEPS: list[tuple[str, str]] = [
         SELECT c.event_id, c.location, c.avg_speed, c.latitude, c."hour", c.weekday, c."timestamp",
                c.std_speed_hour IS NULL AS std_speed_auto,
                coalesce(c.std_speed_hour, h.std_speed_hour,
-                        (SELECT avg(std_speed_hour) FROM hourly WHERE "hour" < 20), 5.0) AS std_speed_hour
+                        (SELECT avg(std_speed_hour) FROM hourly), 5.0) AS std_speed_hour
         FROM (SELECT event_id, location, avg_speed, latitude, std_speed_hour,
                      coalesce("hour", hour("timestamp"), 9) AS "hour",
                      coalesce(weekday, dayofweek("timestamp") + 1, 5) AS weekday,
                      coalesce("timestamp", TIMESTAMP '2024-02-01 09:30:00') AS "timestamp" FROM coerced) c
-        LEFT JOIN (SELECT * FROM hourly WHERE "hour" < 20) h ON c."hour" = h."hour" """),
+        LEFT JOIN hourly h ON c."hour" = h."hour" """),
     ("answered", f"""
         SELECT *, 1.0 / (1.0 + exp(-({fv.DEFAULT_INTERCEPT} + {" + ".join(
             f'({_C[c]!r}) * (c."{c}" - m.{c}_mean) / m.{c}_std' for c in fv.FEATURES)}))) AS prob_congestion
@@ -355,15 +355,30 @@ _add("report_cube_rollups", "scored", f"""
     GROUP BY GROUPING SETS ((), (prediction), (prediction_congested), ("hour"), (weekday), (bin_lower),
                             ("date"), (weekday, "hour"), ("date", "hour"))""")
 
+_add("report_cube_unknown", "scored", """
+    SELECT CASE grouping("date", "hour", weekday, prediction, prediction_congested, bin_lower)
+             WHEN 63 THEN 'overview' WHEN 59 THEN 'state_distribution' WHEN 61 THEN 'congestion_summary'
+             WHEN 47 THEN 'hourly_summary' WHEN 55 THEN 'weekday_summary' WHEN 62 THEN 'speed_histogram'
+             WHEN 31 THEN 'daily_summary' WHEN 39 THEN 'weekday_hour_heatmap' WHEN 15 THEN 'date_hour' END AS report,
+           "date", "hour", weekday, prediction, prediction_congested, bin_lower, count(*) AS "count",
+           round(avg(CASE WHEN day("timestamp") % 3 <> 0 THEN prob_congestion END), 6) AS avg_prob_congestion
+    FROM (SELECT *, floor(avg_speed / 5.0) * 5.0 AS bin_lower FROM scored)
+    GROUP BY GROUPING SETS ((), (prediction), (prediction_congested), ("hour"), (weekday), (bin_lower),
+                            ("date"), (weekday, "hour"), ("date", "hour"))""")
+_add("stored_runs", "scored", """
+    SELECT r.*, n AS newest_rows, h AS newest_hours, n AS rows_again
+    FROM (VALUES ('predict_180m', '180m'), ('predict_360m', '360m')) r(run_name, horizon),
+         (SELECT count(*) AS n, CAST(sum("hour") AS BIGINT) AS h FROM scored WHERE day("timestamp") > 9)""")
+
 # -- report input and output ------------------------------------------------------------
 
 _add("report_union_dedup", "hourly", f"""
     SELECT "hour", {_r("avg_speed")}, CASE WHEN "hour" < 12 THEN "count" ELSE "count" + 1000 END AS "count"
     FROM hourly""")
 _add("plan_reload", "plan", f"""
-    SELECT "date", "hour", {_r("avg_prob")}, round(avg_speed, 2) AS avg_speed, count_samples, green_extension_pct,
-           strategy, CAST(180 AS BIGINT) AS horizon_min, round(avg_prob * 100, 1) AS avg_prob_percent
-    FROM (SELECT * FROM plan ORDER BY "date", "hour" LIMIT 50)""")
+    SELECT "date", "hour", {_r("avg_prob")}, CAST(round(CAST(avg_speed AS DECIMAL(20, 12)), 2) AS DOUBLE) AS avg_speed, count_samples, green_extension_pct,
+           strategy, CAST(180 AS BIGINT) AS horizon_min, CAST(round(CAST(avg_prob * 100 AS DECIMAL(20, 12)), 1) AS DOUBLE) AS avg_prob_percent
+    FROM (SELECT * FROM plan)""")
 _add("prediction_reload", "scored", f"""
     SELECT d + to_hours(CAST("hour" AS BIGINT)) AS "timestamp", {_r("prob_congestion")}, label FROM scored""")
 _add("run_catalog", None, """
@@ -416,6 +431,28 @@ _add("request_scores", "answered", _RESPONSE)
 _add("series_tail", "scored", f"""
     SELECT strftime("timestamp", '%Y-%m-%d %H:%M') AS "timestamp", {_r("prob_congestion", "prob")}
     FROM (SELECT * FROM scored ORDER BY "timestamp" DESC LIMIT 200)""")
+_add("series_hourly", "scored", f"""
+    SELECT date_trunc('hour', "timestamp") AS "timestamp", {_r("avg(prob_congestion)", "prob_congestion")}, count(prob_congestion) AS "count"
+    FROM scored GROUP BY 1""")
+_add("scatter_counts", "named", """
+    SELECT strftime("timestamp", '%Y-%m-%d') AS "date", floor(avg_speed / 5.0) * 5.0 AS bin_lower, prediction, cluster_label,
+           count(*) AS "count" FROM named GROUP BY ALL""")
+_add("outlier_bounds_fine", "readings", """,
+    fine AS (SELECT date_trunc('minute', ts) AS ts, sensor, avg(speed) AS speed FROM readings GROUP BY 1, 2),
+    fine_means AS (SELECT sensor, avg(speed) AS mean_speed FROM fine GROUP BY 1),
+    fine_slots AS (
+        SELECT t.ts, avg(coalesce(c.speed, m.mean_speed)) AS avg_speed
+        FROM (SELECT DISTINCT ts FROM fine) t CROSS JOIN fine_means m
+        LEFT JOIN fine c ON c.ts = t.ts AND c.sensor = m.sensor GROUP BY 1 HAVING avg_speed IS NOT NULL),
+    fences AS (
+        SELECT q1, q3, q3 - q1 AS iqr, q1 - 0.5 * (q3 - q1) AS lower_bound, q3 + 0.5 * (q3 - q1) AS upper_bound
+        FROM (SELECT quantile_disc(avg_speed, 0.25) AS q1, quantile_disc(avg_speed, 0.75) AS q3 FROM fine_slots))
+    SELECT count(*) AS rows_before, count(*) FILTER (inside) AS rows_after, count(*) FILTER (NOT inside) AS rows_removed,
+           round(count(*) FILTER (NOT inside) * 100.0 / count(*), 2) AS removed_pct,
+           round(any_value(q1), 6) AS q1, round(any_value(q3), 6) AS q3, round(any_value(iqr), 6) AS iqr,
+           round(any_value(lower_bound), 6) AS lower_bound, round(any_value(upper_bound), 6) AS upper_bound
+    FROM (SELECT *, avg_speed BETWEEN lower_bound AND upper_bound AND avg_speed > 5 AND avg_speed < 110 AS inside
+          FROM fine_slots, fences)""")
 _add("series_head", "scored", f"""
     SELECT "timestamp", {_r("prob_congestion")} FROM (SELECT * FROM scored ORDER BY "timestamp" LIMIT 400)""")
 _SCATTER = f'SELECT "timestamp", {_r("avg_speed")}, prediction, cluster_label FROM named'

@@ -88,6 +88,15 @@ def outlier_filter(spark, sf_dir):
     return d.clean_slots(spark, sf_dir)
 
 
+@query
+def outlier_bounds_fine(spark, sf_dir):
+    """Fences and counts of the rule over one-minute slots, with tight fences."""
+    slots = d.slot_means(spark, sf_dir, freq_min=1)
+    bounds = cleaning.iqr_bounds(slots, factor=0.5)
+    counts = cleaning.outlier_counts(cleaning.flag_outliers(slots, bounds))
+    return counts.withColumns({c: bounds.select(c).scalar() for c in bounds.columns})
+
+
 def _flagged(spark, sf_dir):
     slots = d.slot_means(spark, sf_dir)
     return cleaning.flag_outliers(slots, cleaning.iqr_bounds(slots, factor=0.5))
@@ -332,6 +341,33 @@ def report_cube_rollups(spark, sf_dir):
     return report_cube.all_reports(d.scored(spark, sf_dir))
 
 
+def _partly_unknown(spark, sf_dir):
+    """Scored slots in which every hour of some days lacks its probability."""
+    known = F.when(F.dayofmonth("timestamp") % 3 != 0, F.col("prob_congestion"))
+    return d.scored(spark, sf_dir).withColumn("prob_congestion", known)
+
+
+@query
+def report_cube_unknown(spark, sf_dir):
+    """The roll-ups where some probabilities are null."""
+    return report_cube.all_reports(_partly_unknown(spark, sf_dir)).select(
+        "report", *report_cube.KEYS, "count", "avg_prob_congestion")
+
+
+@query
+def stored_runs(spark, sf_dir):
+    """Two horizons, one written again over fewer days: what the catalogue and the readers see."""
+    rows = stage(d.scored(spark, sf_dir), "scored").select("timestamp", "hour", "avg_speed", "prob_congestion")
+    base = new_path(spark, "runs")
+    io.write_predictions(rows, base, d.HORIZON_MIN)
+    io.write_predictions(rows, base, 2 * d.HORIZON_MIN)
+    again = io.write_predictions(rows.where(F.dayofmonth("timestamp") > 9), base, d.HORIZON_MIN)
+    newest, kept = io.newest_run(spark, base), io.read_predictions(spark, again)
+    return io.run_catalog(spark, base).select("run_name", "horizon").withColumns({
+        "newest_rows": newest.select(F.count("*")).scalar(), "newest_hours": newest.select(F.sum("hour")).scalar(),
+        "rows_again": kept.select(F.count("*")).scalar()})
+
+
 # -- report input and output ------------------------------------------------------------
 
 @query
@@ -350,7 +386,7 @@ def report_union_dedup(spark, sf_dir):
 def plan_reload(spark, sf_dir):
     path = new_path(spark, "plan")
     io.write_plan_csv(plan.signal_plan(d.scored(spark, sf_dir), d.HORIZON_MIN), path)
-    return io.read_signal_plan(spark, path)
+    return io.read_signal_plan(spark, path).drop("last_updated")
 
 
 @query
@@ -382,11 +418,11 @@ def sink_roundtrip(spark, sf_dir):
     io.write_csv(rows, csv)
     io.write_cleaned_csv(rows, cleaned)
     io.write_json(rows, json)
-    io.write_predictions(rows, parquet, d.HORIZON_MIN)
+    run = io.write_predictions(rows, parquet, d.HORIZON_MIN)
     read_csv = spark.read.schema(schema).option("header", True)
     back = {"csv": read_csv.csv(csv), "cleaned_csv": read_csv.csv(cleaned),
             "json": spark.read.schema(schema).json(json),
-            "parquet": io.read_predictions(spark, parquet)}
+            "parquet": io.read_predictions(spark, run)}
     out = None
     for name, df in back.items():
         part = df.select(F.lit(name).alias("sink"), *rows.columns)
@@ -418,8 +454,7 @@ def request_coercion(spark, sf_dir):
 def _prepared(spark, sf_dir, source=None):
     """Requests completed from the spread of the hours that the scored slots know."""
     samples, fitted = d.samples_and_parameters(spark, sf_dir)
-    # The hours after 20 are taken out of the table, so that its mean comes into play.
-    hourly = stage(samples.where(F.col("hour") < 20).groupBy("hour").agg(
+    hourly = stage(samples.groupBy("hour").agg(
         F.stddev_samp("avg_speed").alias("std_speed_hour")), "hourly")
     source = d.table(spark, sf_dir, "events") if source is None else source
     return fitted, requests.prepare_requests(d.raw_requests(source), hourly, d.now())
@@ -468,12 +503,22 @@ def _labelled(spark, sf_dir):
 
 @query
 def series_head(spark, sf_dir):
-    return chartdata.series_head(d.scored(spark, sf_dir))
+    return chartdata.series_head(d.scored(spark, sf_dir), 400)
 
 
 @query
 def scatter_head(spark, sf_dir):
-    return chartdata.scatter_head(_labelled(spark, sf_dir))
+    return chartdata.scatter_head(_labelled(spark, sf_dir), 5000)
+
+
+@query
+def series_hourly(spark, sf_dir):
+    return chartdata.series_hourly(d.scored(spark, sf_dir))
+
+
+@query
+def scatter_counts(spark, sf_dir):
+    return chartdata.scatter_counts(_labelled(spark, sf_dir))
 
 
 @query

@@ -9,7 +9,7 @@ IQR_FACTOR = 2.5
 HARD_LOW_EXCLUSIVE = 5.0
 HARD_HIGH_EXCLUSIVE = 110.0
 
-# Fixed values -- traffic state names by ascending mean speed.
+# Fixed values -- road state names by ascending mean speed.
 STATE_CONGESTED = "Tắc nghẽn"
 STATE_NORMAL = "Bình thường"
 STATE_FREE = "Thông thoáng"

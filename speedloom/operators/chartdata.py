@@ -7,12 +7,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from speedloom.functions.readings import is_finite, minute_text
+from speedloom.functions.readings import bin_lower, is_finite, minute_text
 from speedloom.operators.horizon import split_bucket, time_key
 from speedloom.operators.ordering import exact_quantiles
 
 
-def series_head(scored: DataFrame, rows: int = 400) -> DataFrame:
+def series_head(scored: DataFrame, rows: int) -> DataFrame:
     return scored.select("timestamp", "prob_congestion").orderBy("timestamp").limit(rows)
 
 
@@ -31,7 +31,21 @@ def last_rows(scored: DataFrame, rows: int = 500, hidden: tuple[str, ...] = (
     return shown.orderBy(F.desc("timestamp")).limit(rows).orderBy("timestamp")
 
 
-def scatter_head(labelled: DataFrame, rows: int = 5000) -> DataFrame:
+def series_hourly(scored: DataFrame) -> DataFrame:
+    """Mean known probability of every hour of the whole span."""
+    hour = F.date_trunc("hour", "timestamp").alias("timestamp")
+    return scored.groupBy(hour).agg(
+        F.avg("prob_congestion").alias("prob_congestion"), F.count("prob_congestion").alias("count"))
+
+
+def scatter_counts(labelled: DataFrame) -> DataFrame:
+    """Slots of the whole span by day, speed bin and state."""
+    return labelled.groupBy(
+        F.to_date("timestamp").alias("date"), bin_lower(F.col("avg_speed")).alias("bin_lower"),
+        "prediction", "cluster_label").agg(F.count("*").alias("count"))
+
+
+def scatter_head(labelled: DataFrame, rows: int) -> DataFrame:
     """The first ``rows`` slots in time with their state, as the scatter chart shows them."""
     return labelled.select("timestamp", "avg_speed", "prediction", "cluster_label").orderBy(
         "timestamp", "prediction").limit(rows)

@@ -13,20 +13,18 @@ from pyspark.sql import functions as F
 
 from speedloom.functions.readings import is_finite
 
-_BUCKETS_PER_TASK = 4
-# More edges than this would make the quantile sketches large, not the buckets useful.
-_MOST_BUCKETS = 10_000
+# Rows of a bucket, about: the number of buckets grows with the rows, not their size.
+_BUCKET_ROWS = 50_000
 
 
 def bucket_edges(rows: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Values that cut ``rows`` into about equal buckets (one pass, no shuffle).
+    """Values that cut ``rows`` into about equal buckets (no shuffle of the rows).
 
     A value that fills many rows collapses into one edge, so no bucket holds more
     distinct values than an equal share of the rows.
     """
     if buckets is None:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(_BUCKETS_PER_TASK * partitions, _MOST_BUCKETS)
+        buckets = max(1, -(-rows.count() // _BUCKET_ROWS))
     probs = [i / buckets for i in range(1, buckets)]
     return sorted(set(rows.approxQuantile(value, probs, 1.0 / (2 * buckets)))) if probs else []
 

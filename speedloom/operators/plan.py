@@ -1,4 +1,4 @@
-"""Traffic-signal plan from scored slots."""
+"""Signal plan from scored slots."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Traffic states: clustering of slots, naming by speed, silhouette."""
+"""Road states: clustering of slots, naming by speed, silhouette."""
 
 from __future__ import annotations
 

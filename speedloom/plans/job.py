@@ -80,7 +80,7 @@ def filled_wide(cells: DataFrame, profile: DataFrame, slots: DataFrame, sensors:
 def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
         has_header: bool = True, delimiter: str = ",", kmin: int = 2, kmax: int = 6,
         horizon_min: int = 15, freq_min: int = 5, standardize: bool = False,
-        exact_quartiles: bool = False, cleaned_csv: bool = True) -> JobResult:
+        approximate_quartiles: bool = False, cleaned_csv: bool = True) -> JobResult:
     """Run all steps over a wide sensor CSV and write every table under ``out``."""
     result = JobResult()
     sink = _Output(spark, out, result)
@@ -101,7 +101,7 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     base = sink.parquet(features.with_calendar(features.slot_average(cells, profile)), "slot_means")
     spread = sink.parquet(features.hourly_spread(base), "hourly_spread")
     featured = features.with_hourly_spread(base, spread)
-    bounds = sink.parquet(cleaning.iqr_bounds(base, exact=exact_quartiles), "outlier_bounds").first()
+    bounds = sink.parquet(cleaning.iqr_bounds(base, exact=not approximate_quartiles), "outlier_bounds").first()
     flagged = cleaning.flag_outliers(featured, bounds)
     result.metrics.update(cleaning.outlier_counts(flagged).first().asDict())
     slots = sink.parquet(
@@ -136,10 +136,9 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
     training.save_model(trained.model, model_path)
     # Serving looks the spread up in the very table the features were trained with.
     sink.parquet(spread, "models/hourly_spread")
-    io.write_predictions(training.score(samples, training.load_model(model_path)),
-                         sink.path("predictions"), horizon_min)
-    scored = io.read_predictions(spark, result.tables["predictions"]).where(
-        F.col("horizon_min") == horizon_min)
+    result.tables["predictions"] = io.write_predictions(
+        training.score(samples, training.load_model(model_path)), sink.path("predictions"), horizon_min)
+    scored = io.read_predictions(spark, result.tables["predictions"])
     sink.json(scoring.feature_importance(spark, trained.coefficients),
               "analysis/logistic_feature_importance")
     evaluate(sink, scored)
@@ -162,10 +161,10 @@ def run(spark: SparkSession, source: str, out: str, time_col: str = "timestamp",
         lambda: sink.json(reports.sensor_activity(readings), "analysis/sensor_activity"),
         lambda: sink.json(chartdata.box_stats(labelled), "charts/state_boxes"),
         lambda: sink.json(chartdata.kde_grid(labelled), "charts/state_density"),
-        lambda: sink.json(chartdata.scatter_head(labelled), "charts/state_scatter"),
-        lambda: sink.json(chartdata.series_head(scored), "charts/probability_series"),
-        lambda: sink.json(signal, "traffic_signal_plan_json"),
-        lambda: io.write_plan_csv(signal, sink.path("traffic_signal_plan")),
+        lambda: sink.json(chartdata.scatter_counts(labelled), "charts/state_scatter"),
+        lambda: sink.json(chartdata.series_hourly(scored), "charts/probability_series"),
+        lambda: sink.json(signal, "signal_plan_json"),
+        lambda: io.write_plan_csv(signal, sink.path("signal_plan")),
         *[report(name, table) for name, table in tables.items()],
     )
     return result

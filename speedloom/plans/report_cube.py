@@ -1,7 +1,7 @@
 """All slot reports from one pass: a partial cube and its roll-ups.
 
 Nine reports over the same scored slots would read them nine times. The cube keeps
-counts and sums at the finest level any report needs; its size depends on the calendar
+counts and sums (with the number of known values) at the finest level any report needs; its size depends on the calendar
 (days x 24 hours x states x classes x speed bins), not on the number of rows.
 """
 
@@ -37,19 +37,20 @@ def base_cube(scored: DataFrame) -> DataFrame:
     return (
         scored.withColumns({"date": F.to_date("timestamp"), "bin_lower": bin_lower(F.col("avg_speed"))})
         .groupBy(*KEYS)
-        .agg(F.count("*").alias("n"), F.sum(v).alias("sv"), F.sum(v * v).alias("svv"),
+        .agg(F.count("*").alias("n"), F.count("avg_speed").alias("nv"), F.count("prob_congestion").alias("np"),
+             F.sum(v).alias("sv"), F.sum(v * v).alias("svv"),
              F.sum("prob_congestion").alias("sp"), F.min("timestamp").alias("start_time"),
              F.max("timestamp").alias("end_time"))
     )
 
 
 def _measures() -> list[Column]:
-    n, sv = F.sum("n"), F.sum("sv")
-    variance = F.try_divide(F.sum("svv") - sv * sv / n, n - 1)
+    n, nv, sv = F.sum("n"), F.sum("nv"), F.sum("sv")
+    variance = F.try_divide(F.sum("svv") - F.try_divide(sv * sv, nv), nv - 1)
     return [
-        n.alias("count"), (sv / n + F.lit(_SHIFT)).alias("avg_speed"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_speed"),
-        (F.sum("sp") / n).alias("avg_prob_congestion"),
+        n.alias("count"), (F.try_divide(sv, nv) + F.lit(_SHIFT)).alias("avg_speed"),
+        F.when(nv > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_speed"),
+        F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob_congestion"),
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
     ]
 
@@ -107,8 +108,8 @@ def report_tables(cube: DataFrame) -> dict[str, DataFrame]:
     n = F.sum("n")
     out["overview"] = cube.agg(
         F.coalesce(n, F.lit(0)).alias("total_rows"),
-        (F.sum("sv") / n + F.lit(_SHIFT)).alias("avg_speed"),
-        (F.sum("sp") / n).alias("avg_prob_congestion"),
+        (F.try_divide(F.sum("sv"), F.sum("nv")) + F.lit(_SHIFT)).alias("avg_speed"),
+        F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob_congestion"),
         (F.sum(F.col("n") * F.col("prediction_congested")) / n).alias("congestion_ratio"),
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
     out["speed_histogram"] = (
@@ -116,6 +117,6 @@ def report_tables(cube: DataFrame) -> dict[str, DataFrame]:
         .withColumn("bin_upper", F.col("bin_lower") + F.lit(fv.HISTOGRAM_WIDTH)).orderBy("bin_lower"))
     out["top_congestion"] = (
         cube.where(F.col("prediction_congested") == 1).groupBy("date", "hour")
-        .agg((F.sum("sp") / n).alias("avg_prob"), n.alias("count"))
+        .agg(F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob"), n.alias("count"))
         .orderBy(F.desc("avg_prob"), F.desc("count"), "date", "hour").limit(20))
     return out

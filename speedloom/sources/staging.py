@@ -1,24 +1,23 @@
 """Staged tables: results written once to shared storage and read back.
 
 Staging cuts lineage in a way that survives lost executors: the table lives in the
-folder the cluster names in ``spark.checkpoint.dir``, never on one machine's disk.
+folder the cluster names in ``spark.checkpoint.dir``, never in a machine's temporary folder.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set (tests)."""
+    """The session's checkpoint folder; where it names none, a folder in its warehouse.
+
+    Both lie on storage that driver and executors share. The session is not changed.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="speedloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

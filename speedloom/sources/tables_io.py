@@ -28,21 +28,22 @@ def write_cleaned_csv(df: DataFrame, path: str, ts: str = "timestamp") -> None:
         "header", True).csv(path)
 
 
-def write_plan_csv(plan: DataFrame, path: str, files: int = 8) -> None:
-    """Plan as CSV in a few files: a plan grows with the calendar, not with the readings,
-    and its reader takes the ten newest files only."""
-    write_csv(plan.repartitionByRange(files, "date", "hour").sortWithinPartitions("date", "hour"), path)
+def write_plan_csv(plan: DataFrame, path: str) -> None:
+    """Plan as CSV, file after file in order of date and hour."""
+    write_csv(plan.repartitionByRange("date", "hour").sortWithinPartitions("date", "hour"), path)
 
 
-def write_predictions(scored: DataFrame, path: str, horizon_min: int) -> None:
-    """One dataset for all horizons; a rerun replaces only its own dates and horizon."""
+def write_predictions(scored: DataFrame, base: str, horizon_min: int) -> str:
+    """Write the run of a horizon, a folder of its own under ``base``; a rerun replaces all of it."""
+    path = f"{base}/predict_{int(horizon_min)}m"
     (
         scored.withColumn("horizon_min", F.lit(int(horizon_min)))
         .withColumn("date", F.to_date("timestamp"))
         .hint("rebalance", "date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("horizon_min", "date").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("date").parquet(path)
     )
+    return path
 
 
 # -- readers ----------------------------------------------------------------------------
@@ -75,14 +76,12 @@ def read_report(spark: SparkSession, paths: list[str], schema: str,
     return keep_first(union, keys, ("_place", *[c for c in columns if c not in keys])).drop("_place")
 
 
-def newest_files(df: DataFrame, count: int) -> DataFrame:
-    """Rows of the ``count`` newest files behind ``df`` (by modification time, then path)."""
-    tagged = df.withColumns({"_path": F.col("_metadata.file_path"),
-                             "_time": F.col("_metadata.file_modification_time")})
-    newest = (tagged.select("_path", "_time").distinct()
-              .orderBy(F.desc("_time"), F.desc("_path")).limit(count).select("_path"))
-    # At most ``count`` rows on the broadcast side.
-    return tagged.join(F.broadcast(newest), "_path", "left_semi").drop("_path", "_time")
+def newest_folder(spark: SparkSession, path: str, pattern: str) -> str | None:
+    """The folder of the newest file below ``path``; files are listed and not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", pattern).load(path).select("path", "modificationTime"))
+    newest = files.orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    return newest.path.rsplit("/", 1)[0] if newest else None
 
 
 def coerce_plan(raw: DataFrame) -> DataFrame:
@@ -100,19 +99,21 @@ def coerce_plan(raw: DataFrame) -> DataFrame:
     ).where(F.col("date").isNotNull())
 
 
-def head_of_plan(plan: DataFrame, rows: int = 50) -> DataFrame:
-    """First rows by date and hour (unknown hours last), rounded for display."""
+def head_of_plan(plan: DataFrame, rows: int | None = None) -> DataFrame:
+    """Plan by date and hour (unknown hours last), rounded for display; its first ``rows`` if asked."""
+    ordered = plan.orderBy("date", F.asc_nulls_last("hour"), "horizon_min", "avg_prob")
     return (
-        plan.orderBy("date", F.asc_nulls_last("hour"), "horizon_min", "avg_prob").limit(rows)
+        (ordered if rows is None else ordered.limit(rows))
         .withColumn("avg_prob_percent", F.round(F.col("avg_prob") * 100, 1))
         .withColumn("avg_speed", F.round("avg_speed", 2))
     )
 
 
-def read_signal_plan(spark: SparkSession, path: str, files: int = 10, rows: int = 50) -> DataFrame:
-    raw = (spark.read.schema(PLAN_SCHEMA).option("header", True)
-           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
-    return head_of_plan(coerce_plan(newest_files(raw, files)), rows)
+def read_signal_plan(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
+    """All files of the newest plan below ``path``, with the time it was written."""
+    raw = spark.read.schema(PLAN_SCHEMA).option("header", True).csv(newest_folder(spark, path, "*.csv") or path)
+    written = raw.select(F.max("_metadata.file_modification_time")).scalar()
+    return head_of_plan(coerce_plan(raw), rows).withColumn("last_updated", written)
 
 
 def with_rebuilt_time(df: DataFrame) -> DataFrame:
@@ -167,11 +168,11 @@ def run_catalog(spark: SparkSession, base: str) -> DataFrame:
 
 
 def newest_run(spark: SparkSession, base: str, columns: tuple[str, ...] = ("hour", "avg_speed")) -> DataFrame:
-    """Rows of the newest file under ``base`` whose run has ``columns``."""
+    """All rows of the newest run under ``base`` that has ``columns``."""
     runs = run_catalog(spark, base).orderBy(F.desc("last_modified"), "run_name")
     # A run is a folder a job wrote: the listing holds as many rows as there were jobs.
     for row in runs.toLocalIterator():
         df = spark.read.parquet(f"{base}/{row.run_name}")
         if set(columns) <= set(df.columns):
-            return newest_files(df.select(*columns, "_metadata"), 1).select(*columns)
+            return df.select(*columns)
     raise ValueError(f"no prediction run under {base} has columns {', '.join(columns)}")

@@ -28,7 +28,7 @@ def result(spark, wide_csv, tmp_path_factory):
 def test_all_tables_written(spark, result):
     assert result.skipped is None and result.k in (2, 3)
     assert {"readings", "slots", "cleaned_data", "clustered", "silhouette_scores", "cluster_summary",
-            "predictions", "traffic_signal_plan", "traffic_signal_plan_json",
+            "predictions", "signal_plan", "signal_plan_json",
             "models/logistic_pipeline", "models/hourly_spread"} <= result.tables.keys()
     assert sum(t.startswith("analysis/") for t in result.tables) == 12
     for name, path in result.tables.items():
