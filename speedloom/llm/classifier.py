@@ -46,11 +46,13 @@ def remainder(doc_id) -> F.Column:
 def labelled(docs: DataFrame, labels: DataFrame, part: int, sample: int) -> dict[int, list[bytes]]:
     """At most ``sample`` texts of each class, the same ones in every run."""
     marks = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = docs.select("doc_id", "text").where((remainder(F.col("doc_id")) == part) & (F.length("text").between(1, SAMPLE_CHARS)))
-    rows = rows.join(marks, "doc_id")
+    short = docs.where((remainder(F.col("doc_id")) == part) & F.length("text").between(1, SAMPLE_CHARS))
+    rows, order = short.select("doc_id").distinct().join(marks, "doc_id"), (F.xxhash64("doc_id"), "doc_id")
     out = {}
     for quality in (0, 1):
-        some = rows.where(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
+        # the ids are chosen first, so that only the texts of the sample move; the broadcast side has ``sample`` rows at most
+        ids = rows.where(F.col("quality") == quality).orderBy(*order).limit(sample).select("doc_id")
+        some = short.select("doc_id", "text").join(F.broadcast(ids), "doc_id").orderBy(*order, "text").limit(sample)
         out[quality] = [r.text.encode() for r in some.select("text").collect()]
     return out
 
