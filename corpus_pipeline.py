@@ -13,19 +13,19 @@ from speedloom.llm.common import shared_folder, table
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     scores = classifier.quality_classifier(docs, table(spark, sf_dir, "labels"))
-    return docs.join(scores.where("predicted = 0").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(scores.where("predicted = 0").select("doc_id").distinct().hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity of 0.8): the smallest doc_id."""
     groups = neardup.near_duplicates(docs, n=5)
-    return docs.join(groups.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(groups.where("not kept").select("doc_id").distinct().hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     marks = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(marks.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(marks.where("contaminated").select("doc_id").distinct().hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def private_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

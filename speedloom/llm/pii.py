@@ -217,5 +217,5 @@ def redact(docs: DataFrame) -> DataFrame:
                 at = part.schema.get_field_index("text")
                 yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type)).select(columns)
 
-    clean = docs.join(spans, digest() == F.col(KEY), "left").drop(KEY).mapInArrow(rows, docs.schema)
+    clean = docs.join(spans.hint("merge"), digest() == F.col(KEY), "left").drop(KEY).mapInArrow(rows, docs.schema)
     return clean.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else clean

@@ -113,7 +113,7 @@ def judge(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) ->
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with a label of good quality, once each."""
     good = labels.where("quality = 1").select("doc_id").distinct()
-    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi")  # no bound is known for a broadcast
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
