@@ -2,7 +2,8 @@
 
 A byte-level pre-tokenizer always cuts before a single space or line feed that stands between two characters which
 are not white space, so the ids of a text are those of the pieces between such places. Each worker remembers the
-ids of the pieces it has met and encodes only new ones, many in one call.
+ids of the pieces it has met and encodes only new ones, many in one call. The string of a special token in a text gets that
+token's id, as the library does by default.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         sizes = {i: len(self.tokenizer.id_to_token(i)) for i in self.tokenizer.get_vocab().values()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)  # a token has one character for each of its bytes
         self.sizes[list(sizes)] = list(sizes.values())

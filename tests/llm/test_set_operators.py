@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from speedloom.llm import classifier, huffman, neardup, packing, sharding
@@ -20,8 +21,8 @@ from tests.llm.conftest import ODD
 
 @pytest.fixture(scope="module")
 def direct():
-    encoder = Encoder(VOCABULARY)
-    return lambda text: encoder.encode(text or "").tolist()
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 def test_pieces_give_the_ids_of_whole_texts(direct):
