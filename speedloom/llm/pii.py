@@ -1,10 +1,12 @@
 """PII (2): spans of personal data, and information-theoretic sanitisation of the terms that reveal them.
 
-Base spans (email, ip, card, phone) are found by patterns. Each distinct value is a protected entity e. Over the whole corpus, with
-documents as the unit, p(e), p(t) and p(e, t) are counted, t being a word within WITHIN words of the entity. A term discloses
-log(p(e, t) / (p(e) p(t))) / log(1 / p(e)) of the entity's information: 1 if it appears with nothing else, 0 if it tells nothing. A term
-that discloses at least REMOVE of some entity is removed wherever it stands, one that discloses at least GENERALISE is generalised. Only
-what at least SUPPORT different surroundings attest counts, so that copies of one text reveal nothing by themselves.
+Base spans (email, ip, card, phone) are found by patterns. Each distinct value is a protected entity e, and so is each name, owner and
+domain of mail addresses, each network of addresses (/24) and each phone number without its last four digits, which pool the values that
+share them. Over the whole corpus, with documents as the unit, p(e), p(t) and p(e, t) are counted, t being a word within WITHIN words of
+the entity. A term discloses log(p(e | t) / p(e)) / log(1 / p(e)) of the entity's information: 1 if it appears with nothing else, 0 if it
+tells nothing. A term that discloses at least REMOVE of some entity is removed wherever it stands, one that discloses at least GENERALISE
+is generalised. Every entity and every term beside it counts: p(e | t) is shrunk towards p(e) by PRIOR pseudo-counts, against as many
+observations as the pair has different surroundings, so that copies of one text weigh as one.
 
 Null and empty texts have no spans. Spans belong to a text (they are joined by its digest), so repeated rows and doc_ids are
 rows of their own. An empty table gives an empty result. Only doc_id and text are read (redact keeps the other columns).
@@ -28,7 +30,8 @@ PLACEHOLDERS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[WORD]", "[REMOVED]")
 #: Names of helper columns that no table has.
 KEY, MARKS = "__pii_digest", "__pii_spans"
 WITHIN = 10
-SUPPORT = 3
+#: Pseudo-counts at p(e) beside the different surroundings of an entity and a term.
+PRIOR = 2 / 3
 GENERALISE, REMOVE = 0.85, 0.95
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,6 +41,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 NOT_DIGIT = re.compile("[^0-9]")
+NOT_LETTER = re.compile("[^a-z]")
 
 
 def luhn(digits: str) -> bool:
@@ -74,19 +78,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 SPAN = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-NEAR = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))
+NEAR = pa.list_(pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string()))]))
 
 
 def entity_of(kind: int, value: str) -> str:
     return f"{kind}:" + (value.lower() if kind == 0 else value if kind == 1 else NOT_DIGIT.sub("", value))
 
 
+def entities_of(kind: int, value: str) -> list[str]:
+    """The exact value, and what it shares with other values: name, owner and domain of an email, network of an ip, line of a phone."""
+    out = [entity_of(kind, value)]
+    if kind == 0:
+        name, domain = value.lower().split("@", 1)
+        owner = NOT_LETTER.sub("", name.split("+", 1)[0])
+        out += [f"name:{name}", f"domain:{domain}"] + [f"owner:{owner}"] * bool(owner)
+    elif kind == 1:
+        out.append("network:" + value.rsplit(".", 1)[0])
+    elif kind == 3:
+        out.append("line:" + NOT_DIGIT.sub("", value)[:-4])
+    return out
+
+
 def digest() -> F.Column:
     return F.md5(F.coalesce("text", F.lit(""))).alias("digest")
 
 
 def found(docs: DataFrame, within: int) -> DataFrame:
-    """doc_id, digest of the text, base spans, and each entity with the words around it."""
+    """doc_id, digest of the text, base spans, and the entities of each with the words around it."""
 
     def terms_around(text: str, start: int, end: int, spans) -> list[str]:
         reach = 40 * within  # characters that are looked at for the words beside a span
@@ -101,10 +119,10 @@ def found(docs: DataFrame, within: int) -> DataFrame:
                 for text in strings(part):
                     spans = base_spans(text)
                     all_spans.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                    near.append([{"entity": entity_of(k, text[a:b]), "terms": terms_around(text, a, b, spans)} for a, k, b in spans])
+                    near.append([{"entities": entities_of(k, text[a:b]), "terms": terms_around(text, a, b, spans)} for a, k, b in spans])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(all_spans, SPAN), pa.array(near, NEAR)], names=["doc_id", "digest", "spans", "near"])
 
-    schema = "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>, near array<struct<entity:string,terms:array<string>>>"
+    schema = "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>, near array<struct<entities:array<string>,terms:array<string>>>"
     return docs.select("doc_id", "text", digest()).mapInArrow(rows, schema)
 
 
@@ -137,18 +155,18 @@ def hashed(terms: DataFrame) -> DataFrame:
     return terms.select("term").distinct().mapInArrow(rows, "h long")
 
 
-def disclosing_terms(docs: DataFrame, seen: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+def disclosing_terms(docs: DataFrame, seen: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, prior: float = PRIOR) -> DataFrame:
     """term, kind (4 to generalise, 5 to remove) of the terms that disclose an entity."""
     total = docs.count()
-    near = seen.select("row", F.explode("near").alias("e")).select("row", "e.entity", "e.terms")
-    entities = near.groupBy("entity").agg(F.countDistinct("row").alias("n_e"), F.countDistinct(F.xxhash64("terms")).alias("places")).where(F.col("places") >= support)
-    pairs = near.join(entities.select("entity"), "entity").select("entity", "row", F.xxhash64("terms").alias("place"), F.explode("terms").alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.countDistinct("row").alias("n_et"), F.countDistinct("place").alias("places")).where(F.col("places") >= support)
-    pairs = stage(pairs.select("entity", "term", "n_et"), "pii-pairs")
+    near = seen.select("row", F.explode("near").alias("e")).select("row", "e.terms", F.explode("e.entities").alias("entity"))
+    entities = near.groupBy("entity").agg(F.countDistinct("row").alias("n_e"))
+    pairs = near.select("entity", "row", F.xxhash64("terms").alias("place"), F.explode("terms").alias("term"))
+    pairs = stage(pairs.groupBy("entity", "term").agg(F.countDistinct("row").alias("n_et"), F.countDistinct("place").alias("places")), "pii-pairs")
     counts = term_documents(docs, bit_filter(hashed(pairs), "h"))
-    both = pairs.join(counts, "term").join(entities.select("entity", "n_e"), "entity")
-    told = F.log(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n"))) / F.log(F.lit(float(total)) / F.col("n_e"))
-    both = both.where(F.col("n_e") < total).groupBy("term").agg(F.max(told).alias("told")).where(F.col("told") >= generalise)
+    both = pairs.join(counts, "term").join(entities.where(F.col("n_e") < total), "entity")
+    p_e, attested = F.col("n_e") / F.lit(float(total)), F.least("n_et", "places")
+    p_et = (attested + prior * p_e) / (attested * F.col("n") / F.col("n_et") + prior)
+    both = both.groupBy("term").agg(F.max(1 - F.log(p_et) / F.log(p_e)).alias("told")).where(F.col("told") >= generalise)
     return both.select("term", F.when(F.col("told") >= remove, 5).otherwise(4).alias("kind"))
 
 

@@ -129,6 +129,21 @@ def test_pii_terms(frame, odd, empty):
     assert pii.span_report(empty).count() == pii.redact(empty).count() == 0
 
 
+def test_pii_terms_of_rare_and_pooled_entities(frame):
+    plain = [f"the plain letter of page number {i} went nowhere" for i in range(2000)]
+    # a card in one surrounding, an address in two, and one owner at three addresses of three domains
+    near = ["osprey paid 4111 1111 1111 1111 for it", "merlin at 10.1.2.3 today", "we saw 10.1.2.3 with merlin"]
+    near += [f"{w} heron writes from jane.doe@{d} {w}" for w, d in (("alpha", "a.example"), ("beta", "b.example"), ("gamma", "c.example"))]
+    rows = by_id(pii.span_report(frame(near + plain)))
+    kinds = {}
+    for i, text in enumerate(near):
+        for kind, a, b in (x.split(":") for x in rows[i].spans.split(",")):
+            kinds[text[int(a) : int(b)]] = kind
+    assert kinds["osprey"] == kinds["alpha"] == "general" and kinds["merlin"] == kinds["heron"] == "removed"
+    assert all(rows[i].spans == "" for i in range(len(near), len(near) + len(plain)))
+    assert pii.entities_of(0, "Jane.Doe+x@A.example") == ["0:jane.doe+x@a.example", "name:jane.doe+x", "domain:a.example", "owner:janedoe"]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header class="site-header"><h1>Site</h1></header><nav><ul><li><a href="/a">A</a><li><a>B</a></ul></nav><div class="cookie-notice"><p>We use cookies on this site, accept them please now.</p></div>
 <article><h1>Title &amp; more</h1><p>First   paragraph<br>goes on here &lt;b&gt; with words.<p>Second <b>bold paragraph</b> that has no end <div>Third block here, with enough words in it.</div>
