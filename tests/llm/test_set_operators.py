@@ -207,6 +207,23 @@ def test_classifier(spark, odd, empty):
     assert classifier.score(empty, model).count() == 0
 
 
+def test_classifier_of_long_texts(spark, frame):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    held = docs.join(labels, "doc_id").where((classifier.remainder(F.col("doc_id")) == 1) & F.col("quality").isNotNull())
+    texts = {0: [], 1: []}
+    for r in held.orderBy("doc_id").collect():
+        texts[r.quality].append(r.text)
+    bad, good = (" ".join(texts[quality] * (2_000_000 // len(" ".join(texts[quality])) + 1)) for quality in (0, 1))
+    sizes = (400_000, 1_000_000, 2_000_000)
+    long = [bad[:n] for n in sizes] + [good[:n] for n in sizes] + [good[:60_000] + bad[:1_900_000]]
+    model = classifier.fit(docs, labels)
+    got = {r.doc_id: r.predicted for r in classifier.score(frame(long), model).collect()}
+    assert [got[i] for i in range(7)] == [0, 0, 0, 1, 1, 1, 0]
+    # every length takes part in the fit
+    only = docs.where(F.length("text") <= 5000).withColumn("text", F.repeat("text", 20)).where(F.length("text") > classifier.SAMPLE_CHARS)
+    assert classifier.fit(only, labels) is not None
+
+
 def test_isotonic_rises():
     rng = np.random.default_rng(7)
     x, y = rng.normal(size=300), rng.integers(0, 2, 300).astype(float)
