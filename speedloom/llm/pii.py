@@ -15,6 +15,7 @@ rows of their own. An empty table gives an empty result. Only doc_id and text ar
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -99,6 +100,18 @@ def entities_of(kind: int, value: str) -> list[str]:
     return out
 
 
+def terms_around(text: str, spans, within: int) -> list[list[str]]:
+    """For each span the distinct whole words among the ``within`` before and after it, without those that touch a span."""
+    words = [m.span() for m in WORD.finditer(text)] if spans else []
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    out = []
+    for start, _, end in spans:
+        before, after = bisect_right(ends, start), bisect_left(begins, end)
+        beside = words[max(0, before - within) : before] + words[after : after + within]
+        out.append(sorted({text[p:q].encode().lower().decode() for p, q in beside if not any(a < q and p < b for a, _, b in spans)}))
+    return out
+
+
 def digest() -> F.Column:
     return F.md5(F.coalesce("text", F.lit(""))).alias("digest")
 
@@ -106,12 +119,6 @@ def digest() -> F.Column:
 def found(docs: DataFrame, within: int) -> DataFrame:
     """doc_id, digest of the text, base spans, and the entities of each with the words around it."""
 
-    def terms_around(text: str, start: int, end: int, spans) -> list[str]:
-        reach = 40 * within  # characters that are looked at for the words beside a span
-        before = [m for m in WORD.finditer(text, max(0, start - reach), start)][-within:]
-        after = [m for _, m in zip(range(within), WORD.finditer(text, end, end + reach))]
-        return sorted({m[0].encode().lower().decode() for m in before + after if not any(a < m.end() and m.start() < b for a, _, b in spans)})
-
     def rows(batches):
         for batch in batches:
             for part in slices(batch):
@@ -119,7 +126,7 @@ def found(docs: DataFrame, within: int) -> DataFrame:
                 for text in strings(part):
                     spans = base_spans(text)
                     all_spans.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                    near.append([{"entities": entities_of(k, text[a:b]), "terms": terms_around(text, a, b, spans)} for a, k, b in spans])
+                    near.append([{"entities": entities_of(k, text[a:b]), "terms": terms} for (a, k, b), terms in zip(spans, terms_around(text, spans, within))])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(all_spans, SPAN), pa.array(near, NEAR)], names=["doc_id", "digest", "spans", "near"])
 
     schema = "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>, near array<struct<entities:array<string>,terms:array<string>>>"

@@ -144,6 +144,14 @@ def test_pii_terms_of_rare_and_pooled_entities(frame):
     assert pii.entities_of(0, "Jane.Doe+x@A.example") == ["0:jane.doe+x@a.example", "name:jane.doe+x", "domain:a.example", "owner:janedoe"]
 
 
+def test_terms_beside_a_span_are_whole_words():
+    run, url = "語" * 900, "k" * 700
+    text = f"first {run} 10.1.2.3 {url} last 10.1.2.4x end"
+    assert pii.terms_around(text, pii.base_spans(text), 10)[0] == sorted(["first", run, url, "last", "end"])
+    assert pii.terms_around("a b c d@e.f g h i", [(6, 0, 11)], 2) == [["b", "c", "g", "h"]]
+    assert pii.terms_around("plain", [], 10) == []
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header class="site-header"><h1>Site</h1></header><nav><ul><li><a href="/a">A</a><li><a>B</a></ul></nav><div class="cookie-notice"><p>We use cookies on this site, accept them please now.</p></div>
 <article><h1>Title &amp; more</h1><p>First   paragraph<br>goes on here &lt;b&gt; with words.<p>Second <b>bold paragraph</b> that has no end <div>Third block here, with enough words in it.</div>
