@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speedloom.llm import classifier, decontam, html_text, huffman, neardup, packing, pii, quality, sharding, tokencount
+from speedloom.llm import classifier, decontam, html_text, huffman, neardup, packing, pii, pivots, quality, sharding, tokencount
 from speedloom.llm.common import table
 
 
@@ -53,14 +53,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_pii, op3_packing, op4_token_files, op5_html_text, op6_decontamination, op7_token_counts, op8_sharding,
-        op9_near_duplicates, op10_quality_classifier,
+        op9_near_duplicates, op10_quality_classifier, op13_centroid_clustering,
     )
 }
 
-#: No operator has SQL that DuckDB could run over whole tables: hashed models, tokenizers, differencing and connected
-#: components are checked against brute force and exact round trips in the tests.
-ORACLES: dict[str, str] = {}
+#: Hashed models, tokenizers, differencing and connected components are checked against brute force and exact round trips
+#: in the tests.
+ORACLES: dict[str, str] = {"op13_centroid_clustering": pivots.clustering_sql()}
