@@ -16,8 +16,6 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from speedloom.llm.common import slices, strings
-
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Pieces in each of the two generations that a worker remembers; about 200 bytes each.
 PIECE_MEMORY = 400_000
@@ -31,13 +29,17 @@ MARKED = re.compile(r"(\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/
 
 
 class Encoder:
-    """Ids of texts as unsigned 32-bit integers."""
+    """Ids of texts as unsigned 32-bit integers.
+
+    With ``plain``, strings of special tokens in a text are ordinary text; ``prefix`` stands before every text that is not empty.
+    """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, plain: bool = False, prefix: str = "", memory: int = PIECE_MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer, self.prefix, self.memory = Tokenizer.from_file(vocabulary), prefix, memory
+        self.tokenizer.encode_special_tokens = plain
         sizes = {i: len(self.tokenizer.id_to_token(i)) for i in self.tokenizer.get_vocab().values()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)  # a token has one character for each of its bytes
         self.sizes[list(sizes)] = list(sizes.values())
@@ -51,7 +53,7 @@ class Encoder:
 
     def alone(self, text: str, memory: dict[str, bytes]) -> bytes:
         if text not in memory:
-            if len(memory) >= PIECE_MEMORY // 10:
+            if len(memory) >= self.memory // 10:
                 memory.clear()
             memory[text] = self.encode(text).tobytes()
         return memory[text]
@@ -79,7 +81,7 @@ class Encoder:
 
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces; a word with marks after it is put together from the word and the marks."""
-        if len(self.known) > PIECE_MEMORY:
+        if len(self.known) > self.memory:
             self.older, self.known = self.known, {}
         out = list(map(self.known.get, pieces))
         missing = [i for i, x in enumerate(out) if x is None]
@@ -96,7 +98,7 @@ class Encoder:
         flat = pieces.flatten()
         ends = ends - ends[0]
         table = flat.dictionary_encode()
-        heads = [self.alone(x, self.first) for x in flat.take(pa.array(ends[:-1])).to_pylist()]
+        heads = [self.alone(self.prefix + x, self.first) for x in flat.take(pa.array(ends[:-1])).to_pylist()]
         of = table.indices.to_numpy().copy()
         ids = pa.array(self.ids_of(table.dictionary.to_numpy(zero_copy_only=False).tolist()) + heads, pa.large_binary())
         of[ends[:-1]] = len(table.dictionary) + np.arange(len(heads))
@@ -135,11 +137,3 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     if vocabulary not in ENCODERS:
         ENCODERS[vocabulary] = Encoder(vocabulary)
     return ENCODERS[vocabulary]
-
-
-def encoded(batch: pa.RecordBatch, vocabulary: str = VOCABULARY):
-    """Slices of a batch of documents with the ids of their texts."""
-    encode = encoder(vocabulary)
-    for part in slices(batch):
-        yield part, encode(strings(part))
-
