@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speedloom.llm import alignment, classifier, decontam, html_text, huffman, neardup, packing, pii, pivots, quality, sharding, tokencount
+from speedloom.llm import alignment, classifier, decontam, html_text, huffman, neardup, packing, pii, pivots, quality, sharding, suffixes, tokencount
 from speedloom.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_pii, op3_packing, op4_token_files, op5_html_text, op6_decontamination, op7_token_counts, op8_sharding,
-        op9_near_duplicates, op10_quality_classifier, op12_token_alignment, op13_centroid_clustering,
+        op9_near_duplicates, op10_quality_classifier, op11_repeated_passages, op12_token_alignment, op13_centroid_clustering,
     )
 }
 
