@@ -32,9 +32,11 @@ from speedloom.llm.tokens import VOCABULARY, Encoder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Distinct (document, pair) entries of a shard; a document is never split.
-SHARD = 1_000_000
+SHARD = 500_000
+#: Bytes of text that are aligned at a time (one document at least).
+AT_ONCE = 1 << 20
 #: Words that a worker remembers for each tokenizer, in each of two generations.
-WORDS = 150_000
+WORDS = 100_000
 #: Groups with more links than this have their repeated tokens counted before they are joined.
 LARGE = 4096
 SPACED = re.compile(r"(?<=[^ ]) ")
@@ -226,12 +228,13 @@ def shards(docs: DataFrame, vocabulary: str, pieces: str) -> DataFrame:
     def rows(batches):
         two, held, entries = sides(vocabulary, pieces), [], 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=AT_ONCE):
                 held.append((part.column("doc_id").to_pylist(), *aligned(strings(part), two)))
                 entries += held[-1][3].num_rows
                 if entries >= SHARD:
                     yield closed(held)
                     held, entries = [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield closed(held)
 

@@ -40,13 +40,13 @@ def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_part))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with about SLICE_BYTES of text each."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about so many bytes of text each."""
     if not batch.num_rows:
         return
     sizes = batch.column(column).fill_null("").cast(pa.binary())
     sizes = np.diff(np.frombuffer(sizes.buffers()[1], np.int32, len(sizes) + 1, sizes.offset * 4)).astype(np.int64) + 64
-    block = np.cumsum(sizes) // SLICE_BYTES
+    block = np.cumsum(sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts, cuts[1:]):
         yield batch.slice(lo, hi - lo)
