@@ -39,7 +39,7 @@ SPAN = LENGTH - GRAM + 1
 #: Windows whose anchors are looked for at a time; positions in them take POSITION bits of the compared hashes.
 CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
-BUCKET_BYTES = 1 << 22
+BUCKET_BYTES = 1 << 21
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
 ANCHORS, STRINGS, PLACES = 1 << 20, 1 << 18, 1 << 20
 HOT, MOST_HOT = 4096, 1 << 20
@@ -197,28 +197,21 @@ def symbols(strings: list[bytes]) -> np.ndarray:
     return out
 
 
-def refined(start: np.ndarray, later: np.ndarray, some: np.ndarray) -> np.ndarray:
-    """Split the classes of ``some`` by the classes that stand later; a class is named by the place of its first member. What is still in company."""
-    key = start[some] * np.int64(len(start)) + later
-    order = np.argsort(key, kind="stable")  # takes runs that are in order as they are
-    key, some = key[order], some[order]
-    old = start[some]
-    at = np.arange(len(some))
-    head = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), at, 0))
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    place = old + at - head
-    start[some] = place[np.maximum.accumulate(np.where(new, at, 0))]
-    alone = new & np.concatenate([new[1:], [True]])
-    return np.sort(some[~alone])
+def sorted_places(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the keys (of so many bits) in order, equal ones as they stand: the place is sorted with the key where both fit in a word."""
+    width = max(1, int(len(key) - 1).bit_length())
+    if bits + width > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort(key << width | np.arange(len(key))) & ((1 << width) - 1)
 
 
-def first_classes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each word, named as in ``refined``, and what is in company."""
-    order = np.argsort(words, kind="stable")
-    ordered, start = words[order], np.empty(len(words), np.int64)
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    start[order] = np.maximum.accumulate(np.where(new, np.arange(len(words)), 0))
-    return start, np.sort(order[~(new & np.concatenate([new[1:], [True]]))])
+def named(key: np.ndarray, old: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the classes of sorted keys inside sorted old classes, and which are in company: the old name plus the place in it."""
+    at = np.arange(len(key))
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    head = np.concatenate([[True], old[1:] != old[:-1]])
+    start = np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
+    return old + start, ~(new & np.concatenate([new[1:], [True]]))
 
 
 def transform(strings: list[bytes]) -> np.ndarray:
@@ -227,29 +220,49 @@ def transform(strings: list[bytes]) -> np.ndarray:
     n = len(text)
     size = np.array([len(x) + 1 for x in strings], np.int64)
     left = np.repeat(np.cumsum(size), size) - np.arange(n)  # symbols up to the end, with it
-    word, span = text.astype(np.int64), 1
-    for more in (1, 2, 3):  # 2, 4 and 7 symbols of 9 bits; nothing follows an end
+    used = np.flatnonzero(np.bincount(text, minlength=257))  # symbols by rank, so that more of them fit in a key
+    bits = max(1, int(len(used) - 1).bit_length())
+    rank = np.zeros(257, np.int64)
+    rank[used] = np.arange(len(used))
+    one = rank[text]
+    width = max(1, int(n - 1).bit_length())
+    span, word = 1, one
+    while (span + 1) * bits + width <= 63 and span < 12:  # nothing follows an end: its rank is 0
         following = np.zeros(n, np.int64)
-        following[: n - span] = word[span:] >> 9 * (span - more)
+        following[:-span] = one[span:]
         following[left <= span] = 0
-        word, span = word << 9 * more | following, span + more
-    start, some = first_classes(word)
+        span, word = span + 1, word << bits | following
+    order = sorted_places(word, span * bits)
+    start = np.empty(n, np.int64)
+    start[order], company = named(word[order], np.zeros(n, np.int64))
+    some = order[company]  # in the order of their classes
     while len(some):
+        later = np.zeros(len(some), np.int64)
+        goes_on = left[some] > span
+        later[goes_on] = start[some[goes_on] + span]
+        some = some[sorted_places(start[some] << width | later, 2 * width)]
+        old = start[some]
         goes_on = left[some] > span
         later = np.zeros(len(some), np.int64)
         later[goes_on] = start[some[goes_on] + span]
-        some = refined(start, later, some)
+        start[some], company = named(old << width | later, old)
+        span *= 2
         if span > size.max():
             break
-        span *= 2
-    return text[np.argsort(start, kind="stable") - 1]
+        some = some[company]
+    return text[sorted_places(start, width) - 1]
 
 
-def window_minima(transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
-    """For each shard, the smallest owner of a string with an equal window, for each window of its strings in order."""
-    offset = np.concatenate([[0], np.cumsum([len(x) for x in transforms])])
+def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    """Class of each window, in the order of the shards, their strings and the windows' places: equal windows, equal class.
+
+    The transforms are interleaved by classes of suffixes that begin with the same symbols. A shard's suffixes are in
+    order, so a round merges sorted runs; it splits classes by the class that stands so many symbols later.
+    """
+    lengths = [len(x) for x in transforms]
     before = np.concatenate(transforms)
-    after = np.concatenate([np.argsort(x, kind="stable") + lo for x, lo in zip(transforms, offset.tolist())])  # from a suffix to the next shorter one
+    place = np.int32 if len(before) < 1 << 31 else np.int64
+    after = np.concatenate([(np.argsort(x, kind="stable") + lo).astype(place) for x, lo in zip(transforms, np.cumsum([0, *lengths]).tolist())])  # from a suffix to the next shorter one
     word = before[after].astype(np.int64)
     whole = np.flatnonzero(before == 0)  # suffixes that are whole strings, in the order of the strings
     ends = np.flatnonzero(word == 0)
@@ -260,20 +273,48 @@ def window_minima(transforms: list[np.ndarray], owners: list[np.ndarray], counts
     word = word << 18 | word[by2]
     word = word << 27 | word[by4] >> 9
     by7 = by4[by2[after]]
+    del by2, by4
     by14 = by7[by7]
-    start, some = first_classes(word)  # the interleave by 7 symbols
-    for jump in (by7, by14, by14[by7[after]]):  # by 14, by 28, and 28 from the 22nd on
-        some = refined(start, start[jump[some]], some)
+    by22 = by14[by7[after]]
     count = np.concatenate(counts)
     base = np.concatenate([[0], np.cumsum(count)])
-    classes, row = np.empty(int(base[-1]), np.int64), whole
+    rows, row = np.empty(int(base[-1]), place), whole
     for step in range(int(count.max())):
         active = count > step
-        classes[base[:-1][active] + step] = start[row[active]]
+        rows[base[:-1][active] + step] = row[active]
         row = after[row]
-    least = np.full(len(before), NEVER)
-    np.minimum.at(least, classes, np.repeat(np.concatenate(owners), count))
-    cut = base[np.cumsum([0, *map(len, counts)])]
+    n = len(before)
+    width = np.int64(max(1, int(n - 1).bit_length()))
+    start = np.empty(n, np.int64)
+    order = np.argsort(word, kind="stable")  # sorted runs: they are merged
+    start[order], company = named(word[order], np.zeros(n, np.int64))
+    shared = np.zeros(n, bool)
+    shared[order] = company
+    del word, order, company
+    # What a window's class is made of: its first 28 symbols and those from the 22nd on, each of two times 14, each of two times 7.
+    windows = np.zeros(n, bool)
+    windows[rows] = True
+    by28 = windows.copy()
+    by28[by22[rows]] = True
+    made_of = by28.copy()
+    made_of[by14[by28]] = True
+    for needed, jump in ((made_of, by7), (by28, by14), (windows, by22)):
+        some = np.flatnonzero(needed & shared)
+        key = start[some] << width | start[jump[some]]
+        order = np.argsort(key, kind="stable")
+        some, key = some[order], key[order]
+        shared[some] = False
+        start[some], company = named(key, key >> width)
+        shared[some[company]] = True
+    return start[rows]
+
+
+def window_minima(transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each shard, the smallest owner of a string with an equal window, for each window of its strings in order."""
+    classes = window_classes(transforms, counts)
+    least = np.full(sum(map(len, transforms)), NEVER)
+    np.minimum.at(least, classes, np.repeat(np.concatenate(owners), np.concatenate(counts)))
+    cut = np.cumsum([0, *(int(c.sum()) for c in counts)])
     return [least[classes[lo:hi]] for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
 
