@@ -41,6 +41,12 @@ ELASTIC_NET_PARAMS = (0.0, 0.3)
 SEED = 42
 DECISION_THRESHOLD = 0.5
 
+# Fixed values -- how states are fitted.
+KMEANS_ITERATIONS, KMEANS_TOLERANCE, KMEANS_INIT_STEPS = 120, 1e-4, 5
+
+# Fixed values -- when and how the model is trained.
+MIN_TRAIN, MIN_TEST, FOLDS, MODEL_ITERATIONS = 10, 5, 2, 100
+
 # Fixed values -- published coefficients of one trained model (standardised inputs).
 PUBLISHED_COEFFICIENTS = {
     "avg_speed": -5.250931751113657,

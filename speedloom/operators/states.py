@@ -1,4 +1,4 @@
-"""Road states: clustering of slots, naming by speed, silhouette."""
+"""Road states: clustering of slots, naming by speed."""
 
 from __future__ import annotations
 
@@ -10,11 +10,8 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from speedloom import fixed_values as fv
@@ -37,7 +34,8 @@ def assembler(columns: tuple[str, ...] = fv.FEATURES, out: str = "features",
 
 def kmeans(k: int, features: str = "features") -> KMeans:
     return KMeans(k=k, seed=fv.SEED, featuresCol=features, predictionCol="prediction",
-                  maxIter=120, tol=1e-4, initMode="k-means||", initSteps=5)
+                  maxIter=fv.KMEANS_ITERATIONS, tol=fv.KMEANS_TOLERANCE, initMode="k-means||",
+                  initSteps=fv.KMEANS_INIT_STEPS)
 
 
 def fit_states(slots: DataFrame, kmin: int = 2, kmax: int = 6,
@@ -120,56 +118,3 @@ def congested_state(slots: DataFrame) -> DataFrame:
     per_state = slots.groupBy("prediction").agg(F.avg("avg_speed").alias("mean_v"))
     return per_state.agg(
         F.min_by("prediction", F.struct("mean_v", "prediction")).alias("congested"))
-
-
-def _squared_distance(x: Column, x_norm: Column, cluster: Column) -> Column:
-    """Sum over the cluster's points of the squared distance to ``x``."""
-    dot = F.aggregate(F.zip_with(x, cluster["sum"], lambda a, b: a * b), F.lit(0.0),
-                      lambda acc, v: acc + v)
-    return F.greatest(cluster["n"] * x_norm + cluster["sq"] - 2 * dot, F.lit(0.0))
-
-
-def silhouette_values(points: DataFrame, features: str, label: str) -> DataFrame:
-    """Add ``silhouette`` (squared Euclidean) to every point.
-
-    Each point is measured against cluster moments (size, vector sum, sum of squared
-    norms), never against other points. Points with a null label are left out.
-    """
-    is_array = isinstance(points.schema[features].dataType, T.ArrayType)
-    array = F.col(features).cast("array<double>") if is_array else vector_to_array(F.col(features))
-    pts = points.where(F.col(label).isNotNull()).withColumn("_x", array).withColumn(
-        "_norm", F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v))
-    moments = (
-        pts.groupBy(F.col(label).alias("_label"))
-        .agg(F.count("*").alias("n"),
-             vector_to_array(Summarizer.sum(array_to_vector("_x"))).alias("sum"),
-             F.sum("_norm").alias("sq"))
-    )
-    clusters = moments.agg(
-        F.collect_list(F.struct("_label", "n", "sum", "sq")).alias("c")).scalar()
-    own = F.element_at(F.filter("_clusters", lambda c: c["_label"] == F.col(label)), 1)
-    others = F.filter("_clusters", lambda c: c["_label"] != F.col(label))
-    # Mean distance to the own cluster leaves the point itself out.
-    a = _squared_distance(F.col("_x"), F.col("_norm"), F.col("_own")) / (F.col("_own")["n"] - 1)
-    b = F.array_min(F.transform(
-        others, lambda c: _squared_distance(F.col("_x"), F.col("_norm"), c) / c["n"]))
-    value = (
-        F.when(F.col("_own")["n"] == 1, F.lit(0.0))
-        .when(F.col("_b").isNull(), F.lit(None).cast("double"))
-        .when(F.greatest("_a", "_b") == 0, F.lit(0.0))
-        .otherwise((F.col("_b") - F.col("_a")) / F.greatest("_a", "_b"))
-    )
-    return (
-        # k rows of moments: a scalar subquery, evaluated once and not joined.
-        pts.withColumn("_clusters", clusters)
-        .withColumn("_own", own)
-        .withColumn("_a", F.when(F.col("_own")["n"] > 1, a))
-        .withColumn("_b", b)
-        .withColumn("silhouette", value)
-        .select(*points.columns, "silhouette")
-    )
-
-
-def silhouette(points: DataFrame, features: str, label: str) -> DataFrame:
-    """One row: the mean silhouette."""
-    return silhouette_values(points, features, label).agg(F.avg("silhouette").alias("silhouette"))

@@ -18,8 +18,6 @@ from speedloom.functions.probability import positive_probability
 from speedloom.operators.horizon import class_balance, split_bucket, time_key, train_rows
 from speedloom.operators.states import assembler
 
-MIN_TRAIN, MIN_TEST, FOLDS = 10, 5, 2
-
 
 @dataclass
 class Training:
@@ -41,7 +39,7 @@ def guard_reason(balance: dict) -> str | None:
         return "no labelled samples"
     if not balance["n_pos"] or not balance["n_neg"]:
         return "only one class"
-    if balance["train_rows"] < MIN_TRAIN or balance["test_rows"] < MIN_TEST:
+    if balance["train_rows"] < fv.MIN_TRAIN or balance["test_rows"] < fv.MIN_TEST:
         return "too few train or test rows"
     return None
 
@@ -62,7 +60,7 @@ def train(samples: DataFrame, parallelism: int = 8) -> Training:
         return Training(None, reason, balance, [])
 
     # Another digest than the test split uses, so folds and split do not line up.
-    fold = split_bucket(F.concat(F.lit("fold|"), time_key(F.col("timestamp"))), FOLDS).cast("int")
+    fold = split_bucket(F.concat(F.lit("fold|"), time_key(F.col("timestamp"))), fv.FOLDS).cast("int")
     rows = train_rows(samples).withColumn("fold", fold)
     assemble = assembler(fv.FEATURES, "features_raw", invalid="error")
     scaler = StandardScaler(inputCol="features_raw", outputCol="features",
@@ -73,7 +71,7 @@ def train(samples: DataFrame, parallelism: int = 8) -> Training:
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     lr = LogisticRegression(
-        featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
+        featuresCol="features", labelCol="label", weightCol="weight", maxIter=fv.MODEL_ITERATIONS,
         family="binomial", predictionCol="prediction_lr", probabilityCol="probability_lr")
     grid = (ParamGridBuilder()
             .addGrid(lr.regParam, list(fv.REG_PARAMS))
@@ -82,7 +80,7 @@ def train(samples: DataFrame, parallelism: int = 8) -> Training:
         labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderPR")
     try:
         fitted = CrossValidator(
-            estimator=lr, estimatorParamMaps=grid, evaluator=evaluator, numFolds=FOLDS,
+            estimator=lr, estimatorParamMaps=grid, evaluator=evaluator, numFolds=fv.FOLDS,
             seed=fv.SEED, parallelism=parallelism, foldCol="fold").fit(data)
     finally:
         data.unpersist()

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
-from speedloom.operators import horizon, states
+from speedloom.operators import horizon, silhouettes, states
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -27,7 +28,7 @@ def slots(spark):
 
 def test_silhouette_equals_mllib(spark, sf_dir):
     points = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    own = states.silhouette(points, "embedding", "label").first()[0]
+    own = silhouettes.silhouette(points, "embedding", "label").first()[0]
     vectors = points.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
                             F.col("label").cast("double").alias("prediction"))
     assert own == pytest.approx(ClusteringEvaluator().evaluate(vectors), abs=1e-12)
@@ -36,10 +37,35 @@ def test_silhouette_equals_mllib(spark, sf_dir):
 def test_silhouette_edges(spark):
     df = spark.createDataFrame([([0.0, 0.0], 0), ([0.0, 1.0], 0), ([5.0, 5.0], 1), ([9.0, 9.0], None)],
                                "x array<double>, c int")
-    rows = {tuple(r.x): r.silhouette for r in states.silhouette_values(df, "x", "c").collect()}
+    rows = {tuple(r.x): r.silhouette for r in silhouettes.silhouette_values(df, "x", "c").collect()}
     assert len(rows) == 3 and rows[5.0, 5.0] == 0.0 and rows[0.0, 0.0] == pytest.approx((50 - 1) / 50)
     same = df.where("c = 0")
-    assert states.silhouette(same, "x", "c").first()[0] is None
+    assert silhouettes.silhouette(same, "x", "c").first()[0] is None
+
+
+@pytest.mark.parametrize("spread", [0.0, 3.0])
+def test_silhouette_of_many_groups(spark, spread):
+    """Against every group, with groups of one point, equal points and (spread 0) centres of the same norm."""
+    rng = random.Random(8)
+    points = []
+    for g in range(60):
+        angle, far = rng.random() * 6.28, 10 + spread * g
+        for _ in range(rng.choice([1, 2, 5])):
+            points.append(([far * math.cos(angle) + rng.gauss(0, 0.5), far * math.sin(angle) + rng.gauss(0, 0.5)], g))
+    points += [(points[0][0], 7), (points[0][0], points[0][1])]
+    df = spark.createDataFrame([(i, x, g) for i, (x, g) in enumerate(points)], "i int, x array<double>, g int")
+    groups = {}
+    for x, g in points:
+        groups.setdefault(g, []).append(x)
+    d = lambda x, y: sum((a - b) ** 2 for a, b in zip(x, y))
+    want = {}
+    for i, (x, g) in enumerate(points):
+        mean = {h: sum(d(x, y) for y in ys) / len(ys) for h, ys in groups.items()}
+        n = len(groups[g])
+        a, b = mean[g] * n / max(n - 1, 1), min(v for h, v in mean.items() if h != g)
+        want[i] = 0.0 if n == 1 else (b - a) / max(a, b)
+    got = {r.i: r.silhouette for r in silhouettes.silhouette_values(df, "x", "g", block_groups=4).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
 
 
 def test_kmeans_invariants(slots):
