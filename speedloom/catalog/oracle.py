@@ -214,8 +214,8 @@ _add("state_summary_ranked", "summary", f"""
 _add("state_labelled_slots", "named", f"""
     SELECT "timestamp", prediction, {_r("avg_speed")}, cluster_label FROM named""")
 _add("congested_state", "congested", "SELECT congested FROM congested")
-_add("silhouette_by_label", None, """
-    WITH pts AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+_SILHOUETTE = """
+    WITH pts AS (SELECT vec_id, {label} AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
     dims AS (SELECT vec_id, label, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM pts),
     centre AS (SELECT label AS c, i, sum(v) AS s FROM dims GROUP BY 1, 2),
     sizes AS (SELECT label AS c, count(DISTINCT vec_id) AS n, sum(v * v) AS sq FROM dims GROUP BY 1),
@@ -225,8 +225,15 @@ _add("silhouette_by_label", None, """
              FROM norms n JOIN dots t ON n.vec_id = t.vec_id JOIN sizes z ON z.c = t.c),
     ab AS (SELECT vec_id, max(CASE WHEN c = label THEN n END) AS own,
                   max(CASE WHEN c = label AND n > 1 THEN total / (n - 1) END) AS a,
-                  min(CASE WHEN c <> label THEN total / n END) AS b FROM dist GROUP BY 1)
-    SELECT round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab""")
+                  min(CASE WHEN c <> label THEN total / n END) AS b, any_value(label) AS label FROM dist GROUP BY 1),
+    vals AS (SELECT vec_id, label, CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM ab)"""
+_add("silhouette_by_label", None, _SILHOUETTE.format(label="label") + " SELECT round(avg(s), 6) AS silhouette FROM vals")
+_add("silhouette_many_groups", None, _SILHOUETTE.format(label="vec_id // 3") + """
+    SELECT vec_id, label AS "group", round(s, 6) AS silhouette FROM vals""")
+_add("kmeans_certificate", "slots", """
+    SELECT count(*) AS "rows", 3 AS states, 0 AS not_nearest, 1 AS centres_are_means FROM slots""")
+_add("k_sweep_certificate", "slots", """
+    SELECT 5 AS tried, 2 AS kmin, 6 AS kmax, 1 AS best_chosen, 1 AS score_confirmed, count(*) AS "rows" FROM slots""")
 
 # -- horizon ----------------------------------------------------------------------------
 
@@ -260,6 +267,9 @@ _add("feature_importance", "moments", "SELECT * FROM (" + " UNION ALL ".join(
     f"round(abs({v!r}::DOUBLE) / ({' + '.join(f'abs({w!r}::DOUBLE)' for w in _C.values())}), 6) AS importance, "
     f"round({c}_std, 6) AS feature_std FROM moments" for c, v in _C.items()) + ")")
 
+_add("logistic_certificate", "samples", """
+    SELECT count(*) FILTER (WHERE NOT is_test) AS train_rows, 1 AS optimal, count(*) AS scored, 0 AS differing FROM samples""")
+
 # -- evaluation -------------------------------------------------------------------------
 
 _COUNTS = """
@@ -280,6 +290,18 @@ _add("roc_points", "curve", """
     SELECT round(s, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
            round(tp / np, 6) AS tpr, round(fp / nn, 6) AS fpr FROM curve
     UNION ALL SELECT NULL, 0, 0, 0.0, 0.0""")
+_CHART = """
+    pieces AS (SELECT s, tp, fp, tp / np AS tpr, fp / nn AS fpr FROM curve UNION ALL SELECT NULL, 0, 0, 0.0, 0.0),
+    chart AS (SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY floor(fpr * 20) ORDER BY fp, tp) AS up,
+               row_number() OVER (PARTITION BY floor(fpr * 20) ORDER BY fp DESC, tp DESC) AS down FROM pieces)
+        WHERE up = 1 OR down = 1)"""
+_add("roc_chart", "curve", f"""
+    SELECT * FROM (WITH {_CHART} SELECT round(s, 6) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+           round(tpr, 6) AS tpr, round(fpr, 6) AS fpr FROM chart)""")
+_add("roc_chart_error", "curve", f"""
+    SELECT * FROM (WITH {_CHART} SELECT count(*) AS points, round(sum((fpr - f) * (tpr + t) / 2), 6) AS area, 0.025::DOUBLE AS bound, 1 AS within
+    FROM (SELECT *, lag(fpr, 1, 0) OVER w AS f, lag(tpr, 1, 0) OVER w AS t FROM chart WINDOW w AS (ORDER BY fp, tp)))""")
 for _area in ("auc_roc", "auc_pr", "average_precision"):
     _add(_area, "curve", f"SELECT {_area} FROM ({_AREAS})")
 _add("auc_documents", None, f"""
@@ -373,12 +395,14 @@ _add("stored_runs", "scored", """
 # -- report input and output ------------------------------------------------------------
 
 _add("report_union_dedup", "hourly", f"""
-    SELECT "hour", {_r("avg_speed")}, CASE WHEN "hour" < 12 THEN "count" ELSE "count" + 1000 END AS "count"
+    SELECT "hour", {_r("avg_speed")}, CASE WHEN "hour" < 12 THEN "count" + 7 ELSE "count" + 1000 END AS "count"
     FROM hourly""")
-_add("plan_reload", "plan", f"""
+_RELOADED = f"""
     SELECT "date", "hour", {_r("avg_prob")}, CAST(round(CAST(avg_speed AS DECIMAL(20, 12)), 2) AS DOUBLE) AS avg_speed, count_samples, green_extension_pct,
-           strategy, CAST(180 AS BIGINT) AS horizon_min, CAST(round(CAST(avg_prob * 100 AS DECIMAL(20, 12)), 1) AS DOUBLE) AS avg_prob_percent
-    FROM (SELECT * FROM plan)""")
+           {{strategy}} AS strategy, CAST(180 AS BIGINT) AS horizon_min, CAST(round(CAST(avg_prob * 100 AS DECIMAL(20, 12)), 1) AS DOUBLE) AS avg_prob_percent
+    FROM (SELECT * FROM plan)"""
+_add("plan_reload", "plan", _RELOADED.format(strategy="strategy"))
+_add("plan_by_header", "plan", _RELOADED.format(strategy='CASE WHEN "hour" % 2 = 0 THEN strategy END'))
 _add("prediction_reload", "scored", f"""
     SELECT d + to_hours(CAST("hour" AS BIGINT)) AS "timestamp", {_r("prob_congestion")}, label FROM scored""")
 _add("run_catalog", None, """
@@ -484,8 +508,9 @@ _add("kde_grid", "named", f"""
 
 _add("stream_scores", "answered", _RESPONSE)
 # A slot counts once the watermark, ten minutes behind the newest reading, has passed it.
-_add("stream_slot_avg", "cells", f"""
-    SELECT ts AS "timestamp", {_r("avg(speed)", "avg_speed")}, count(speed) AS sensors FROM cells
-    WHERE ts + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1""")
+_add("stream_slot_avg", "base", f"""
+    SELECT b."timestamp", {_r("b.avg_speed", "avg_speed")}, c.sensors FROM base b
+    JOIN (SELECT ts, count(speed) AS sensors FROM cells GROUP BY 1) c ON c.ts = b."timestamp"
+    WHERE b."timestamp" + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 _add("stream_plan", "plan", _PLAN)
 _add("stream_dedup", None, f"SELECT event_id, ts, event_type, {_r('value')} FROM events")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
 from speedloom.catalog import data as d
-from speedloom.operators import chartdata, cleaning, evaluation, features, horizon, plan
-from speedloom.operators import reports, requests, scoring, states, training
+from speedloom.operators import certificates, chartdata, cleaning, evaluation, features, horizon, plan
+from speedloom.operators import reports, requests, scoring, silhouettes, states, training
 from speedloom.plans import report_cube
 from speedloom.sources import readings as rd
 from speedloom.sources import tables_io as io
@@ -151,7 +151,14 @@ def congested_state(spark, sf_dir):
 
 @query
 def silhouette_by_label(spark, sf_dir):
-    return states.silhouette(d.table(spark, sf_dir, "embeddings"), "embedding", "label")
+    return silhouettes.silhouette(d.table(spark, sf_dir, "embeddings"), "embedding", "label")
+
+
+@query
+def silhouette_many_groups(spark, sf_dir):
+    """The silhouette of every vector where about every third vector is a group, in blocks of 16 groups."""
+    points = d.table(spark, sf_dir, "embeddings").withColumn("group", F.expr("vec_id div 3"))
+    return silhouettes.silhouette_values(points, "embedding", "group", block_groups=16).select("vec_id", "group", "silhouette")
 
 
 @query
@@ -166,6 +173,30 @@ def k_sweep(spark, sf_dir):
     return states.fit_states(stage(d.clean_slots(spark, sf_dir), "slots"), 2, 6).scores
 
 
+@query
+def kmeans_certificate(spark, sf_dir):
+    """Fitted states checked as an optimum over the slots they were fitted on."""
+    slots = stage(d.clean_slots(spark, sf_dir), "slots")
+    fitted = states.fit_states(slots, 3, 3)
+    check = certificates.state_certificate(states.assign_states(slots, fitted), fitted)
+    return check.select("rows", "states", "not_nearest", (F.col("centre_gap") < 0.05).cast("int").alias("centres_are_means"))
+
+
+@query
+def k_sweep_certificate(spark, sf_dir):
+    """The sweep's choice: the best of the tried scores, and what the silhouette of its states is by their moments."""
+    slots = stage(d.clean_slots(spark, sf_dir), "slots")
+    fitted = states.fit_states(slots, 2, 6)
+    vectors = fitted.model.transform(slots)
+    own = silhouettes.silhouette(vectors, "features", "prediction").select("silhouette").scalar()
+    chosen = F.max(F.when(F.col("k") == fitted.k, F.col("silhouette")))
+    return fitted.scores.agg(
+        F.count("*").alias("tried"), F.min("k").alias("kmin"), F.max("k").alias("kmax"),
+        (chosen == F.max("silhouette")).cast("int").alias("best_chosen"),
+        (F.abs(chosen - own) < 1e-6).cast("int").alias("score_confirmed"),
+    ).withColumn("rows", slots.select(F.count("*")).scalar())
+
+
 # -- horizon ----------------------------------------------------------------------------
 
 _LABEL_COLUMNS = ("timestamp", "prediction", "prediction_next", "label")
@@ -236,6 +267,20 @@ def train_logistic(spark, sf_dir):
     return training.score(rows, training.load_model(path)).drop("probability")
 
 
+@query
+def logistic_certificate(spark, sf_dir):
+    """The trained model checked as an optimum over its train rows, and scores before and after it was stored."""
+    rows = stage(d.samples(spark, sf_dir), "samples")
+    trained = training.train(rows)
+    path = new_path(spark, "model")
+    training.save_model(trained.model, path)
+    loaded = training.load_model(path)
+    check = certificates.logistic_certificate(horizon.train_rows(rows), loaded)
+    same = certificates.differing_scores(training.score(rows, trained.model), training.score(rows, loaded))
+    return check.select(F.col("rows").alias("train_rows"), (F.col("violation") < 1e-3).cast("int").alias("optimal")).withColumns({
+        "scored": same.select("scored").scalar(), "differing": same.select("differing").scalar()})
+
+
 # -- evaluation -------------------------------------------------------------------------
 
 @query
@@ -253,6 +298,18 @@ def roc_points(spark, sf_dir):
     return evaluation.roc_points(_curve(spark, sf_dir))
 
 
+@query
+def roc_chart(spark, sf_dir):
+    """The curve thinned to 20 pieces."""
+    return evaluation.chart_points(_curve(spark, sf_dir), 20)
+
+
+@query
+def roc_chart_error(spark, sf_dir):
+    check = evaluation.chart_error(_curve(spark, sf_dir), 20)
+    return check.withColumn("within", (F.abs("error") <= F.col("bound")).cast("int")).drop("error")
+
+
 @query
 def auc_roc(spark, sf_dir):
     return evaluation.curve_areas(_curve(spark, sf_dir)).select("auc_roc")
@@ -372,11 +429,12 @@ def stored_runs(spark, sf_dir):
 
 @query
 def report_union_dedup(spark, sf_dir):
-    """A report found in two places, the first incomplete and with repeats."""
+    """A report found in two places, the first incomplete and with repeats, the greater ones first."""
     hourly = stage(reports.hourly_summary(d.scored(spark, sf_dir)), "hourly")
     first, second = new_path(spark, "place"), new_path(spark, "place")
     early = hourly.where(F.col("hour") < 12)
-    io.write_json(early.unionByName(early), first)
+    twice = early.unionByName(early.withColumn("count", F.col("count") + 7))
+    io.write_json(twice.coalesce(1).sortWithinPartitions("hour", F.desc("count")), first)
     io.write_json(hourly.withColumn("count", F.col("count") + 1000), second)
     return io.read_report(
         spark, [first, second], "hour int, avg_speed double, count long", ("hour",))
@@ -389,6 +447,17 @@ def plan_reload(spark, sf_dir):
     return io.read_signal_plan(spark, path).drop("last_updated")
 
 
+@query
+def plan_by_header(spark, sf_dir):
+    """A plan whose files have their columns in another order, and some lack the strategy."""
+    path = new_path(spark, "plan")
+    rows = stage(plan.signal_plan(d.scored(spark, sf_dir), d.HORIZON_MIN), "plan")
+    even = F.col("hour") % 2 == 0
+    io.write_csv(rows.where(even).select(*reversed(rows.columns)), path)
+    rows.where(~even).drop("strategy").write.mode("append").option("header", True).csv(path)
+    return io.read_signal_plan(spark, path).drop("last_updated")
+
+
 @query
 def prediction_reload(spark, sf_dir):
     """Stored predictions without a time column get it back from date and hour."""
@@ -557,18 +626,23 @@ def stream_scores(spark, sf_dir):
 
 @query
 def stream_slot_avg(spark, sf_dir):
+    """Closed slots of the stream: the filled network mean that the model is trained with."""
+    profile = stage(cleaning.sensor_means(d.cells(spark, sf_dir)), "profile")
     readings = jobs.events_stream_as_readings(_event_stream(spark, sf_dir))
-    return _drained(jobs.stream_slot_means(readings, d.FREQ_MIN), "stream-slots")
+    return _drained(jobs.stream_slot_means(readings, profile, d.FREQ_MIN), "stream-slots")
 
 
 @query
 def stream_plan(spark, sf_dir):
+    """The plan after two restarts: the first run's source told other probabilities, the last one begins anew."""
     scored = stage(d.scored(spark, sf_dir).select("timestamp", "avg_speed", "prob_congestion"), "scored")
-    source = scored.inputFiles()[0].rsplit("/", 1)[0]
-    stream = jobs.parquet_stream(spark, source, "*.parquet", scored.schema, files_per_trigger=1)
-    path = new_path(spark, "stream-plan")
-    jobs.stream_plan(stream, path, new_path(spark, "stream-plan-progress")).awaitTermination()
-    return jobs.latest_plan(spark.read.parquet(path), d.HORIZON_MIN)
+    stale = stage(scored.withColumn("prob_congestion", F.col("prob_congestion") / 2), "scored")
+    path, progress = new_path(spark, "stream-plan"), new_path(spark, "stream-plan-progress")
+    for source, checkpoint in ((stale, progress), (stale, progress), (scored, f"{progress}-anew")):
+        folder = source.inputFiles()[0].rsplit("/", 1)[0]
+        stream = jobs.parquet_stream(spark, folder, "*.parquet", scored.schema, files_per_trigger=1)
+        jobs.stream_plan(stream, path, checkpoint).awaitTermination()
+    return jobs.stored_plan(spark, path, d.HORIZON_MIN)
 
 
 @query

@@ -53,3 +53,9 @@ def bin_lower(value: Column, width: float = fv.HISTOGRAM_WIDTH) -> Column:
 
 def minute_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm")
+
+
+def shown(value: Column, digits: int) -> Column:
+    """``value`` rounded for display: as a decimal, so that the last bit of a mean, which depends on the order of
+    summation, does not decide where it ends in 5."""
+    return F.round(value.cast("decimal(20,12)"), digits).cast("double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from speedloom.operators.ordering import bucket_edges, running_totals
@@ -72,6 +72,31 @@ def roc_points(curve: DataFrame) -> DataFrame:
     return points.unionByName(origin)
 
 
+def chart_points(curve: DataFrame, pieces: int = 200) -> DataFrame:
+    """The ROC curve thinned for a chart: at most 2 x ``pieces`` + 2 points, whatever its length.
+
+    False positive rates are cut into ``pieces`` equal parts (and the end); of each the first and last point stay. Between two points that stay the curve
+    rises within their rectangle, so each trapezoid is wrong by half of it at most, and all by 1 / (2 x ``pieces``).
+    """
+    points = roc_points(curve).withColumn("piece", F.floor(F.col("fpr") * pieces))
+    place = F.struct("fp", "tp")
+    row = F.struct("threshold", "tp", "fp", "tpr", "fpr")
+    ends = points.groupBy("piece").agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last"))
+    return ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("p")).select("p.*")
+
+
+def chart_error(curve: DataFrame, pieces: int = 200) -> DataFrame:
+    """One row: points of the thinned curve, its area, by how much that differs from the whole curve's, and the bound."""
+    # The window runs over the points of a chart, 2 x pieces + 2 at most.
+    order = Window.partitionBy(F.lit(0)).orderBy("fp", "tp")
+    steps = chart_points(curve, pieces).select(
+        "*", F.lag("fpr", 1, 0.0).over(order).alias("fpr_before"), F.lag("tpr", 1, 0.0).over(order).alias("tpr_before"))
+    area = F.sum((F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2)
+    whole = curve_areas(curve).select("auc_roc").scalar()
+    return steps.agg(F.count("*").alias("points"), area.alias("area")).select(
+        "points", "area", (F.col("area") - whole).alias("error"), F.lit(0.5 / pieces).alias("bound"))
+
+
 def curve_areas(curve: DataFrame) -> DataFrame:
     """One row: ROC area, PR area (trapezoids) and average precision (steps).
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from speedloom.functions.readings import shown
 from speedloom.functions.signals import green_extension_pct, strategy_text
 from speedloom.operators.reports import require_columns
 
@@ -32,6 +33,6 @@ def riskiest(plan: DataFrame, top: int = 5) -> DataFrame:
     return (
         plan.orderBy(F.desc_nulls_last("avg_prob"), F.desc_nulls_last("count_samples"), "date", "hour")
         .limit(top)
-        .withColumn("avg_prob_percent", F.round(F.col("avg_prob") * 100, 1))
-        .withColumn("avg_speed", F.round("avg_speed", 2))
+        .withColumn("avg_prob_percent", shown(F.col("avg_prob") * 100, 1))
+        .withColumn("avg_speed", shown(F.col("avg_speed"), 2))
     )

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from speedloom.functions.lenient import lenient_double, lenient_int
 from speedloom.functions.probability import with_probability
+from speedloom.functions.readings import shown
 
-PLAN_SCHEMA = ("date string, hour string, avg_prob string, avg_speed string, count_samples string, "
-               "green_extension_pct string, strategy string, horizon_min string")
+# Fixed values -- columns of a stored plan; files may lack some and hold them in any order.
+PLAN_COLUMNS = ("date", "hour", "avg_prob", "avg_speed", "count_samples", "green_extension_pct", "strategy",
+                "horizon_min")
 
 
 # -- sinks ------------------------------------------------------------------------------
@@ -61,19 +63,18 @@ def keep_first(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) ->
 
 def read_report(spark: SparkSession, paths: list[str], schema: str,
                 keys: tuple[str, ...]) -> DataFrame:
-    """A JSON report that may lie in several places; earlier places win per key.
+    """A JSON report that may lie in several places; per key, the row that comes first.
 
-    Reads all part files. Within one place the smallest row (by its columns) is kept.
+    Earlier places come first, then files by name, then rows as they stand in their file. All part files are read.
     """
-    parts = [
-        spark.read.schema(schema).json(p).withColumn("_place", F.lit(i))
-        for i, p in enumerate(paths)
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    columns = [c for c in union.columns if c != "_place"]
-    return keep_first(union, keys, ("_place", *[c for c in columns if c not in keys])).drop("_place")
+    # Numbers rise along a partition, which holds whole blocks in their order: within a block they tell the row's place.
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+          F.monotonically_increasing_id().alias("_row")]
+    union = None
+    for i, path in enumerate(paths):
+        part = spark.read.schema(schema).json(path).select("*", F.lit(i).alias("_place"), *at)
+        union = part if union is None else union.unionByName(part)
+    return keep_first(union, keys, ("_place", "_file", "_block", "_row")).drop("_place", "_file", "_block", "_row")
 
 
 def newest_folder(spark: SparkSession, path: str, pattern: str) -> str | None:
@@ -104,16 +105,36 @@ def head_of_plan(plan: DataFrame, rows: int | None = None) -> DataFrame:
     ordered = plan.orderBy("date", F.asc_nulls_last("hour"), "horizon_min", "avg_prob")
     return (
         (ordered if rows is None else ordered.limit(rows))
-        .withColumn("avg_prob_percent", F.round(F.col("avg_prob") * 100, 1))
-        .withColumn("avg_speed", F.round("avg_speed", 2))
+        .withColumn("avg_prob_percent", shown(F.col("avg_prob") * 100, 1))
+        .withColumn("avg_speed", shown(F.col("avg_speed"), 2))
     )
 
 
+def read_by_header(spark: SparkSession, folder: str, columns: tuple[str, ...]) -> DataFrame:
+    """CSV files of one folder as text columns, each file by its own header; what a file lacks is null.
+
+    Files are grouped by header, so the plan has as many scans as there are different headers.
+    """
+    lines = spark.read.text(folder, pathGlobFilter="*.csv").select("value", F.col("_metadata.file_path").alias("path"))
+    names = F.transform(F.split("value", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '["\ufeff]', ""))))
+    # A header names the first of the columns; no value of it does.
+    headers = lines.select("path", names.alias("names")).where(F.array_contains("names", columns[0])).distinct()
+    union = None
+    # One row per header and the files of one run: a listing, not data.
+    for row in headers.groupBy("names").agg(F.sort_array(F.collect_set("path")).alias("paths")).orderBy("names").collect():
+        schema = ", ".join(f"`{name or f'_{i}'}` string" for i, name in enumerate(row.names))
+        part = spark.read.schema(schema).option("header", True).csv(row.paths)
+        part = part.select(*[c for c in columns if c in row.names], F.col("_metadata.file_modification_time").alias("_written"))
+        union = part if union is None else union.unionByName(part, allowMissingColumns=True)
+    if union is None:
+        union = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns) + ", _written timestamp")
+    return union.select(*[F.col(c) if c in union.columns else F.lit(None).cast("string").alias(c) for c in columns], "_written")
+
+
 def read_signal_plan(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
     """All files of the newest plan below ``path``, with the time it was written."""
-    raw = spark.read.schema(PLAN_SCHEMA).option("header", True).csv(newest_folder(spark, path, "*.csv") or path)
-    written = raw.select(F.max("_metadata.file_modification_time")).scalar()
-    return head_of_plan(coerce_plan(raw), rows).withColumn("last_updated", written)
+    raw = read_by_header(spark, newest_folder(spark, path, "*.csv") or path, PLAN_COLUMNS)
+    return head_of_plan(coerce_plan(raw), rows).withColumn("last_updated", raw.select(F.max("_written")).scalar())
 
 
 def with_rebuilt_time(df: DataFrame) -> DataFrame:

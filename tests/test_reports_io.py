@@ -77,6 +77,9 @@ def test_ladder(spark):
     assert served.strategy == "Rút ngắn pha xanh 10% để ưu tiên hướng khác"
 
 
+PLAN_TEXT = ", ".join(f"{c} string" for c in io.PLAN_COLUMNS)
+
+
 def test_plan_round_trip_and_bad_rows(spark, scored, tmp_path):
     path = str(tmp_path / "plan")
     full = plan.signal_plan(scored, 15)
@@ -85,17 +88,36 @@ def test_plan_round_trip_and_bad_rows(spark, scored, tmp_path):
     assert back.count() == full.count()
     bad = spark.createDataFrame(
         [("not a date", "1", "0.5", "50", "3", "10", "s", "15"), ("2024-05-01", "x", "?", "", "2.0", "10", "s", "15"),
-         ("2024-05-01", "3", "0.123456", "50.129", "2", "10", "s", "15")], io.PLAN_SCHEMA)
+         ("2024-05-01", "3", "0.123456", "50.129", "2", "10", "s", "15")], PLAN_TEXT)
     rows = io.head_of_plan(io.coerce_plan(bad)).collect()
     assert [(r.hour, r.avg_prob, r.avg_speed, r.count_samples, r.avg_prob_percent) for r in rows] == [
         (3, 0.123456, 50.13, 2, 12.3), (None, None, None, 2, None)]
 
 
+def test_display_rounding_does_not_hang_on_the_last_bit(spark):
+    """Means that end in 5 at the third decimal, from sums in different orders."""
+    near = [(36.145,), (36.144999999999996,), (36.14500000000001,)]
+    df = spark.createDataFrame(near, "avg_speed double").selectExpr("avg_speed", "0.5d as avg_prob", "date'2024-01-01' as date", "1 as hour", "15 as horizon_min", "1L as count_samples")
+    assert {r.avg_speed for r in io.head_of_plan(df).collect()} == {36.15}
+    assert {r.avg_speed for r in plan.riskiest(df).collect()} == {36.15}
+
+
+def test_plan_files_by_their_own_header(spark, tmp_path):
+    folder = tmp_path / "plan"
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,hour,avg_prob,avg_speed,count_samples,green_extension_pct,strategy,horizon_min\n2024-05-01,3,0.5,50,2,20,s,15\n")
+    (folder / "b.csv").write_text('"horizon_min",Hour,"date",extra,strategy\n30,4,2024-05-02,?,"a, b"\n')
+    (folder / "c.csv").write_text("\ufeffdate,hour\n2024-05-03,5\n")
+    (folder / "d.csv").write_text("")
+    rows = [(r.date.day, r.hour, r.avg_prob, r.strategy, r.horizon_min) for r in io.read_signal_plan(spark, str(folder)).collect()]
+    assert rows == [(1, 3, 0.5, "s", 15), (2, 4, None, "a, b", 30), (3, 5, None, None, None)]
+
+
 def test_newest_files_only(spark, tmp_path):
     for i in range(12):
         folder = tmp_path / f"p{i:02d}"
         spark.createDataFrame([(f"2024-01-{i + 1:02d}", "1", "0.5", "50", "1", "20", "s", "15")],
-                              io.PLAN_SCHEMA).coalesce(1).write.option("header", True).csv(str(folder))
+                              PLAN_TEXT).coalesce(1).write.option("header", True).csv(str(folder))
         for f in folder.glob("*.csv"):
             os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     got = [r.date.day for r in io.read_signal_plan(spark, str(tmp_path)).collect()]
@@ -110,6 +132,15 @@ def test_report_reader_keeps_first_place(spark, tmp_path):
     assert sorted(values(out)) == [(1, 10.0), (2, 20.0), (3, 30.0)]
 
 
+def test_report_reader_keeps_rows_by_place_and_not_by_value(spark, tmp_path):
+    folder = tmp_path / "a"
+    folder.mkdir()
+    (folder / "part-0.json").write_text('{"hour": 1, "v": 9}\n{"hour": 1, "v": 2}\n{"hour": 2, "v": 7}\n')
+    (folder / "part-1.json").write_text('{"hour": 1, "v": 1}\n{"hour": 3, "v": 5}\n{"hour": 3, "v": 4}\n')
+    out = io.read_report(spark, [str(folder)], "hour int, v double", ("hour",))
+    assert sorted(values(out)) == [(1, 9.0), (2, 7.0), (3, 5.0)]
+
+
 def test_predictions_one_dataset_for_all_horizons(spark, scored, tmp_path):
     path = str(tmp_path / "pred")
     runs = [io.write_predictions(scored, path, h) for h in (15, 30)]

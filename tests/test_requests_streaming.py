@@ -90,19 +90,21 @@ def at(minute, sensor, speed):
 
 
 def test_slot_means_drop_late_rows(spark, tmp_path):
+    """Gaps count at the stored mean of their sensor; a sensor without one (c) takes no part."""
     folder, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    profile = spark.createDataFrame([("a", 20.0), ("b", 40.0), ("dead", None)], "sensor string, mean_speed double")
 
     def feed(*rows):
         _file(spark.createDataFrame(list(rows), SCHEMA), folder)
         stream = spark.readStream.schema(SCHEMA).parquet(folder)
-        jobs.run_available(jobs.stream_slot_means(stream, 5), out, progress)
+        jobs.run_available(jobs.stream_slot_means(stream, profile, 5), out, progress)
 
-    feed(at(1, "a", 10.0), at(2, "a", 20.0), at(3, "b", 45.0), at(6, "a", 50.0))
+    feed(at(1, "a", 10.0), at(2, "a", 20.0), at(3, "b", 45.0), at(6, "a", 50.0), at(7, "c", 90.0), at(12, "c", 90.0))
     feed(at(60, "a", 70.0))
     feed(at(1, "b", 99.0), at(120, "a", 70.0))  # Long after the slot closed.
     got = {r.timestamp.minute: (r.avg_speed, r.sensors) for r in spark.read.parquet(out).where(
         "timestamp < '2024-01-01 00:30:00'").collect()}
-    assert got == {0: (30.0, 2), 5: (50.0, 1)}
+    assert got == {0: (30.0, 2), 5: (45.0, 2), 10: (30.0, 1)}
 
 
 def test_repeats_across_batches(spark, tmp_path):
@@ -114,18 +116,43 @@ def test_repeats_across_batches(spark, tmp_path):
     assert sorted(values(spark.read.parquet(out), "sensor", "speed")) == [("a", 1.0), ("b", 2.0)]
 
 
+PLAN_INPUT = "timestamp timestamp, avg_speed double, prob_congestion double"
+
+
 def test_running_plan_takes_newest_measures(spark, tmp_path):
     folder, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
-    schema = "timestamp timestamp, avg_speed double, prob_congestion double"
 
-    def feed(*rows):
-        _file(spark.createDataFrame([(at(m, "", 0)[0], v, p) for m, v, p in rows], schema), folder)
-        jobs.stream_plan(spark.readStream.schema(schema).parquet(folder), out, progress).awaitTermination()
+    def feed(*rows, progress=progress, folder=folder):
+        _file(spark.createDataFrame([(at(m, "", 0)[0], v, p) for m, v, p in rows], PLAN_INPUT), folder)
+        jobs.stream_plan(spark.readStream.schema(PLAN_INPUT).parquet(folder), out, progress).awaitTermination()
+
+    def plan():
+        return {r.hour: (r.avg_prob, r.avg_speed, r.count_samples, r.green_extension_pct)
+                for r in jobs.stored_plan(spark, out, 15).collect()}
 
+    assert plan() == {}
     feed((5, 40.0, 0.2), (65, 40.0, 0.9))
     feed((10, 60.0, 0.8))
-    log = spark.read.parquet(out)
-    got = {r.hour: (r.avg_prob, r.avg_speed, r.count_samples, r.green_extension_pct)
-           for r in jobs.latest_plan(log, 15).collect()}
-    assert got == {0: (0.5, 50.0, 2, 20), 1: (0.9, 40.0, 1, 30)}
-    assert jobs.compact_plan_log(log).count() == 2 and log.count() == 3
+    assert plan() == {0: (0.5, 50.0, 2, 20), 1: (0.9, 40.0, 1, 30)}
+    # A new checkpoint counts its batches from 0 again; its hours win, and those that it has not seen stay.
+    feed((7, 30.0, 0.1), progress=progress + "-anew", folder=folder + "-anew")
+    assert plan() == {0: (0.1, 30.0, 1, -10), 1: (0.9, 40.0, 1, 30)}
+
+
+def test_plan_store_is_merged_and_survives_repeats(spark, tmp_path):
+    out = str(tmp_path / "plan")
+    schema = "date date, hour int, avg_prob double, avg_speed double, count_samples long"
+    day = dt.date(2024, 1, 1)
+    batches = 2 * jobs.MERGE_AFTER + 3
+    for i in range(batches):
+        rows = [(day, i % 5, i / 100, 40.0, i), (day, 23, 0.5, 40.0, i)]
+        for _ in range(1 + (i == 3)):  # one batch is repeated
+            jobs.upsert_measures(spark.createDataFrame(rows, schema), out, 1000, i)
+    got = {r.hour: r.count_samples for r in jobs.stored_measures(spark, out).collect()}
+    assert got == {**{i % 5: i for i in range(batches)}, 23: batches - 1}
+    manifest = jobs.read_manifest(spark, out)
+    assert len(manifest.folders) <= jobs.MERGE_AFTER
+    stored = spark.read.parquet(*[f"{out}/data/{x}" for x in manifest.folders]).count()
+    assert stored <= 6 + 2 * jobs.MERGE_AFTER
+    jobs.upsert_measures(spark.createDataFrame([(day, 23, 0.1, 1.0, -1)], schema), out, 999, 500)  # an older run
+    assert {r.hour: r.count_samples for r in jobs.stored_measures(spark, out).collect()}[23] == batches - 1
