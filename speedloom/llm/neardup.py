@@ -8,10 +8,12 @@ threshold or above; candidates are confirmed on the full sets, recomputed from t
 
 No bucket is expanded into all its pairs: first every member is compared with the smallest of its bucket and only its best
 estimates are confirmed. That joins most members of a group of copies. Then members of one bucket that are still in
-different components are compared by signature, in blocks of BLOCK x BLOCK members whatever the size of the bucket, and
-candidates are confirmed, the best first, as long as they would join two components. A link between two documents can
-only be missed if they share no band (6e-7 at a similarity of 0.8) or their estimate is MARGIN too low (6e-5 there), and
-either matters only if nothing else connects the two.
+different components are compared by signature, in blocks of BLOCK x BLOCK members whatever the size of the bucket. The
+members that have a candidate there get their texts, and the block confirms its candidates itself, the best first, as long as
+they would join two components; only confirmed links that do, fewer than the block has members, leave the task. A link
+between two documents can only be missed if they share no band (6e-7 at a similarity of 0.8, for independent minima) or their
+estimate is MARGIN too low (6e-5 there), and either matters only if nothing else connects the two. Minima come from
+multiply-add keys, which are independent in pairs only.
 
 Null, empty and blank texts have no shingles and are linked with nothing: their component is their own. Repeated doc_ids
 give a row each, with the smallest as component. An empty table gives an empty result. Only doc_id and text are read.
@@ -29,8 +31,6 @@ ROWS, BANDS, MINIMA, BITS = 3, 20, 256, 4
 MARGIN = 0.1
 #: Members of a bucket that are compared with each other at a time, and texts that one text is confirmed against.
 BLOCK = 1024
-#: Candidates of each document that are confirmed in the rounds before the last, which takes all that are left.
-ROUNDS = (4,)
 KEYS = (mixed(np.arange(1, 2 * MINIMA + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32)
 MULTIPLY, ADD = (KEYS[:MINIMA] | np.uint32(1))[:, None], KEYS[MINIMA:][:, None]
 
@@ -133,6 +133,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share at least so many percent of their union."""
+    small, large = sorted((a, b), key=len)
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of documents whose sets share at least so many percent of their union.
 
@@ -154,10 +162,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFram
                     if b is None:
                         left = shingles
                     else:
-                        small, large = sorted((left, shingles), key=len)
-                        at = np.searchsorted(large, small)
-                        both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                        if 100 * both >= percent * (len(left) + len(shingles) - both):
+                        if similar(left, shingles, percent):
                             out.append((a, b))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
@@ -173,64 +178,108 @@ def with_estimate(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return both.select("a", "b", estimate(equal_entries("sign_a", "sign_b")).alias("estimate")).where(F.col("estimate") >= percent / 100 - MARGIN)
 
 
-def apart_in_buckets(members: DataFrame, percent: int) -> DataFrame:
-    """a, b, estimate of members of one bucket that lie in different components and may reach the threshold.
+BLOCK_KEYS = ["key", "i", "j"]
+
+
+def candidate_pairs(part: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of one block pair that lie in different components and may reach the threshold, in pairs with their estimate.
 
-    members: band, key, id, component, n, sign, bands, size (of the bucket). A pair is told only by the first of the bands that
-    it shares: its bucket there also holds two components, so no pair is lost and none is told twice. Members are dealt into blocks, and each pair of
+    A pair is told only by the first of the bands that it shares: its bucket there also holds two components, so no pair is
+    lost and none is told twice.
+    """
+    everyone = np.arange(len(part["id"]))
+    diagonal = part["i"][0] == part["j"][0]
+    left, right = (everyone, everyone) if diagonal else (everyone[part["side"] == 0], everyone[part["side"] == 1])
+    words, least, earlier = MINIMA // 64, percent / 100 - MARGIN, slice(0, int(part["band"][0]))
+    sign, component, n, bands = (part[x] for x in ("sign", "component", "n", "bands"))
+    found = [(left[:0], right[:0], np.empty(0))]
+    for at in range(0, len(left), 256):
+        some = left[at : at + 256]
+        equal = np.zeros((len(some), len(right)), np.int64)
+        for w in range(words):
+            differ = np.zeros(equal.shape, np.int64)
+            for plane in range(BITS):
+                differ |= sign[some, None, plane * words + w] ^ sign[None, right, plane * words + w]
+            equal += 64 - np.bitwise_count(differ.view(np.uint64)).astype(np.int64)  # of signed values it would count the absolute value's bits
+        guess = estimate(equal)
+        small, large = np.minimum(n[some, None], n[right]), np.maximum(n[some, None], n[right])
+        r, c = np.nonzero((guess >= least) & (component[some, None] != component[right]) & (100 * small >= percent * large))
+        p, q = some[r], right[c]
+        new = ~(bands[p][:, earlier] == bands[q][:, earlier]).any(axis=1)
+        if diagonal:
+            new &= p < q
+        found.append((p[new], q[new], guess[r[new], c[new]]))
+    return tuple(np.concatenate([x[k] for x in found]) for k in range(3))
+
+
+def block_parts(batches):
+    """Each block pair of more than one row: its table and its columns as arrays."""
+    for whole, starts in whole_groups(batches, BLOCK_KEYS):
+        part = {x: whole.column(x).to_numpy() for x in ("i", "j", "side", "band", "id", "component", "n")}
+        for x in ("sign", "bands"):
+            part[x] = whole.column(x).combine_chunks().flatten().to_numpy().reshape(len(part["id"]), -1)
+        for lo, hi in zip(starts, starts[1:]):
+            if hi - lo > 1:
+                yield whole.slice(lo, hi - lo), {x: v[lo:hi] for x, v in part.items()}
+
+
+def with_candidates(members: DataFrame, percent: int) -> DataFrame:
+    """The members, per pair of blocks of their bucket, that have a candidate in another component there.
+
+    members: band, key, id, component, n, sign, bands, size (of the bucket). They are dealt into blocks, and each pair of
     blocks is compared on its own, so that no bucket has to fit in one task.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     mine = mine.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     mine = mine.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), F.when(F.col("block") <= F.col("with"), 0).otherwise(1).alias("side"), "band", "id", "component", "n", "sign", "bands")
-    least = percent / 100 - MARGIN
-
-    def compare(part: dict[str, np.ndarray], out: list) -> None:
-        if part["i"][0] == part["j"][0]:
-            left = right = slice(None)
-        else:
-            left, right = part["side"] == 0, part["side"] == 1
-        a_sign, b_sign = part["sign"][left], part["sign"][right]
-        a_id, b_id, a_c, b_c, a_n, b_n = (part[x][side] for x in ("id", "component", "n") for side in (left, right))
-        words = MINIMA // 64
-        for at in range(0, len(a_id), 256):
-            some = slice(at, at + 256)
-            equal = np.zeros((len(a_id[some]), len(b_id)), np.int64)
-            for w in range(words):
-                differ = np.zeros(equal.shape, np.int64)
-                for plane in range(BITS):
-                    differ |= a_sign[some, None, plane * words + w] ^ b_sign[None, :, plane * words + w]
-                equal += 64 - np.bitwise_count(differ.view(np.uint64)).astype(np.int64)  # of signed values it would count the absolute value's bits
-            guess = estimate(equal)
-            x, y = np.minimum(a_n[some, None], b_n), np.maximum(a_n[some, None], b_n)
-            r, c = np.nonzero((guess >= least) & (a_c[some, None] != b_c) & (100 * x >= percent * y))
-            earlier = slice(0, int(part["band"][0]))
-            new = ~(part["bands"][left][some][r][:, earlier] == part["bands"][right][c][:, earlier]).any(axis=1)
-            r, c = r[new], c[new]
-            p, q = a_id[some][r], b_id[c]
-            out.append(np.unique(np.rec.fromarrays([np.minimum(p, q), np.maximum(p, q), guess[r, c]], names="a,b,e")))
 
     def rows(batches):
-        for whole, starts in whole_groups(batches, ["key", "i", "j"]):
-            part = {x: whole.column(x).to_numpy() for x in ("i", "j", "side", "band", "id", "component", "n")}
-            for x in ("sign", "bands"):
-                part[x] = whole.column(x).combine_chunks().flatten().to_numpy().reshape(len(part["id"]), -1)
-            out: list[np.ndarray] = []
-            for lo, hi in zip(starts, starts[1:]):
-                if hi - lo > 1:
-                    compare({x: v[lo:hi] for x, v in part.items()}, out)
-            got = np.unique(np.concatenate(out)) if out else np.empty(0, [("a", "i8"), ("b", "i8"), ("e", "f8")])
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[x])) for x in ("a", "b", "e")], names=["a", "b", "estimate"])
+        for whole, part in block_parts(batches):
+            p, q, _ = candidate_pairs(part, percent)
+            if len(p):
+                yield from whole.take(pa.array(np.unique(np.concatenate([p, q])))).to_batches()
+
+    dealt = mine.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+    return dealt.mapInArrow(rows, mine.schema)
+
+
+def links_in_blocks(members: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: confirmed links that join the components of each block pair (``with_candidates`` and text)."""
+
+    def rows(batches):
+        for whole, part in block_parts(batches):
+            p, q, guess = candidate_pairs(part, percent)
+            top: dict[int, int] = {}
+            sets: dict[int, np.ndarray] = {}
+            texts = whole.column("text")
+
+            def root(c: int) -> int:
+                while (up := top.get(c, c)) != c:
+                    top[c] = c = top.get(up, up)
+                return c
 
-    dealt = mine.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(rows, "a long, b long, estimate double")
+            def shingles(k: int) -> np.ndarray:
+                if k not in sets:
+                    sets[k] = shingle_set((texts[k].as_py() or "").encode(), n)
+                return sets[k]
 
+            order, ids, out = np.argsort(-guess, kind="stable"), part["id"], []
+            components = part["component"].tolist()
+            for x, y in zip(p[order].tolist(), q[order].tolist()):
+                a, b = root(components[x]), root(components[y])
+                if a != b and similar(shingles(x), shingles(y), percent):
+                    top[max(a, b)] = min(a, b)
+                    out.append((int(ids[x]), int(ids[y])))
+            yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
 
-def best(pairs: DataFrame, count: int) -> DataFrame:
-    """The pairs that are among the best of their smaller-numbered partner's side: the ``count`` best of each b."""
-    top = F.expr(f"slice(sort_array(collect_list(struct(estimate, a)), false), 1, {count})") if count > 1 else F.array(F.max(F.struct("estimate", "a")))
-    return pairs.groupBy("b").agg(top.alias("top")).select("b", F.explode("top").alias("t")).select(F.col("t.a").alias("a"), "b", F.col("t.estimate").alias("estimate"))
+    dealt = members.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
+    return dealt.mapInArrow(rows, "a long, b long")
+
+
+def best(pairs: DataFrame) -> DataFrame:
+    """Of each b, the pair with the highest estimate."""
+    return pairs.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("t")).select(F.col("t.a").alias("a"), "b", F.col("t.estimate").alias("estimate"))
 
 
 def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80) -> DataFrame:
@@ -244,26 +293,18 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 80) -> DataFrame
     members = stage(in_band.join(shared, "key"), "near-members")
 
     stars = members.where("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    near = best(with_estimate(stars, sketch, percent), 1)
+    near = best(with_estimate(stars, sketch, percent))
     links = stage(confirm(near, docs, n, percent), "near-links")
     known = components(links, "near-components")
 
     labelled = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = labelled.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
     unsure = labelled.join(split, "key").join(classes.drop("digest"), "id")
-    left = stage(apart_in_buckets(unsure, percent), "near-apart")
-
-    for count in (*ROUNDS, None):
-        own = lambda x: known.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}"))
-        open_pairs = left.join(own("a"), "a", "left").join(own("b"), "b", "left")
-        open_pairs = open_pairs.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b", "estimate")
-        some = stage(best(open_pairs, count) if count else open_pairs, "near-open")
-        if some.isEmpty():
-            break
-        new = stage(confirm(some, docs, n, percent), "near-links")
-        links = links.union(new)
-        known = components(links, "near-components")
-        left = left.join(some.select("a", "b"), ["a", "b"], "left_anti") if count else left
+    asked = stage(with_candidates(unsure, percent), "near-candidates")
+    if not asked.isEmpty():
+        texts = docs.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+        new = stage(links_in_blocks(asked.join(texts, "id"), n, percent), "near-links")
+        known = components(links.union(new), "near-components")
 
     of_class = classes.select("digest", "id").join(known, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = seen.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
