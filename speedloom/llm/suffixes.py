@@ -3,7 +3,9 @@
 Every LENGTH-byte window of a text has an anchor: the GRAM bytes in it with the least hash (the first of equals). Equal windows
 have equal anchors, so documents that share a window share an anchor, and windows are only compared with those of their anchor.
 
-1. Each worker sorts the anchors of its documents; buckets of anchors find those in more than one document.
+Equal texts come first: all of them but the one with the smallest doc_id are removed whole, and only that one takes part below.
+
+1. Each worker sorts the anchors of its texts; buckets of anchors find those in more than one text.
 2. Texts are joined with their own repeated anchors. The windows that share an occurrence of one form a string of at most
    LENGTH + SPAN - 1 bytes; equal strings of a worker count once, with their smallest document. The strings of a
    shard are sorted into one Burrows-Wheeler transform per bucket of anchors.
@@ -39,7 +41,7 @@ SPAN = LENGTH - GRAM + 1
 #: Windows whose anchors are looked for at a time; positions in them take POSITION bits of the compared hashes.
 CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 20
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
 ANCHORS, STRINGS, PLACES = 1 << 20, 1 << 18, 1 << 20
 HOT, MOST_HOT = 4096, 1 << 20
@@ -124,7 +126,7 @@ ASKED = "bucket long, key long, known array<long>, anchors binary, documents bin
 
 
 def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
-    """key, anchors: the anchors of a document that others have too; null key: anchors of more than ``hot`` documents. Staged."""
+    """key, anchors: the anchors of a text (named by its print) that others have too; null key: anchors of more than ``hot`` texts. Staged."""
 
     def asked(keys: np.ndarray, values: np.ndarray):
         order = np.lexsort((keys, values))
@@ -138,7 +140,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
         key, known = by_document(keys[several], values[several])
         nothing = lambda n, kind: pa.nulls(n, kind)
         yield pa.RecordBatch.from_arrays([pa.array(key.to_numpy() % buckets), key, known, *[nothing(len(key), pa.binary())] * 3], names=names)
-        head, owner = values[ends[:-1]], np.where(count > 1, -1, keys[ends[:-1]])
+        head, owner = values[ends[:-1]], keys[ends[:-1]]
         bucket = bucket_of(head, buckets)
         at = cuts(bucket)
         parts = list(zip(at[:-1].tolist(), at[1:].tolist()))
@@ -151,7 +153,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 text, _, _, value = anchored(raw(part))
-                held.append((part.column("key").to_numpy()[text], value))
+                held.append((part.column("print").to_numpy()[text], value))
                 size += len(value)
                 if size >= ANCHORS:
                     yield from asked(*(np.concatenate([x[i] for x in held]) for i in (0, 1)))
@@ -175,7 +177,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                 values, owner, count = values[order], owner[order], count[order]
                 ends = cuts(values)
                 total = np.add.reduceat(count, ends[:-1])
-                several = np.repeat((np.diff(ends) > 1) | (total > 1), np.diff(ends)) & (owner >= 0)
+                several = np.repeat((np.diff(ends) > 1) & (total > 1), np.diff(ends)) & (count == 1)  # with more, the worker knew itself
                 key, known = by_document(owner[several], values[several])
                 frequent = values[ends[:-1]][total > hot].view(np.int64)
                 if len(frequent):
@@ -197,21 +199,22 @@ def symbols(strings: list[bytes]) -> np.ndarray:
     return out
 
 
-def sorted_places(key: np.ndarray, bits: int) -> np.ndarray:
-    """Places of the keys (of so many bits) in order, equal ones as they stand: the place is sorted with the key where both fit in a word."""
+def in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys (of so many bits) in order, equal ones as they stand, and the sorted keys: place and key are sorted in one word where both fit."""
     width = max(1, int(len(key) - 1).bit_length())
     if bits + width > 63:
-        return np.argsort(key, kind="stable")
-    return np.sort(key << width | np.arange(len(key))) & ((1 << width) - 1)
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    both = np.sort(key << width | np.arange(len(key)))
+    return both & ((1 << width) - 1), both >> width
 
 
 def named(key: np.ndarray, old: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Names of the classes of sorted keys inside sorted old classes, and which are in company: the old name plus the place in it."""
-    at = np.arange(len(key))
-    new = np.concatenate([[True], key[1:] != key[:-1]])
-    head = np.concatenate([[True], old[1:] != old[:-1]])
-    start = np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(head, at, 0))
-    return old + start, ~(new & np.concatenate([new[1:], [True]]))
+    at, within = cuts(key), cuts(old)
+    size = np.diff(at)
+    start = np.repeat(at[:-1], size) - np.repeat(within[:-1], np.diff(within))
+    return old + start, np.repeat(size > 1, size)
 
 
 def transform(strings: list[bytes]) -> np.ndarray:
@@ -219,38 +222,33 @@ def transform(strings: list[bytes]) -> np.ndarray:
     text = symbols(strings)
     n = len(text)
     size = np.array([len(x) + 1 for x in strings], np.int64)
-    left = np.repeat(np.cumsum(size), size) - np.arange(n)  # symbols up to the end, with it
+    left = (np.repeat(np.cumsum(size), size) - np.arange(n)).astype(np.int32)  # symbols up to the end, with it
     used = np.flatnonzero(np.bincount(text, minlength=257))  # symbols by rank, so that more of them fit in a key
     bits = max(1, int(len(used) - 1).bit_length())
     rank = np.zeros(257, np.int64)
     rank[used] = np.arange(len(used))
-    one = rank[text]
     width = max(1, int(n - 1).bit_length())
-    span, word = 1, one
-    while (span + 1) * bits + width <= 63 and span < 12:  # nothing follows an end: its rank is 0
+    most = max(1, (63 - width) // bits)
+    span, word = 1, rank[text]
+    while span < most:  # nothing follows an end: its rank is 0
+        more = min(span, most - span)
         following = np.zeros(n, np.int64)
-        following[:-span] = one[span:]
-        following[left <= span] = 0
-        span, word = span + 1, word << bits | following
-    order = sorted_places(word, span * bits)
+        following[:-span] = word[span:] >> bits * (span - more)
+        following *= left > span
+        span, word = span + more, word << bits * more | following
+    some, word = in_order(word, span * bits)
     start = np.empty(n, np.int64)
-    start[order], company = named(word[order], np.zeros(n, np.int64))
-    some = order[company]  # in the order of their classes
-    while len(some):
-        later = np.zeros(len(some), np.int64)
-        goes_on = left[some] > span
-        later[goes_on] = start[some[goes_on] + span]
-        some = some[sorted_places(start[some] << width | later, 2 * width)]
-        old = start[some]
-        goes_on = left[some] > span
-        later = np.zeros(len(some), np.int64)
-        later[goes_on] = start[some[goes_on] + span]
-        start[some], company = named(old << width | later, old)
-        span *= 2
-        if span > size.max():
+    start[some], company = named(word, np.zeros(n, np.int64))
+    while span <= size.max():
+        some = some[company]  # in the order of their classes
+        if not len(some):
             break
-        some = some[company]
-    return text[sorted_places(start, width) - 1]
+        later = start[np.minimum(some + span, n - 1)] * (left[some] > span)
+        order, key = in_order(start[some] << width | later, 2 * width)
+        some = some[order]
+        start[some], company = named(key, key >> width)
+        span *= 2
+    return text[in_order(start, width)[0] - 1]
 
 
 def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
@@ -325,7 +323,9 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
     """Transforms of the strings around repeated anchors (a row per shard and bucket) and where the strings stand (a row per shard). Staged."""
     frequent = anchors.where("key is null").select(F.explode("anchors").alias("a"))
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(frequent, "a"))  # 2 MB whatever the input
-    of_doc = anchors.where("key is not null").groupBy("key").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
+    of_text = anchors.where("key is not null").groupBy(F.col("key").alias("print")).agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
+    firsts = docs.groupBy("print").agg(F.min("key").alias("key"))
+    of_doc = of_text.join(firsts, "print")
 
     def rows(batches):
         bits = np.frombuffer(sent.value, np.uint8)
@@ -363,11 +363,13 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
             least = np.full(len(strings), NEVER)
             np.minimum.at(least, number, keys[of])
             names, place = list(strings), np.array(bucket, np.int64)
-            order = np.array(sorted(range(len(names)), key=lambda i: (bucket[i], names[i])), np.int64)
+            order = np.argsort(place, kind="stable")
+            at = cuts(place[order])
+            order = np.array([i for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()) for i in sorted(order[lo:hi].tolist(), key=names.__getitem__)], np.int64)
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             size = np.array([len(x) for x in names], np.int64)[order] - LENGTH + 1
-            at, name, fields = cuts(place[order]), uuid.uuid4().hex, [x.split()[0] for x in SHARD.split(", ")]
+            name, fields = uuid.uuid4().hex, [x.split()[0] for x in SHARD.split(", ")]
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
                 some = order[lo:hi]
                 told = zstandard.compress(transform([names[i] for i in some.tolist()]).view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
@@ -385,7 +387,7 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         if places:
             yield from closed()
 
-    return stage(docs.join(of_doc, "key").select("key", "print", "text", "anchors").mapInArrow(rows, SHARD), "passage-shards")
+    return stage(docs.join(of_doc, ["key", "print"]).select("key", "print", "text", "anchors").mapInArrow(rows, SHARD), "passage-shards")
 
 
 def merged_shards(parts: DataFrame, buckets: int) -> DataFrame:
@@ -453,14 +455,23 @@ def document_spans(parts: DataFrame, answers: DataFrame) -> DataFrame:
     return places.join(answers, "shard").mapInArrow(rows, "key long, print long, first array<long>, last array<long>")
 
 
+def later_copies(docs: DataFrame) -> DataFrame:
+    """key, print of the documents whose whole text, long enough, stands in one with a smaller key."""
+    long = docs.where(F.octet_length("text") >= LENGTH).select("key", "print", F.sha2("text", 256).alias("digest"))
+    several = long.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    return long.join(several, "digest").where("key > least").select("key", "print").distinct()
+
+
 def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept: the bytes left) of every document."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
     buckets = max(1, -(-size // BUCKET_BYTES))
     keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NEVER))).alias("key"), F.xxhash64("text").alias("print"), "text")
-    anchors = repeated_anchors(keyed.select("key", "text"), buckets, max(HOT, size // (SPAN + 1) * 2 // MOST_HOT))
+    anchors = repeated_anchors(keyed.select("print", "text"), buckets, max(HOT, size // (SPAN + 1) * 2 // MOST_HOT))
     parts = shards(keyed.drop("doc_id"), anchors, buckets)
     spans = document_spans(parts, merged_shards(parts, buckets))
+    whole = F.array(F.lit(0).cast("long")).alias("first"), F.array(F.lit(int(NEVER) >> 8)).alias("last")
+    spans = spans.union(later_copies(keyed).select("key", "print", *whole))
     of_doc = spans.groupBy("key", "print").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("last")).alias("last"))
 
     def rows(batches):
@@ -471,7 +482,7 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
                     if first.is_valid:
                         first, last = (x.values.to_numpy() for x in (first, last))
                         order = np.argsort(first, kind="stable")
-                        first, last, _ = joined_spans(first[order], last[order], np.arange(len(first)) == 0)
+                        first, last, _ = joined_spans(first[order], np.minimum(last[order], len(text)), np.arange(len(first)) == 0)
                         edges = [0, *np.stack([first, last], axis=1).reshape(-1).tolist(), len(text)]
                         kept = b"".join(text[lo:hi] for lo, hi in zip(edges[::2], edges[1::2]))
                         out.append((len(text), len(text) - len(kept), len(first), hashlib.sha256(kept).hexdigest(), kept))
