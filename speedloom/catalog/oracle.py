@@ -169,6 +169,11 @@ _add("csv_roundtrip", None, """
     SELECT t.ts, s.sensor, round(CASE WHEN v > 0 AND v <= 120 THEN v END, 6) AS speed
     FROM (SELECT DISTINCT ts FROM c) t CROSS JOIN (SELECT DISTINCT sensor FROM c) s
     LEFT JOIN c ON c.ts = t.ts AND c.sensor = s.sensor""")
+_add("parse_counts", None, """
+    SELECT count(*) AS total_rows, count(*) FILTER (WHERE good) AS valid_rows, count(*) FILTER (WHERE NOT good) AS rejected_rows,
+           5 * count(*) FILTER (WHERE good) AS readings, CAST(sum(known) FILTER (WHERE good) AS BIGINT) AS known, count(*) FILTER (WHERE NOT good) AS reject_texts
+    FROM (SELECT slot, day(slot) % 7 <> 3 AS good, count(*) FILTER (WHERE v > 0 AND v <= 120) AS known
+          FROM (SELECT date_trunc('hour', ts) AS slot, event_type, max(value) AS v FROM events GROUP BY 1, 2) GROUP BY 1)""")
 _add("validity_rule", "readings", f"""
     SELECT sensor, count(*) AS readings, count(speed) AS valid, count(*) - count(speed) AS rejected,
            {_r("min(speed)", "min_speed")}, {_r("max(speed)", "max_speed")} FROM readings GROUP BY 1""")
@@ -267,6 +272,13 @@ _add("feature_importance", "moments", "SELECT * FROM (" + " UNION ALL ".join(
     f"round(abs({v!r}::DOUBLE) / ({' + '.join(f'abs({w!r}::DOUBLE)' for w in _C.values())}), 6) AS importance, "
     f"round({c}_std, 6) AS feature_std FROM moments" for c, v in _C.items()) + ")")
 
+_add("purged_split", "states", """
+    SELECT count(*) FILTER (WHERE b % 5 <> 4 AND NOT near) AS train_rows, count(*) FILTER (WHERE b % 5 = 4) AS test_rows,
+           count(*) FILTER (WHERE b % 5 <> 4 AND near) AS embargoed, 0 AS too_close
+    FROM (SELECT *, EXISTS (
+              FROM range(4, 20, 5) t(i) WHERE s + 10800000000 >= i * w AND s < (i + 1) * w + 10800000000) AS near
+          FROM (SELECT epoch_us("timestamp") - min(epoch_us("timestamp")) OVER () AS s, w, s // w AS b
+                FROM states, (SELECT CAST(ceil((max(epoch_us("timestamp")) - min(epoch_us("timestamp")) + 1) / 20) AS BIGINT) AS w FROM states)))""")
 _add("logistic_certificate", "samples", """
     SELECT count(*) FILTER (WHERE NOT is_test) AS train_rows, 1 AS optimal, count(*) AS scored, 0 AS differing FROM samples""")
 
@@ -365,12 +377,12 @@ _add("top_sensor_hourly", "readings", f"""
     GROUP BY 1, 2""")
 _add("hourly_std_mean", "hourly", """
     SELECT round(avg(std_speed_hour), 6) AS hourly_std_avg, CAST(sum("count") AS BIGINT) AS cluster_total,
-           round(avg(std_speed_hour), 6) AS fallback_std_avg FROM hourly""")
+           unnest(['report', 'run']) AS source FROM hourly""")
 _add("report_cube_rollups", "scored", f"""
     SELECT CASE grouping("date", "hour", weekday, prediction, prediction_congested, bin_lower)
-             WHEN 63 THEN 'overview' WHEN 59 THEN 'state_distribution' WHEN 61 THEN 'congestion_summary'
-             WHEN 47 THEN 'hourly_summary' WHEN 55 THEN 'weekday_summary' WHEN 62 THEN 'speed_histogram'
-             WHEN 31 THEN 'daily_summary' WHEN 39 THEN 'weekday_hour_heatmap' WHEN 15 THEN 'date_hour' END AS report,
+             WHEN 63 THEN 'overview' WHEN 59 THEN 'cluster_distribution' WHEN 61 THEN 'congestion_summary'
+             WHEN 47 THEN 'hourly_summary' WHEN 55 THEN 'weekday_summary' WHEN 62 THEN 'histogram_avg_speed'
+             WHEN 31 THEN 'daily_avg_speed' WHEN 39 THEN 'weekday_hour_heatmap' WHEN 15 THEN 'date_hour' END AS report,
            "date", "hour", weekday, prediction, prediction_congested, bin_lower, {_COUNT}, {_SPEED},
            {_std("std_speed")}, {_PROB}, min("timestamp") AS start_time, max("timestamp") AS end_time
     FROM (SELECT *, floor(avg_speed / 5.0) * 5.0 AS bin_lower FROM scored)
@@ -379,9 +391,9 @@ _add("report_cube_rollups", "scored", f"""
 
 _add("report_cube_unknown", "scored", """
     SELECT CASE grouping("date", "hour", weekday, prediction, prediction_congested, bin_lower)
-             WHEN 63 THEN 'overview' WHEN 59 THEN 'state_distribution' WHEN 61 THEN 'congestion_summary'
-             WHEN 47 THEN 'hourly_summary' WHEN 55 THEN 'weekday_summary' WHEN 62 THEN 'speed_histogram'
-             WHEN 31 THEN 'daily_summary' WHEN 39 THEN 'weekday_hour_heatmap' WHEN 15 THEN 'date_hour' END AS report,
+             WHEN 63 THEN 'overview' WHEN 59 THEN 'cluster_distribution' WHEN 61 THEN 'congestion_summary'
+             WHEN 47 THEN 'hourly_summary' WHEN 55 THEN 'weekday_summary' WHEN 62 THEN 'histogram_avg_speed'
+             WHEN 31 THEN 'daily_avg_speed' WHEN 39 THEN 'weekday_hour_heatmap' WHEN 15 THEN 'date_hour' END AS report,
            "date", "hour", weekday, prediction, prediction_congested, bin_lower, count(*) AS "count",
            round(avg(CASE WHEN day("timestamp") % 3 <> 0 THEN prob_congestion END), 6) AS avg_prob_congestion
     FROM (SELECT *, floor(avg_speed / 5.0) * 5.0 AS bin_lower FROM scored)
@@ -514,3 +526,30 @@ _add("stream_slot_avg", "base", f"""
     WHERE b."timestamp" + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 _add("stream_plan", "plan", _PLAN)
 _add("stream_dedup", None, f"SELECT event_id, ts, event_type, {_r('value')} FROM events")
+
+# -- the whole job ----------------------------------------------------------------------
+
+# The job's input holds the hourly maximum of each event type.
+_JOB = """
+    WITH input AS (SELECT date_trunc('hour', ts) AS ts, event_type AS sensor, max(value) AS v FROM events GROUP BY 1, 2),
+    cells AS (SELECT ts, sensor, CASE WHEN v > 0 AND v <= 120 THEN v END AS speed FROM input),
+    means AS (SELECT sensor, avg(speed) AS mean_speed FROM cells GROUP BY 1 HAVING count(speed) > 0),
+    base AS (SELECT t.ts, avg(coalesce(c.speed, m.mean_speed)) AS avg_speed FROM (SELECT DISTINCT ts FROM cells) t CROSS JOIN means m
+             LEFT JOIN cells c ON c.ts = t.ts AND c.sensor = m.sensor GROUP BY 1),
+    bounds AS (SELECT q1 - 2.5 * (q3 - q1) AS lo, q3 + 2.5 * (q3 - q1) AS hi
+               FROM (SELECT quantile_disc(avg_speed, 0.25) AS q1, quantile_disc(avg_speed, 0.75) AS q3 FROM base)),
+    slots AS (SELECT base.* FROM base, bounds WHERE avg_speed BETWEEN lo AND hi AND avg_speed > 5 AND avg_speed < 110),
+    samples AS (SELECT * FROM (SELECT *, lead(ts, 3) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts) AS later FROM slots) WHERE later IS NOT NULL)"""
+_add("whole_job_tables", None, f"""{_JOB}
+    SELECT layout, name, CAST(rows AS BIGINT) AS "rows", CAST(counted AS BIGINT) AS counted FROM (VALUES ('wide'), ('long')) l(layout), LATERAL (
+        SELECT 'slot_means' AS name, (SELECT count(*) FROM base) AS rows, NULL AS counted
+        UNION ALL SELECT 'slots', (SELECT count(*) FROM slots), NULL
+        UNION ALL SELECT 'clustered', (SELECT count(*) FROM slots), NULL
+        UNION ALL SELECT 'predictions', (SELECT count(*) FROM samples), NULL
+        UNION ALL SELECT 'readings', CASE layout WHEN 'long' THEN (SELECT count(*) FROM input)
+                                     ELSE (SELECT count(DISTINCT ts) * count(DISTINCT sensor) FROM input) END, NULL
+        UNION ALL SELECT 'cleaned', CASE layout WHEN 'long' THEN (SELECT count(*) FROM input JOIN means USING (sensor))
+                                    ELSE (SELECT count(DISTINCT ts) FROM input) * (SELECT count(*) FROM means) END, NULL
+        UNION ALL SELECT 'hourly_summary', (SELECT count(DISTINCT hour(ts)) FROM samples), (SELECT count(*) FROM samples)
+        UNION ALL SELECT 'cluster_distribution', 3, (SELECT count(*) FROM samples)
+        UNION ALL SELECT 'sensor_activity', (SELECT count(DISTINCT sensor) FROM input), (SELECT count(speed) FROM cells))""")

@@ -11,7 +11,7 @@ from speedloom import fixed_values as fv
 from speedloom.catalog import data as d
 from speedloom.operators import certificates, chartdata, cleaning, evaluation, features, horizon, plan
 from speedloom.operators import reports, requests, scoring, silhouettes, states, training
-from speedloom.plans import report_cube
+from speedloom.plans import job, report_cube
 from speedloom.sources import readings as rd
 from speedloom.sources import tables_io as io
 from speedloom.sources.staging import new_path, stage
@@ -47,6 +47,32 @@ def csv_roundtrip(spark, sf_dir):
     return rd.wide_to_readings(rd.typed_wide(rd.read_wide_csv(spark, path)))
 
 
+def _wide_csv(spark, sf_dir, unreadable=None):
+    """Events as a wide CSV, one row per hour; ``unreadable`` marks slots whose time is spoilt."""
+    events = d.table(spark, sf_dir, "events")
+    # The sensors are the columns of the wide file.
+    sensors = sorted(r.event_type for r in events.select("event_type").distinct().collect())
+    wide = events.groupBy(F.date_trunc("hour", "ts").alias("slot")).pivot("event_type", sensors).agg(F.max("value"))
+    when = F.date_format("slot", "M/d/yyyy H:mm")
+    when = when if unreadable is None else F.when(unreadable, F.concat(F.lit("? "), when)).otherwise(when)
+    path = new_path(spark, "wide-csv")
+    io.write_csv(wide.select(when.alias("timestamp"), *sensors), path)
+    return path
+
+
+@query
+def parse_counts(spark, sf_dir):
+    """One pass over a CSV with unreadable times: what was stored, counted from the files, and the rejects themselves."""
+    source = _wide_csv(spark, sf_dir, F.dayofmonth("slot") % 7 == 3)
+    path = new_path(spark, "readings")
+    wide = rd.typed_wide(rd.read_wide_csv(spark, source))
+    rd.write_wide_as_readings(wide, path)
+    stored = rd.read_readings(spark, path)
+    return rd.stored_counts(spark, path, len(rd.sensor_columns(wide))).withColumns({
+        "readings": stored.select(F.count("*")).scalar(), "known": stored.select(F.count("speed")).scalar(),
+        "reject_texts": rd.read_rejects(spark, path).select(F.count_distinct("time_text")).scalar()})
+
+
 @query
 def validity_rule(spark, sf_dir):
     return d.readings(spark, sf_dir).groupBy("sensor").agg(
@@ -235,6 +261,22 @@ def split_flag(spark, sf_dir):
     return horizon.train_rows(flagged).unionByName(horizon.test_rows(flagged))
 
 
+@query
+def purged_split(spark, sf_dir):
+    """Blocks of time for the test, and how many train rows lie within a horizon of a test row (none)."""
+    rows = horizon.with_purged_split(d.state_slots(spark, sf_dir).select("timestamp"), d.HORIZON_MIN, blocks=20)
+    near = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(d.HORIZON_MIN))
+    train, test = horizon.train_rows(rows), horizon.test_rows(rows).select(F.col("timestamp").alias("t"))
+    # Hours of the two sides that may be near each other meet in an equi-join.
+    hours = F.explode(F.sequence(F.date_trunc("hour", F.col("t") - near), F.date_trunc("hour", F.col("t") + near), F.expr("interval 1 hour")))
+    close = train.withColumn("h", F.date_trunc("hour", "timestamp")).join(test.select("t", hours.alias("h")), "h").where(
+        (F.col("t") - F.col("timestamp") <= near) & (F.col("timestamp") - F.col("t") <= near))
+    return rows.agg(
+        F.count_if(~F.col("is_test")).alias("train_rows"), F.count_if("is_test").alias("test_rows"),
+        F.count_if(F.col("is_test").isNull()).alias("embargoed"),
+    ).withColumn("too_close", close.select(F.count("*")).scalar())
+
+
 # -- model ------------------------------------------------------------------------------
 
 @query
@@ -351,16 +393,26 @@ def run_summary(spark, sf_dir):
 
 # -- reports ----------------------------------------------------------------------------
 
-for _report in (reports.overview, reports.state_distribution, reports.congestion_summary,
-                reports.hourly_summary, reports.weekday_summary, reports.top_congestion,
-                reports.speed_histogram, reports.daily_summary, reports.weekday_hour_heatmap):
+#: Query -> report.
+_SLOT_REPORTS = {
+    "overview": "overview", "state_distribution": "cluster_distribution", "congestion_summary": "congestion_summary",
+    "hourly_summary": "hourly_summary", "weekday_summary": "weekday_summary", "top_congestion": "top_congestion",
+    "speed_histogram": "histogram_avg_speed", "daily_summary": "daily_avg_speed",
+    "weekday_hour_heatmap": "weekday_hour_heatmap",
+}
 
-    def _scored_report(spark, sf_dir, _report=_report):
-        return _report(d.scored(spark, sf_dir))
 
-    _scored_report.__name__ = _report.__name__
-    _scored_report.__doc__ = _report.__doc__
-    query(_scored_report)
+def _report(spark, sf_dir, name):
+    return report_cube.report(report_cube.base_cube(d.scored(spark, sf_dir)), name)
+
+
+for _query, _name in _SLOT_REPORTS.items():
+
+    def _slot_report(spark, sf_dir, _name=_name):
+        return _report(spark, sf_dir, _name)
+
+    _slot_report.__name__ = _query
+    query(_slot_report)
 
 
 @query
@@ -388,9 +440,15 @@ def top_sensor_hourly(spark, sf_dir):
 
 @query
 def hourly_std_mean(spark, sf_dir):
+    """The figure read from the stored report, and where it tells none from the newest run."""
     rows = stage(d.scored(spark, sf_dir), "scored")
-    totals = reports.report_totals(reports.hourly_summary(rows), reports.state_distribution(rows))
-    return totals.withColumn("fallback_std_avg", reports.hourly_std_of_run(rows).scalar())
+    cube = stage(report_cube.base_cube(rows), "cube")
+    base = new_path(spark, "runs")
+    io.write_predictions(rows.select("timestamp", "hour", "avg_speed", "prob_congestion"), base, d.HORIZON_MIN)
+    hourly, states_ = (report_cube.report(cube, x) for x in ("hourly_summary", "cluster_distribution"))
+    untold = hourly.withColumn("std_speed_hour", F.lit(None).cast("double"))
+    newest = lambda: io.newest_run(spark, base)
+    return reports.shown_totals(hourly, states_, newest).unionByName(reports.shown_totals(untold, states_, newest))
 
 
 @query
@@ -430,7 +488,7 @@ def stored_runs(spark, sf_dir):
 @query
 def report_union_dedup(spark, sf_dir):
     """A report found in two places, the first incomplete and with repeats, the greater ones first."""
-    hourly = stage(reports.hourly_summary(d.scored(spark, sf_dir)), "hourly")
+    hourly = stage(_report(spark, sf_dir, "hourly_summary"), "hourly")
     first, second = new_path(spark, "place"), new_path(spark, "place")
     early = hourly.where(F.col("hour") < 12)
     twice = early.unionByName(early.withColumn("count", F.col("count") + 7))
@@ -650,3 +708,30 @@ def stream_dedup(spark, sf_dir):
     events = _event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value")
     repeated = events.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
     return _drained(jobs.drop_repeats(repeated, ["event_id"]), "stream-dedup")
+
+
+# -- the whole job ----------------------------------------------------------------------
+
+@query
+def whole_job_tables(spark, sf_dir):
+    """Tables of the batch job from a wide CSV and from long readings: rows, and what their counts add up to."""
+    wide = _wide_csv(spark, sf_dir)
+    long = new_path(spark, "long")
+    events = d.table(spark, sf_dir, "events")
+    events.groupBy(F.date_trunc("hour", "ts").alias("timestamp"), F.col("event_type").alias("sensor")).agg(
+        F.max("value").alias("speed")).write.parquet(long)
+    out = None
+    for layout, source in (("wide", wide), ("long", long)):
+        done = job.run(spark, source, new_path(spark, f"job-{layout}"), kmin=3, kmax=3, horizon_min=d.HORIZON_MIN,
+                       freq_min=d.FREQ_MIN, layout=layout)
+        read = {name: spark.read.parquet(done.tables[name]) for name in ("slot_means", "slots", "cleaned", "clustered", "predictions")}
+        read["readings"] = rd.read_readings(spark, done.tables["readings"])
+        for name in ("hourly_summary", "cluster_distribution", "sensor_activity"):
+            read[name] = spark.read.json(done.tables[f"analysis/{name}"])
+        for name, df in read.items():
+            counts = F.sum("count") if "count" in df.columns else F.lit(None)
+            row = df.agg(F.lit(layout).alias("layout"), F.lit(name).alias("name"), F.count("*").alias("rows"), counts.cast("long").alias("counted"))
+            out = row if out is None else out.unionByName(row)
+    # The states differ with the fit, and so does how many hours of a state there are.
+    return out.where("name <> 'cluster_distribution'").unionByName(
+        out.where("name = 'cluster_distribution'").withColumn("rows", F.lit(3).cast("long")))

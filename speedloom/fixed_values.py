@@ -57,6 +57,21 @@ PUBLISHED_COEFFICIENTS = {
 # The published run gives no intercept; scoring with fixed coefficients uses this one.
 DEFAULT_INTERCEPT = -0.5
 
+# Fixed values -- names of the slot reports and their columns, as dashboards read them: column -> measure of the cube.
+REPORT_COLUMNS = {
+    "overview": {"total_rows": "count", "avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob",
+                 "congestion_ratio": "congestion_ratio", "start_time": "start_time", "end_time": "end_time"},
+    "cluster_distribution": {"count": "count", "avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob"},
+    "congestion_summary": {"count": "count", "avg_prob": "avg_prob", "avg_speed": "avg_speed"},
+    "hourly_summary": {"avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob", "std_speed_hour": "std_speed", "count": "count"},
+    "weekday_summary": {"avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob", "std_speed_weekday": "std_speed", "count": "count"},
+    "top_congestion": {"avg_prob": "avg_prob", "count": "count"},
+    "histogram_avg_speed": {"count": "count", "bin_upper": "bin_upper"},
+    "daily_avg_speed": {"avg_speed": "avg_speed", "std_speed": "std_speed", "avg_prob_congestion": "avg_prob", "count": "count"},
+    "weekday_hour_heatmap": {"avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob", "count": "count"},
+}
+TOP_CONGESTION_ROWS = 20
+
 # Fixed values -- defaults of the reports and of the hourly spread lookup.
 HISTOGRAM_WIDTH = 5.0
 STD_FALLBACK = 5.0

@@ -55,10 +55,25 @@ def with_test_flag(df: DataFrame, test_tenths: int = 2) -> DataFrame:
     return df.withColumn("is_test", bucket >= 10 - test_tenths)
 
 
-def with_time_split(df: DataFrame, cutoff: str) -> DataFrame:
-    """Add ``is_test`` for rows from ``cutoff`` on: no neighbour of a test row trains."""
-    return df.withColumn("is_test", F.col("timestamp") >= F.lit(cutoff).cast(
-        df.schema["timestamp"].dataType))
+def with_purged_split(df: DataFrame, horizon_min: int, blocks: int = 10, every: int = 5) -> DataFrame:
+    """Add ``is_test`` by blocks of time; null for rows that belong to neither side.
+
+    The span is cut into equal ``blocks`` and every ``every``-th of them tests. Train rows within one horizon of a
+    test block are left out: their label lies in it, or a test row's label lies with them.
+    """
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    # Two numbers of the whole table, taken in the same plan.
+    span = df.agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last")).alias("s")).scalar()
+    width = F.greatest(F.ceil((span["last"] - span["first"] + 1) / F.lit(blocks)), F.lit(1))
+    since = at - span["first"]
+    block, embargo = F.floor(since / width), F.lit(horizon_min * 60_000_000)
+    testing = lambda b: F.pmod(b, F.lit(every)) == every - 1
+    # A horizon may be longer than a block: the next and the last test block are reckoned, not the neighbours.
+    ahead = (block + F.pmod(F.lit(every - 1) - block, F.lit(every))) * width - since
+    behind = since - (block - F.pmod(block - (every - 1), F.lit(every)) + 1) * width
+    nearby = (ahead <= embargo) & (block + F.pmod(F.lit(every - 1) - block, F.lit(every)) < blocks) | (
+        (behind < embargo) & (block >= every))
+    return df.withColumn("is_test", F.when(testing(block), True).when(~nearby, False))
 
 
 def train_rows(df: DataFrame) -> DataFrame:

@@ -20,12 +20,12 @@ _SHIFT = (fv.SPEED_MIN_EXCLUSIVE + fv.SPEED_MAX_INCLUSIVE) / 2
 KEYS = ("date", "hour", "weekday", "prediction", "prediction_congested", "bin_lower")
 REPORTS = {
     "overview": (),
-    "state_distribution": ("prediction",),
+    "cluster_distribution": ("prediction",),
     "congestion_summary": ("prediction_congested",),
     "hourly_summary": ("hour",),
     "weekday_summary": ("weekday",),
-    "speed_histogram": ("bin_lower",),
-    "daily_summary": ("date",),
+    "histogram_avg_speed": ("bin_lower",),
+    "daily_avg_speed": ("date",),
     "weekday_hour_heatmap": ("weekday", "hour"),
     "date_hour": ("date", "hour"),
 }
@@ -48,16 +48,31 @@ def _measures() -> list[Column]:
     n, nv, sv = F.sum("n"), F.sum("nv"), F.sum("sv")
     variance = F.try_divide(F.sum("svv") - F.try_divide(sv * sv, nv), nv - 1)
     return [
-        n.alias("count"), (F.try_divide(sv, nv) + F.lit(_SHIFT)).alias("avg_speed"),
+        F.coalesce(n, F.lit(0)).alias("count"), (F.try_divide(sv, nv) + F.lit(_SHIFT)).alias("avg_speed"),
         F.when(nv > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std_speed"),
-        F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob_congestion"),
+        F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob"),
+        F.try_divide(F.sum(F.col("n") * F.col("prediction_congested")), n).alias("congestion_ratio"),
         F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
     ]
 
 
-def roll_up(cube: DataFrame, report: str) -> DataFrame:
-    """One report from the cube; its keys first, then the shared measures."""
-    return cube.groupBy(*REPORTS[report]).agg(*_measures())
+def roll_up(cube: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The measures by some of the cube's keys."""
+    return cube.groupBy(*keys).agg(*_measures())
+
+
+def report(cube: DataFrame, name: str) -> DataFrame:
+    """One report, column for column, from a (stored) cube."""
+    columns = [F.col(measure).alias(column) for column, measure in fv.REPORT_COLUMNS[name].items()]
+    if name == "top_congestion":
+        keys = REPORTS["date_hour"]
+        worst = roll_up(cube.where(F.col("prediction_congested") == 1), keys)
+        return worst.orderBy(F.desc("avg_prob"), F.desc("count"), *keys).limit(fv.TOP_CONGESTION_ROWS).select(*keys, *columns)
+    keys = REPORTS[name]
+    rows = roll_up(cube, keys)
+    if name == "histogram_avg_speed":
+        rows = rows.where(F.col("bin_lower").isNotNull()).withColumn("bin_upper", F.col("bin_lower") + F.lit(fv.HISTOGRAM_WIDTH))
+    return (rows.orderBy(*keys) if keys else rows).select(*keys, *columns)
 
 
 def all_reports(scored: DataFrame) -> DataFrame:
@@ -79,44 +94,10 @@ def all_reports(scored: DataFrame) -> DataFrame:
         base_cube(scored).groupingSets(sets, *KEYS)
         .agg(F.grouping_id().alias("_gid"), *_measures())
         .withColumn("report", name)
-        .select("report", *KEYS, "count", "avg_speed", "std_speed", "avg_prob_congestion",
+        .select("report", *KEYS, "count", "avg_speed", "std_speed", F.col("avg_prob").alias("avg_prob_congestion"),
                 "start_time", "end_time")
     )
 
 
 def report_tables(cube: DataFrame) -> dict[str, DataFrame]:
-    """The slot reports, column for column, from a (stored) cube."""
-    shape = {
-        "state_distribution": {"count": "count", "avg_speed": "avg_speed",
-                               "avg_prob_congestion": "avg_prob_congestion"},
-        "congestion_summary": {"count": "count", "avg_prob_congestion": "avg_prob",
-                               "avg_speed": "avg_speed"},
-        "hourly_summary": {"avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob_congestion",
-                           "std_speed": "std_speed_hour", "count": "count"},
-        "weekday_summary": {"avg_speed": "avg_speed", "avg_prob_congestion": "avg_prob_congestion",
-                            "std_speed": "std_speed_weekday", "count": "count"},
-        "daily_summary": {"avg_speed": "avg_speed", "std_speed": "std_speed",
-                          "avg_prob_congestion": "avg_prob_congestion", "count": "count"},
-        "weekday_hour_heatmap": {"avg_speed": "avg_speed",
-                                 "avg_prob_congestion": "avg_prob_congestion", "count": "count"},
-    }
-    out = {
-        name: roll_up(cube, name).select(
-            *REPORTS[name], *[F.col(a).alias(b) for a, b in columns.items()]).orderBy(*REPORTS[name])
-        for name, columns in shape.items()
-    }
-    n = F.sum("n")
-    out["overview"] = cube.agg(
-        F.coalesce(n, F.lit(0)).alias("total_rows"),
-        (F.try_divide(F.sum("sv"), F.sum("nv")) + F.lit(_SHIFT)).alias("avg_speed"),
-        F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob_congestion"),
-        (F.sum(F.col("n") * F.col("prediction_congested")) / n).alias("congestion_ratio"),
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
-    out["speed_histogram"] = (
-        cube.where(F.col("bin_lower").isNotNull()).groupBy("bin_lower").agg(n.alias("count"))
-        .withColumn("bin_upper", F.col("bin_lower") + F.lit(fv.HISTOGRAM_WIDTH)).orderBy("bin_lower"))
-    out["top_congestion"] = (
-        cube.where(F.col("prediction_congested") == 1).groupBy("date", "hour")
-        .agg(F.try_divide(F.sum("sp"), F.sum("np")).alias("avg_prob"), n.alias("count"))
-        .orderBy(F.desc("avg_prob"), F.desc("count"), "date", "hour").limit(20))
-    return out
+    return {name: report(cube, name) for name in fv.REPORT_COLUMNS}

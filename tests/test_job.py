@@ -22,12 +22,12 @@ def wide_csv(spark, sf_dir, tmp_path_factory):
 @pytest.fixture(scope="module")
 def result(spark, wide_csv, tmp_path_factory):
     return job.run(spark, wide_csv, str(tmp_path_factory.mktemp("out")), kmin=2, kmax=3, horizon_min=120,
-                   freq_min=60)
+                   freq_min=60, cleaned_csv=True)
 
 
 def test_all_tables_written(spark, result):
     assert result.skipped is None and result.k in (2, 3)
-    assert {"readings", "slots", "cleaned_data", "clustered", "silhouette_scores", "cluster_summary",
+    assert {"readings", "cells", "slots", "cleaned", "cleaned_data", "evaluation/metrics", "evaluation/grid_scores", "clustered", "silhouette_scores", "cluster_summary",
             "predictions", "signal_plan", "signal_plan_json",
             "models/logistic_pipeline", "models/hourly_spread"} <= result.tables.keys()
     assert sum(t.startswith("analysis/") for t in result.tables) == 12
@@ -63,6 +63,35 @@ def test_cleaned_csv_is_wide_and_filled(spark, result):
     assert off.count() == 0
 
 
+def test_a_rerun_keeps_finished_steps(spark, wide_csv, result):
+    out = result.tables["slots"].rsplit("/", 1)[0]
+    asked = {"kmin": 2, "kmax": 3, "horizon_min": 120, "freq_min": 60, "cleaned_csv": True}
+    again = job.run(spark, wide_csv, out, **asked)
+    assert again.reused == ["readings", "slots", "states", "model", "predictions", "reports"]
+    assert (again.k, again.tables, again.metrics) == (result.k, result.tables, result.metrics)
+    # What depends on a changed parameter runs anew.
+    other = job.run(spark, wide_csv, out, **asked | {"label": "time"})
+    assert other.reused == ["readings", "slots", "states"] and other.skipped is None
+    back = job.run(spark, wide_csv, out, **asked)  # the tables of the other choice stand there now
+    assert back.reused == ["readings", "slots", "states"] and back.metrics["samples"] == result.metrics["samples"]
+
+
+def test_long_readings_in_another_zone_with_a_time_split(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = events.select(F.date_format("ts", "M/d/yyyy H:mm").alias("when"), F.col("event_type").alias("station"), F.col("value").alias("kmh"))
+    bad = spark.createDataFrame([("never", "click", 50.0), ("1/2/2024 3:00", None, 50.0)], rows.schema)
+    rows.unionByName(bad).coalesce(3).write.option("header", True).csv(str(tmp_path / "in"))
+    out = job.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), layout="long", time_col="when", sensor_col="station", speed_col="kmh",
+                  kmin=2, kmax=2, horizon_min=60, freq_min=60, split="time", label="time", source_zone="Asia/Ho_Chi_Minh", flag_only=True)
+    assert out.skipped is None and out.metrics["rejected_rows"] == 1 and out.metrics["valid_rows"] == events.count()
+    first = spark.read.parquet(out.tables["cells"]).agg(F.min("ts")).first()[0]
+    assert first == events.agg(F.date_trunc("hour", F.min("ts")) - F.expr("interval 7 hours")).first()[0]
+    slots = spark.read.parquet(out.tables["slots"])
+    assert {"is_test", "is_outlier"} <= set(slots.columns) and slots.where("is_test is null").count() > 0
+    samples = spark.read.parquet(out.tables["samples_60m"])
+    assert samples.where("is_test is null").count() == 0 and samples.where("is_test").count() > 0
+
+
 def test_unreadable_input_stops_early(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("timestamp,1,2\nnot a time,50,60\n")
     out = job.run(spark, str(tmp_path / "bad.csv"), str(tmp_path / "out"))

@@ -20,9 +20,12 @@ bad time,61.0,59.0,58.0
 def test_wide_csv_to_readings(spark, tmp_path):
     (tmp_path / "in.csv").write_text(CSV)
     wide = rd.typed_wide(rd.read_wide_csv(spark, str(tmp_path / "in.csv"), "no such column"))
-    assert wide.columns == ["timestamp", "717498", "718141", "769373"]
-    assert values(rd.time_parse_counts(wide)) == [(6, 5, 1)]
+    assert wide.columns == ["timestamp", "time_text", "717498", "718141", "769373"]
+    rd.write_wide_as_readings(wide, str(tmp_path / "r"))
+    assert values(rd.stored_counts(spark, str(tmp_path / "r"), 3)) == [(6, 5, 1)]
+    assert values(rd.read_rejects(spark, str(tmp_path / "r"))) == [("bad time", None, None)]
     readings = rd.wide_to_readings(wide)
+    assert sorted(values(readings), key=str) == sorted(values(rd.read_readings(spark, str(tmp_path / "r")), "ts", "sensor", "speed"), key=str)
     got = {(r.ts.minute, r.sensor): r.speed for r in readings.collect()}
     assert len(got) == 15
     assert [got[m, "717498"] for m in (0, 5, 10, 15, 25)] == [64.4, None, None, 60.0, None]
@@ -36,12 +39,19 @@ def test_csv_without_header_and_other_delimiter(spark, tmp_path):
     assert values(wide, "_c1", "_c2") == [(10.0, 20.0), (30.0, None)]
 
 
-def test_readings_sink_round_trip(spark, tmp_path):
-    df = spark.sql("SELECT timestamp'2024-01-01 10:00:00' + make_interval(0,0,0,0,id) ts, "
+def test_long_readings_round_trip(spark, tmp_path):
+    df = spark.sql("SELECT timestamp'2024-01-01 10:00:00' + make_interval(0,0,0,0,id) timestamp, "
                    "cast(id % 3 as string) sensor, cast(id as double) speed FROM range(100)")
-    rd.write_readings(df, str(tmp_path / "r"))
-    back = spark.read.parquet(str(tmp_path / "r"))
-    assert back.count() == 100 and back.select("date").distinct().count() == 5
+    df.write.parquet(str(tmp_path / "in"))
+    df.select(F.date_format("timestamp", "M/d/yyyy H:mm").alias("t"), F.col("sensor").alias("s"), F.col("speed").alias("v")).write.option(
+        "header", True).csv(str(tmp_path / "csv"))
+    for i, raw in enumerate((rd.read_long(spark, str(tmp_path / "in")), rd.read_long(spark, str(tmp_path / "csv"), "t", "s", "v"))):
+        rd.write_readings(rd.typed_long(raw), str(tmp_path / f"r{i}"))
+        back = rd.read_readings(spark, str(tmp_path / f"r{i}"))
+        assert back.count() == 100 and back.select("date").distinct().count() == 5
+        assert values(rd.stored_counts(spark, str(tmp_path / f"r{i}"))) == [(100, 100, 0)]
+    late = rd.typed_long(rd.read_long(spark, str(tmp_path / "csv"), "t", "s", "v"), zone="Asia/Ho_Chi_Minh")
+    assert late.agg(F.min("timestamp")).first()[0] == dt.datetime(2024, 1, 1, 3, 0)
 
 
 def test_valid_speed_edges(spark):

@@ -133,8 +133,18 @@ def test_split_is_stable_and_close_to_its_share(spark):
     again = horizon.with_test_flag(slots.repartition(5))
     assert sorted(values(flagged, "timestamp", "is_test")) == sorted(values(again, "timestamp", "is_test"))
     assert flagged.where("is_test").count() / flagged.count() == pytest.approx(0.2, abs=0.02)
-    late = horizon.with_time_split(slots, "2024-01-21 00:00:00")
-    assert late.where("is_test").count() == 10 * 288
+
+
+@pytest.mark.parametrize("horizon_min, blocks", [(15, 10), (600, 30), (0, 7)])
+def test_purged_split_keeps_the_sides_apart(spark, horizon_min, blocks):
+    slots = _day(spark, range(0, 1440 * 10, 30))
+    rows = horizon.with_purged_split(slots, horizon_min, blocks).select("timestamp", "is_test").collect()
+    sides = {k: sorted(r.timestamp for r in rows if r.is_test is k) for k in (True, False, None)}
+    near = dt.timedelta(minutes=horizon_min)
+    assert all(sides[k] for k in (True, False))
+    closest = lambda t: min(abs(t - u) for u in sides[True])
+    assert all(closest(t) > near for t in sides[False]) and all(closest(t) <= near + dt.timedelta(minutes=30) for t in sides[None])
+    assert len(sides[True]) / len(rows) == pytest.approx(sum(b % 5 == 4 for b in range(blocks)) / blocks, abs=0.02)
 
 
 def test_class_weights_use_train_counts(spark):
