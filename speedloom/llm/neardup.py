@@ -31,6 +31,8 @@ ROWS, BANDS, MINIMA, BITS = 3, 20, 256, 4
 MARGIN = 0.1
 #: Members of a bucket that are compared with each other at a time, and texts that one text is confirmed against.
 BLOCK = 1024
+#: Of these, as many are compared with all others before what was found is confirmed.
+STRIP = 128
 KEYS = (mixed(np.arange(1, 2 * MINIMA + 1, dtype=np.uint64) * M1) >> np.uint64(32)).astype(np.uint32)
 MULTIPLY, ADD = (KEYS[:MINIMA] | np.uint32(1))[:, None], KEYS[MINIMA:][:, None]
 
@@ -181,10 +183,11 @@ def with_estimate(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
 BLOCK_KEYS = ["key", "i", "j"]
 
 
-def candidate_pairs(part: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def candidate_strips(part: dict[str, np.ndarray], percent: int):
     """Rows of one block pair that lie in different components and may reach the threshold, in pairs with their estimate.
 
-    A pair is told only by the first of the bands that it shares: its bucket there also holds two components, so no pair is
+    STRIP rows of a block at a time, by the components as they are then: the caller may join some in between. A pair
+    is told only by the first of the bands that it shares: its bucket there also holds two components, so no pair is
     lost and none is told twice.
     """
     everyone = np.arange(len(part["id"]))
@@ -192,24 +195,25 @@ def candidate_pairs(part: dict[str, np.ndarray], percent: int) -> tuple[np.ndarr
     left, right = (everyone, everyone) if diagonal else (everyone[part["side"] == 0], everyone[part["side"] == 1])
     words, least, earlier = MINIMA // 64, percent / 100 - MARGIN, slice(0, int(part["band"][0]))
     sign, component, n, bands = (part[x] for x in ("sign", "component", "n", "bands"))
-    found = [(left[:0], right[:0], np.empty(0))]
-    for at in range(0, len(left), 256):
-        some = left[at : at + 256]
-        equal = np.zeros((len(some), len(right)), np.int64)
+    for at in range(0, len(left), STRIP):
+        some = left[at : at + STRIP]
+        apart = component[some, None] != component[right]
+        if not apart.any():
+            continue
+        equal = np.zeros(apart.shape, np.int64)
         for w in range(words):
-            differ = np.zeros(equal.shape, np.int64)
+            differ = np.zeros(apart.shape, np.int64)
             for plane in range(BITS):
                 differ |= sign[some, None, plane * words + w] ^ sign[None, right, plane * words + w]
             equal += 64 - np.bitwise_count(differ.view(np.uint64)).astype(np.int64)  # of signed values it would count the absolute value's bits
         guess = estimate(equal)
         small, large = np.minimum(n[some, None], n[right]), np.maximum(n[some, None], n[right])
-        r, c = np.nonzero((guess >= least) & (component[some, None] != component[right]) & (100 * small >= percent * large))
+        r, c = np.nonzero(apart & (guess >= least) & (100 * small >= percent * large))
         p, q = some[r], right[c]
-        new = ~(bands[p][:, earlier] == bands[q][:, earlier]).any(axis=1)
-        if diagonal:
-            new &= p < q
-        found.append((p[new], q[new], guess[r[new], c[new]]))
-    return tuple(np.concatenate([x[k] for x in found]) for k in range(3))
+        new = p < q if diagonal else np.ones(len(p), bool)
+        for band in range(earlier.stop):
+            new &= bands[p, band] != bands[q, band]
+        yield p[new], q[new], guess[r[new], c[new]]
 
 
 def block_parts(batches):
@@ -220,7 +224,7 @@ def block_parts(batches):
             part[x] = whole.column(x).combine_chunks().flatten().to_numpy().reshape(len(part["id"]), -1)
         for lo, hi in zip(starts, starts[1:]):
             if hi - lo > 1:
-                yield whole.slice(lo, hi - lo), {x: v[lo:hi] for x, v in part.items()}
+                yield whole.slice(lo, hi - lo), {x: v[lo:hi].copy() if x == "component" else v[lo:hi] for x, v in part.items()}
 
 
 def with_candidates(members: DataFrame, percent: int) -> DataFrame:
@@ -236,9 +240,11 @@ def with_candidates(members: DataFrame, percent: int) -> DataFrame:
 
     def rows(batches):
         for whole, part in block_parts(batches):
-            p, q, _ = candidate_pairs(part, percent)
-            if len(p):
-                yield from whole.take(pa.array(np.unique(np.concatenate([p, q])))).to_batches()
+            asked = np.zeros(len(part["id"]), bool)
+            for p, q, _ in candidate_strips(part, percent):
+                asked[p] = asked[q] = True
+            if asked.any():
+                yield from whole.filter(pa.array(asked)).to_batches()
 
     dealt = mine.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
     return dealt.mapInArrow(rows, mine.schema)
@@ -249,7 +255,6 @@ def links_in_blocks(members: DataFrame, n: int, percent: int) -> DataFrame:
 
     def rows(batches):
         for whole, part in block_parts(batches):
-            p, q, guess = candidate_pairs(part, percent)
             top: dict[int, int] = {}
             sets: dict[int, np.ndarray] = {}
             texts = whole.column("text")
@@ -264,13 +269,15 @@ def links_in_blocks(members: DataFrame, n: int, percent: int) -> DataFrame:
                     sets[k] = shingle_set((texts[k].as_py() or "").encode(), n)
                 return sets[k]
 
-            order, ids, out = np.argsort(-guess, kind="stable"), part["id"], []
-            components = part["component"].tolist()
-            for x, y in zip(p[order].tolist(), q[order].tolist()):
-                a, b = root(components[x]), root(components[y])
-                if a != b and similar(shingles(x), shingles(y), percent):
-                    top[max(a, b)] = min(a, b)
-                    out.append((int(ids[x]), int(ids[y])))
+            ids, out, component = part["id"], [], part["component"]
+            for p, q, guess in candidate_strips(part, percent):
+                order = np.argsort(-guess, kind="stable")
+                for x, y in zip(p[order].tolist(), q[order].tolist()):
+                    a, b = root(int(component[x])), root(int(component[y]))
+                    if a != b and similar(shingles(x), shingles(y), percent):
+                        top[max(a, b)] = min(a, b)
+                        out.append((int(ids[x]), int(ids[y])))
+                component[:] = [root(c) for c in component.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in out], pa.int64()), pa.array([max(x) for x in out], pa.int64())], names=["a", "b"])
 
     dealt = members.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS)
