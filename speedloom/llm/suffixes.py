@@ -43,11 +43,31 @@ CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
-ANCHORS, STRINGS, PLACES = 1 << 20, 1 << 18, 1 << 20
+ANCHORS, STRINGS, PLACES = 1 << 19, 1 << 17, 1 << 19
+#: Compressed bytes of text that are unpacked at a time (one document at least).
+AT_ONCE = 1 << 20
 HOT, MOST_HOT = 4096, 1 << 20
 NEVER = np.iinfo(np.int64).max
 
 
+def pressed(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns and the compressed bytes of the text: half of what Spark's own compression leaves of them in a shuffle."""
+
+    def rows(batches):
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array([press(x) for x in raw(part)], pa.binary())], names=[*names, "data"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    return docs.select(*names, "text").mapInArrow(rows, ", ".join(f"{c} {kinds[c]}" for c in names) + ", data binary")
+
+
+def unpressed(part: pa.RecordBatch) -> list[bytes]:
+    press = zstandard.ZstdDecompressor().decompress
+    return [press(x) for x in part.column("data").to_pylist()]
+
+
 def pack(x: np.ndarray) -> bytes:
     """64-bit values, compressed byte by byte of their places."""
     return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
@@ -79,7 +99,10 @@ def least_of(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchored(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor: text, first window, number of windows, hash of the anchor."""
+    """Runs of windows with one anchor: text, first window, number of windows, hash of the anchor.
+
+    48 bits of the hash: anchors that agree by chance are compared with each other in vain, and their bytes decide.
+    """
     sizes = np.array([len(x) for x in texts], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes)])
     buffer = np.frombuffer(b"".join(texts), np.uint8)
@@ -98,7 +121,7 @@ def anchored(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         count = np.diff(np.concatenate([first, [len(owner)]]))
         kept = owner[first] >= 0
         first, count = first[kept], count[kept]
-        found.append((first + at, count, h[owner[first]]))
+        found.append((first + at, count, h[owner[first]] >> np.uint64(16)))
     if not found:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
     first, count, value = (np.concatenate([x[i] for x in found]) for i in range(3))
@@ -107,7 +130,8 @@ def anchored(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Bucket of 48-bit hashes, the smaller ones in the first."""
+    return ((h >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def cuts(x: np.ndarray) -> np.ndarray:
@@ -333,7 +357,7 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         bucket, held, documents = [], [], []
 
         def add(part: pa.RecordBatch) -> int:
-            texts = raw(part)
+            texts = unpressed(part)
             text, first, count, value = anchored(texts)
             lists = part.column("anchors")
             of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -351,7 +375,7 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
                 at = strings.get(x)
                 if at is None:
                     at = strings[x] = len(strings)
-                    bucket.append(bucket_of(np.uint64(xxhash.xxh64_intdigest(x)), buckets) if own else place)
+                    bucket.append(bucket_of(np.uint64(xxhash.xxh64_intdigest(x) >> 16), buckets) if own else place)
                 number[k] = at
             held.append((text + sum(len(x[0]) for x in documents), first, number))
             documents.append(tuple(part.column(c).to_numpy() for c in ("key", "print")))
@@ -378,7 +402,7 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
 
         places = 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "data", AT_ONCE):
                 places += add(part)
                 if len(strings) >= STRINGS or places >= PLACES:
                     yield from closed()
@@ -387,7 +411,8 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         if places:
             yield from closed()
 
-    return stage(docs.join(of_doc, ["key", "print"]).select("key", "print", "text", "anchors").mapInArrow(rows, SHARD), "passage-shards")
+    told = pressed(docs, "key", "print").join(of_doc, ["key", "print"]).select("key", "print", "data", "anchors")
+    return stage(told.mapInArrow(rows, SHARD), "passage-shards")
 
 
 def merged_shards(parts: DataFrame, buckets: int) -> DataFrame:
@@ -466,7 +491,7 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept: the bytes left) of every document."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
     buckets = max(1, -(-size // BUCKET_BYTES))
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NEVER))).alias("key"), F.xxhash64("text").alias("print"), "text")
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NEVER))).alias("key"), F.shiftrightunsigned(F.xxhash64("text"), 16).alias("print"), "text")
     anchors = repeated_anchors(keyed.select("print", "text"), buckets, max(HOT, size // (SPAN + 1) * 2 // MOST_HOT))
     parts = shards(keyed.drop("doc_id"), anchors, buckets)
     spans = document_spans(parts, merged_shards(parts, buckets))
@@ -476,9 +501,9 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     def rows(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "data", AT_ONCE):
                 out = []
-                for text, first, last in zip(raw(part), part.column("first"), part.column("last")):
+                for text, first, last in zip(unpressed(part), part.column("first"), part.column("last")):
                     if first.is_valid:
                         first, last = (x.values.to_numpy() for x in (first, last))
                         order = np.argsort(first, kind="stable")
@@ -493,4 +518,5 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 1 + len(columns)])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return keyed.join(of_doc, ["key", "print"], "left").select("doc_id", "text", "first", "last").mapInArrow(rows, schema)
+    joined = pressed(keyed, "doc_id", "key", "print").join(of_doc, ["key", "print"], "left")
+    return joined.select("doc_id", "data", "first", "last").mapInArrow(rows, schema)
