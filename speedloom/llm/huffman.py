@@ -110,19 +110,29 @@ class Decoder:
 
 
 def token_table(docs: DataFrame, vocabulary: str, end: int) -> DataFrame:
-    """part, doc_id, n, ids of the documents in the order of doc_id; staged, with the ids compressed."""
+    """part, doc_id, n, ids of the documents in the order of doc_id; staged, with the ids compressed.
+
+    Each task ends with a row that holds its counts of ids and no document (``counts`` is null in all others).
+    """
 
     def rows(batches):
         encode, last, press = encoder(vocabulary), np.array([end], np.uint32).tobytes(), zstandard.ZstdCompressor(level=1)
-        number = TaskContext.get().partitionId()
+        number, total = TaskContext.get().partitionId(), np.zeros(end + 1, np.int64)
+        names = ["part", "doc_id", "n", "ids", "counts"]
         for batch in batches:
             for part in slices(batch):
-                ids = [x.tobytes() + last for x in encode(strings(part))]
+                found = encode(strings(part))
+                more = np.bincount(np.concatenate(found), minlength=len(total))
+                more[: len(total)] += total
+                more[end] += len(found)
+                total = more
+                ids = [x.tobytes() + last for x in found]
                 n = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(ids), pa.int32()), part.column("doc_id"), n, pa.array([press.compress(x) for x in ids])], names=["part", "doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(ids), pa.int32()), part.column("doc_id"), n, pa.array([press.compress(x) for x in ids]), pa.nulls(len(ids), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), *(pa.nulls(1, k) for k in (pa.int64(), pa.int64(), pa.binary())), pa.array([press.compress(total.tobytes())])], names=names)
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return stage(ordered.mapInArrow(rows, "part int, doc_id long, n long, ids binary"), "token-ids")
+    return stage(ordered.mapInArrow(rows, "part int, doc_id long, n long, ids binary, counts binary"), "token-ids")
 
 
 def unpressed(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -131,19 +141,18 @@ def unpressed(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """id, n over all documents; each task sums its own before the shuffle."""
+    """id, n over all documents, from the counts that each task has told."""
 
     def rows(batches):
-        total = np.zeros(0, np.int64)
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for ids in unpressed(batch):
-                more = np.bincount(ids, minlength=len(total))
-                more[: len(total)] += total
-                total = more
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["id", "n"])
+            for x in batch.column("counts").to_pylist():
+                total = np.frombuffer(press.decompress(x), np.int64)
+                full = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    told = tokens.select("counts").where("counts is not null")
+    return told.mapInArrow(rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end: int = END, block: int = BLOCK) -> None:
@@ -181,7 +190,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
         if held:
             yield closed()
 
-    tokens.mapInArrow(rows, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    tokens.where("counts is null").select("part", "doc_id", "ids").mapInArrow(rows, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
