@@ -23,8 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; the warehouse where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; where it is unset, as in tests, one in a local session's warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 

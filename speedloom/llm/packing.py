@@ -14,11 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from speedloom.llm.common import slices, strings, whole_groups
+from speedloom.llm.common import parts_for, slices, strings, whole_groups
 from speedloom.llm.tokens import VOCABULARY, encoder
 
 LENGTH = 2048
 GROUP = 512
+#: Pieces of a task, about: 64 MB of ids.
+PART = 8192
 END = 1
 
 
@@ -72,9 +74,10 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH,
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """The pieces with their sequence_id and offset in it."""
     size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    groups = max(1, round((size.n + size.bytes / (4 * length)) / group))
+    count = size.n + int(size.bytes / (4 * length))
+    groups = max(1, round(count / group))
     dealt = pieces(docs, vocabulary, length).withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.lit(1)), F.lit(groups)))
-    dealt = dealt.repartition("group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start")
+    dealt = dealt.repartition(parts_for(docs.sparkSession, count, PART), "group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start")
 
     def rows(batches):
         for whole, starts in whole_groups(batches, ["group"]):
