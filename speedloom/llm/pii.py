@@ -2,11 +2,15 @@
 
 Base spans (email, ip, card, phone) are found by patterns. Each distinct value is a protected entity e, and so is each name, owner and
 domain of mail addresses, each network of addresses (/24) and each phone number without its last four digits, which pool the values that
-share them. Over the whole corpus, with documents as the unit, p(e), p(t) and p(e, t) are counted, t being a word within WITHIN words of
-the entity. A term discloses log(p(e | t) / p(e)) / log(1 / p(e)) of the entity's information: 1 if it appears with nothing else, 0 if it
+share them. Over the whole corpus, with documents as the unit, p(t) and p(e, t) are counted, t being a word within WITHIN words of
+the entity. A term discloses 1 - log p(e | t) / log p(e) of the entity's information: 1 if it appears with nothing else, 0 if it
 tells nothing. A term that discloses at least REMOVE of some entity is removed wherever it stands, one that discloses at least GENERALISE
-is generalised. Every entity and every term beside it counts: p(e | t) is shrunk towards p(e) by PRIOR pseudo-counts, against as many
-observations as the pair has different surroundings, so that copies of one text weigh as one.
+is generalised: a number to its magnitude, a date to its year, any other word to [WORD]. Every entity and every term beside it counts.
+
+Chance must not decide: p(e | t) is the lower end of its (Wilson) confidence interval, at an error of ALPHA shared by all pairs that were
+looked at, over as many observations as the pair has different surroundings: texts count as one if they share the most frequent of their SKETCHES least
+shingle hashes, as near copies do. So a pair seen once discloses little, whatever the size of the corpus. p(e) is the entity's share of the
+surroundings of all entities and UNSEEN more. Neither repeating every document nor adding text without entities or these terms changes a verdict.
 
 Null and empty texts have no spans. Spans belong to a text (they are joined by its digest), so repeated rows and doc_ids are
 rows of their own. An empty table gives an empty result. Only doc_id and text are read (redact keeps the other columns).
@@ -17,12 +21,13 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from speedloom.llm.common import HASHES, bit_filter, passes, raw, slices, stage, strings
+from speedloom.llm.common import HASHES, M1, bit_filter, long_lists, mixed, passes, raw, shingle_hashes, slices, stage, strings
 from speedloom.llm.decontam import words_of
 
 KINDS = ("email", "ip", "card", "phone", "general", "removed")
@@ -31,8 +36,11 @@ PLACEHOLDERS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[WORD]", "[REMOVED]")
 #: Names of helper columns that no table has.
 KEY, MARKS = "__pii_digest", "__pii_spans"
 WITHIN = 10
-#: Pseudo-counts at p(e) beside the different surroundings of an entity and a term.
-PRIOR = 2 / 3
+#: Share of corpora of chance in which any pair may pass; surroundings of entities that the corpus does not show.
+ALPHA, UNSEEN = 0.05, 1000
+#: Least hashes of five-word shingles that a text is compared by.
+SKETCHES = 8
+KEYS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64) * M1)[:, None]
 GENERALISE, REMOVE = 0.85, 0.95
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -100,36 +108,76 @@ def entities_of(kind: int, value: str) -> list[str]:
     return out
 
 
+def joined(spans) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans (sorted by start) cover, in pieces that do not meet."""
+    starts, ends = [], []
+    for start, _, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def meets(covered: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    at = bisect_left(covered[0], end) - 1  # the last piece that starts before the end
+    return at >= 0 and covered[1][at] > start
+
+
 def terms_around(text: str, spans, within: int) -> list[list[str]]:
     """For each span the distinct whole words among the ``within`` before and after it, without those that touch a span."""
     words = [m.span() for m in WORD.finditer(text)] if spans else []
     begins, ends = [a for a, _ in words], [b for _, b in words]
-    out = []
+    covered, out = joined(spans), []
     for start, _, end in spans:
         before, after = bisect_right(ends, start), bisect_left(begins, end)
         beside = words[max(0, before - within) : before] + words[after : after + within]
-        out.append(sorted({text[p:q].encode().lower().decode() for p, q in beside if not any(a < q and p < b for a, _, b in spans)}))
+        out.append(sorted({text[p:q].encode().lower().decode() for p, q in beside if not meets(covered, p, q)}))
     return out
 
 
+def sketch(text: str, spans, within: int) -> np.ndarray:
+    """Least shingle hashes of the words that stand beside no span (of all words if those are few): what goes with an entity says nothing about copies."""
+    words = [m.span() for m in WORD.finditer(text)]
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    far = np.ones(len(words), bool)
+    for start, _, end in spans:
+        far[max(0, bisect_right(ends, start) - within) : bisect_left(begins, end) + within] = False
+    far |= far.sum() < 10
+    kept = [text[a:b].encode().lower() for (a, b), f in zip(words, far.tolist()) if f]
+    shingles = shingle_hashes(HASHES.of(kept), 5)
+    return np.array([mixed(shingles ^ k).min() for k in KEYS]) if len(shingles) else np.empty(0, np.uint64)
+
+
+def generalised(word: str) -> str:
+    """What a term is part of: a date's year, a number's first digit and size."""
+    if word.isascii() and word.isdigit():
+        if len(word) == 8 and word[:2] in ("19", "20") and "01" <= word[4:6] <= "12" and "01" <= word[6:] <= "31":
+            return word[:4]
+        return word[0] + "0" * (len(word) - 1)
+    return PLACEHOLDERS[4]
+
+
 def digest() -> F.Column:
     return F.md5(F.coalesce("text", F.lit(""))).alias("digest")
 
 
 def found(docs: DataFrame, within: int) -> DataFrame:
-    """doc_id, digest of the text, base spans, and the entities of each with the words around it."""
+    """doc_id, digest of the text, base spans, the entities of each with the words around it, and where there are any least shingle hashes of the text."""
 
     def rows(batches):
         for batch in batches:
             for part in slices(batch):
-                all_spans, near = [], []
+                all_spans, near, sketches = [], [], []
                 for text in strings(part):
                     spans = base_spans(text)
                     all_spans.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
                     near.append([{"entities": entities_of(k, text[a:b]), "terms": terms} for (a, k, b), terms in zip(spans, terms_around(text, spans, within))])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(all_spans, SPAN), pa.array(near, NEAR)], names=["doc_id", "digest", "spans", "near"])
+                    sketches.append(sketch(text, spans, within) if spans else np.empty(0, np.uint64))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(all_spans, SPAN), pa.array(near, NEAR), long_lists(sketches)], names=["doc_id", "digest", "spans", "near", "sketch"])
 
-    schema = "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>, near array<struct<entities:array<string>,terms:array<string>>>"
+    schema = "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>, near array<struct<entities:array<string>,terms:array<string>>>, sketch array<long>"
     return docs.select("doc_id", "text", digest()).mapInArrow(rows, schema)
 
 
@@ -162,18 +210,37 @@ def hashed(terms: DataFrame) -> DataFrame:
     return terms.select("term").distinct().mapInArrow(rows, "h long")
 
 
-def disclosing_terms(docs: DataFrame, seen: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, prior: float = PRIOR) -> DataFrame:
+def lower_bound(k: F.Column, n: F.Column, z2: float) -> F.Column:
+    """Wilson's lower end for k of n at so many squared deviations."""
+    p = F.least(k / n, F.lit(1.0))
+    return (p + z2 / (2 * n) - F.sqrt(z2 * (p * (1 - p) / n + z2 / (4 * n * n)))) / (1 + z2 / n)
+
+
+def surroundings_of(seen: DataFrame) -> DataFrame:
+    """row, place: one name for texts that share the most frequent of their least shingle hashes."""
+    each = seen.select("row", F.posexplode("sketch").alias("k", "h"))
+    often = each.groupBy("k", "h").agg(F.count("*").alias("often"))
+    return each.join(often, ["k", "h"]).groupBy("row").agg(F.max(F.struct("often", "k", "h")).alias("m")).select("row", F.xxhash64("m.k", "m.h").alias("place"))
+
+
+def disclosing_terms(docs: DataFrame, seen: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, alpha: float = ALPHA) -> DataFrame:
     """term, kind (4 to generalise, 5 to remove) of the terms that disclose an entity."""
-    total = docs.count()
-    near = seen.select("row", F.explode("near").alias("e")).select("row", "e.terms", F.explode("e.entities").alias("entity"))
-    entities = near.groupBy("entity").agg(F.countDistinct("row").alias("n_e"))
-    pairs = near.select("entity", "row", F.xxhash64("terms").alias("place"), F.explode("terms").alias("term"))
+    near = seen.join(surroundings_of(seen), "row").select("row", "place", F.explode("near").alias("e"))
+    near = near.select("row", "place", "e.terms", F.explode("e.entities").alias("entity"))
+    pairs = near.select("entity", "row", "place", F.explode("terms").alias("term"))
     pairs = stage(pairs.groupBy("entity", "term").agg(F.countDistinct("row").alias("n_et"), F.countDistinct("place").alias("places")), "pii-pairs")
+    size = pairs.count()
+    if not size:
+        return pairs.select("term", F.lit(0).alias("kind"))
+    entities = near.groupBy("entity").agg(F.countDistinct("place").alias("n_e"))
+    whole = near.select(F.countDistinct("place")).first()[0]
     counts = term_documents(docs, bit_filter(hashed(pairs), "h"))
-    both = pairs.join(counts, "term").join(entities.where(F.col("n_e") < total), "entity")
-    p_e, attested = F.col("n_e") / F.lit(float(total)), F.least("n_et", "places")
-    p_et = (attested + prior * p_e) / (attested * F.col("n") / F.col("n_et") + prior)
-    both = both.groupBy("term").agg(F.max(1 - F.log(p_et) / F.log(p_e)).alias("told")).where(F.col("told") >= generalise)
+    z2 = NormalDist().inv_cdf(1 - min(0.5, alpha / size)) ** 2
+    both = pairs.join(counts, "term").join(entities, "entity")
+    attested = F.least("n_et", "places").cast("double")
+    sure = lower_bound(attested, attested * F.col("n") / F.col("n_et"), z2)
+    prior = F.col("n_e") / F.lit(float(max(whole, 1) + UNSEEN))
+    both = both.groupBy("term").agg(F.max(1 - F.log(sure) / F.log(prior)).alias("told")).where(F.col("told") >= generalise)
     return both.select("term", F.when(F.col("told") >= remove, 5).otherwise(4).alias("kind"))
 
 
@@ -203,10 +270,19 @@ def private_spans(docs: DataFrame, within: int = WITHIN) -> DataFrame:
     seen = stage(found(docs, within).withColumn("row", F.monotonically_increasing_id()), "pii-found")
     terms = stage(disclosing_terms(docs, seen), "pii-terms")
     more = term_places(docs, terms).groupBy("digest").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
-    # a term inside a base span is part of that span
-    inside = lambda x: F.exists("spans", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    spans = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.array_sort(F.concat("spans", F.filter("more", lambda x: ~inside(x)))))
-    return seen.select("doc_id", "digest", "spans").join(more, "digest", "left").select("doc_id", "digest", spans.alias("spans"))
+
+    def rows(batches):
+        for batch in batches:
+            out = []
+            for spans, extra in zip(batch.column("spans").to_pylist(), batch.column("more").to_pylist()):
+                if extra:  # a term inside a base span is part of that span
+                    covered = joined([(x["start"], x["kind"], x["end"]) for x in spans])
+                    spans = sorted(spans + [x for x in extra if not meets(covered, x["start"], x["end"])], key=lambda x: (x["start"], x["kind"], x["end"]))
+                out.append(spans)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(out, SPAN)], names=["doc_id", "digest", "spans"])
+
+    both = seen.select("doc_id", "digest", "spans").join(more, "digest", "left").select("doc_id", "digest", "spans", "more")
+    return both.mapInArrow(rows, "doc_id long, digest string, spans array<struct<start:long,kind:int,end:long>>")
 
 
 def span_report(docs: DataFrame) -> DataFrame:
@@ -221,7 +297,7 @@ def span_report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents, with every span replaced by its kind in brackets (a generalised term by WORD) and n_chars counted anew."""
+    """The documents, with every span replaced by its kind in brackets (a generalised term by what it is part of) and n_chars counted anew."""
     spans = private_spans(docs).where(F.size("spans") > 0).groupBy(F.col("digest").alias(KEY)).agg(F.first("spans").alias(MARKS))
     columns = docs.columns
 
@@ -235,7 +311,8 @@ def redact(docs: DataFrame) -> DataFrame:
                         for x in marks:
                             if x["end"] > done:
                                 if x["start"] >= done:
-                                    pieces += [text[done : x["start"]], PLACEHOLDERS[x["kind"]]]
+                                    word = text[x["start"] : x["end"]]
+                                    pieces += [text[done : x["start"]], generalised(word) if x["kind"] == 4 else PLACEHOLDERS[x["kind"]]]
                                 done = x["end"]
                         text = "".join(pieces) + text[done:]
                     out.append(text)
