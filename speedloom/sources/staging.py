@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; where it names none, a folder in its warehouse.
+    """The session's ``spark.checkpoint.dir``; where it is unset, as in tests, a folder in a local session's warehouse.
 
-    Both lie on storage that driver and executors share. The session is not changed.
+    On a cluster the warehouse may lie on one machine's disk, so the setting is required there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
