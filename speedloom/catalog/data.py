@@ -56,7 +56,8 @@ def state_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def samples_and_parameters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Row]:
     """Labelled, split and weighted slots, with class weight and moments of the train rows."""
-    slots = state_slots(spark, sf_dir)
+    # Written once: the congested state, the moments and the samples all read it.
+    slots = stage(state_slots(spark, sf_dir), "state-slots")
     rows = horizon.with_test_flag(horizon.label_by_rows(
         slots, states.congested_state(slots).first(), horizon.lead_steps(HORIZON_MIN, FREQ_MIN)))
     fitted = horizon.train_rows(rows).agg(

@@ -230,14 +230,14 @@ _LABEL_COLUMNS = ("timestamp", "prediction", "prediction_next", "label")
 
 @query
 def horizon_label_rows(spark, sf_dir):
-    slots = d.state_slots(spark, sf_dir)
+    slots = stage(d.state_slots(spark, sf_dir), "state-slots")
     return horizon.label_by_rows(slots, states.congested_state(slots), horizon.lead_steps(
         d.HORIZON_MIN, d.FREQ_MIN)).select(*_LABEL_COLUMNS)
 
 
 @query
 def horizon_label_time(spark, sf_dir):
-    slots = d.state_slots(spark, sf_dir)
+    slots = stage(d.state_slots(spark, sf_dir), "state-slots")
     return horizon.label_by_time(slots, states.congested_state(slots), d.HORIZON_MIN).select(
         *_LABEL_COLUMNS)
 

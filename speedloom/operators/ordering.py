@@ -58,6 +58,13 @@ def running_totals(df: DataFrame, value: str, sums: dict[str, str], edges: list[
     def ordered(name: str):
         return F.col(name).desc() if descending else F.col(name).asc()
 
+    if not edges:  # one bucket's worth of rows in all: one window, nothing to join
+        all_rows = Window.partitionBy("_group")
+        upto = all_rows.orderBy(ordered(value)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return bucketed.select(
+            *df.columns, *[F.sum(c).over(upto).alias(out) for c, out in sums.items()],
+            *[F.sum(c).over(all_rows).alias(out) for c, out in totals.items()])
+
     # One row per (group, bucket), whatever the input size.
     whole = Window.partitionBy("_group")
     earlier = whole.orderBy(ordered("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
