@@ -43,8 +43,8 @@ CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
-ANCHORS, STRINGS, PLACES = 1 << 19, 1 << 17, 1 << 19
-#: Compressed bytes of text that are unpacked at a time (one document at least).
+ANCHORS, STRINGS, PLACES = 1 << 18, 1 << 16, 1 << 18
+#: Bytes of text, compressed or not, that are held as objects at a time (one document at least).
 AT_ONCE = 1 << 20
 HOT, MOST_HOT = 4096, 1 << 20
 NEVER = np.iinfo(np.int64).max
@@ -56,7 +56,7 @@ def pressed(docs: DataFrame, *names: str) -> DataFrame:
     def rows(batches):
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=AT_ONCE):
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array([press(x) for x in raw(part)], pa.binary())], names=[*names, "data"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
@@ -175,7 +175,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
     def ask(batches):
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=AT_ONCE):
                 text, _, _, value = anchored(raw(part))
                 held.append((part.column("print").to_numpy()[text], value))
                 size += len(value)
