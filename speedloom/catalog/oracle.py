@@ -169,6 +169,10 @@ _add("csv_roundtrip", None, """
     SELECT t.ts, s.sensor, round(CASE WHEN v > 0 AND v <= 120 THEN v END, 6) AS speed
     FROM (SELECT DISTINCT ts FROM c) t CROSS JOIN (SELECT DISTINCT sensor FROM c) s
     LEFT JOIN c ON c.ts = t.ts AND c.sensor = s.sensor""")
+_add("finite_slots", "base", f"""
+    SELECT "timestamp", {_r("avg_speed")} FROM base WHERE "hour" % 5 <> 0""")
+_add("last_rows", "scored", f"""
+    SELECT "timestamp", {_r("avg_speed")}, "hour", {_r("prob_congestion")}, label FROM scored ORDER BY "timestamp" DESC LIMIT 500""")
 _add("parse_counts", None, """
     SELECT count(*) AS total_rows, count(*) FILTER (WHERE good) AS valid_rows, count(*) FILTER (WHERE NOT good) AS rejected_rows,
            5 * count(*) FILTER (WHERE good) AS readings, CAST(sum(known) FILTER (WHERE good) AS BIGINT) AS known, count(*) FILTER (WHERE NOT good) AS reject_texts

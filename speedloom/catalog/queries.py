@@ -157,6 +157,15 @@ def hourly_std_feature(spark, sf_dir):
     return d.featured_slots(spark, sf_dir)
 
 
+@query
+def finite_slots(spark, sf_dir):
+    """Slots whose speed can be clustered, where every fifth hour's is unknown, not a number or infinite."""
+    slots = d.slot_means(spark, sf_dir)
+    odd = F.element_at(F.array(F.lit(None), F.lit(float("nan")), F.lit(float("inf"))), F.dayofmonth("timestamp") % 3 + 1)
+    spoilt = slots.withColumn("avg_speed", F.when(F.col("hour") % 5 == 0, odd).otherwise(F.col("avg_speed")))
+    return cleaning.finite_speeds(spoilt).select("timestamp", "avg_speed")
+
+
 # -- states -----------------------------------------------------------------------------
 
 @query
@@ -624,6 +633,12 @@ def series_tail(spark, sf_dir):
     return chartdata.series_tail(d.scored(spark, sf_dir))
 
 
+@query
+def last_rows(spark, sf_dir):
+    """The latest rows of a run without the model's internals."""
+    return chartdata.last_rows(d.scored(spark, sf_dir), 500).select("timestamp", "avg_speed", "hour", "prob_congestion", "label")
+
+
 def _labelled(spark, sf_dir):
     return states.label_states(d.state_slots(spark, sf_dir))
 
