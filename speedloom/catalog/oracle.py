@@ -524,6 +524,8 @@ _add("kde_grid", "named", f"""
 
 _add("stream_scores", "answered", _RESPONSE)
 # A slot counts once the watermark, ten minutes behind the newest reading, has passed it.
+_add("served_requests", "coerced", """
+    SELECT count(avg_speed) AS answered, 0 AS differing, count(*) - count(avg_speed) AS rejected FROM coerced""")
 _add("stream_slot_avg", "base", f"""
     SELECT b."timestamp", {_r("b.avg_speed", "avg_speed")}, c.sensors FROM base b
     JOIN (SELECT ts, count(speed) AS sensors FROM cells GROUP BY 1) c ON c.ts = b."timestamp"

@@ -697,6 +697,27 @@ def stream_scores(spark, sf_dir):
     return _drained(_flat_response(_response(fitted, prepared)), "stream-scores")
 
 
+@query
+def served_requests(spark, sf_dir):
+    """Requests as JSON files answered by the stream with a stored model, against the same requests scored in batch."""
+    rows = stage(d.samples(spark, sf_dir), "samples")
+    out, folder, answers, rejects = (new_path(spark, n) for n in ("served-job", "requests", "answers", "rejects"))
+    model = training.train(rows).model
+    training.save_model(model, f"{out}/models/logistic_pipeline")
+    spread = rows.groupBy("hour").agg(F.coalesce(F.stddev_samp("avg_speed"), F.lit(0.0)).alias("std_speed_hour"))
+    spread.write.parquet(f"{out}/models/hourly_spread")
+    raw = d.raw_requests(d.table(spark, sf_dir, "events"))
+    raw.select(*[F.col(c).cast("string").alias(c) for c in requests.REQUEST_FIELDS]).write.json(folder)
+    jobs.serve_requests(spark, folder, out, answers, rejects, new_path(spark, "progress"), d.now()).awaitTermination()
+    asked = requests.prepare_requests(raw, spark.read.parquet(f"{out}/models/hourly_spread"), d.now())
+    told = lambda df: df.select(F.to_json(F.struct("status", "prediction", "strategy", F.col("inputs").dropFields("timestamp"), F.round("prob_congestion", 9))).alias("x"))
+    batch = told(requests.score_requests(requests.accepted(asked), model)).groupBy("x").agg(F.count("*").alias("n"))
+    served = told(spark.read.parquet(answers)).groupBy("x").agg(F.count("*").alias("m"))
+    return batch.join(served, "x", "full_outer").agg(
+        F.coalesce(F.sum("m"), F.lit(0)).alias("answered"), F.count_if(~F.col("n").eqNullSafe(F.col("m"))).alias("differing"),
+    ).withColumn("rejected", spark.read.parquet(rejects).select(F.count("*")).scalar())
+
+
 @query
 def stream_slot_avg(spark, sf_dir):
     """Closed slots of the stream: the filled network mean that the model is trained with."""
