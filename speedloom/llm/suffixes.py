@@ -43,7 +43,7 @@ CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
-ANCHORS, STRINGS, PLACES = 1 << 18, 1 << 16, 1 << 18
+ANCHORS, STRINGS, PLACES = 1 << 18, 1 << 17, 1 << 19
 #: Bytes of text, compressed or not, that are held as objects at a time (one document at least).
 AT_ONCE = 1 << 20
 HOT, MOST_HOT = 4096, 1 << 20
@@ -121,7 +121,7 @@ def anchored(texts: list[bytes]) -> tuple[np.ndarray, ...]:
         count = np.diff(np.concatenate([first, [len(owner)]]))
         kept = owner[first] >= 0
         first, count = first[kept], count[kept]
-        found.append((first + at, count, h[owner[first]] >> np.uint64(16)))
+        found.append((first + at, count, mixed(h[owner[first]]) >> np.uint64(16)))  # least hashes are small: mixed, they fill all buckets alike
     if not found:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
     first, count, value = (np.concatenate([x[i] for x in found]) for i in range(3))
