@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from speedloom import fixed_values as fv
-from speedloom.operators import evaluation, horizon, scoring, training
+from speedloom.operators import certificates, evaluation, horizon, scoring, states, training
 from speedloom.operators.states import assembler
 
 T0 = dt.datetime(2024, 1, 1)
@@ -150,3 +150,39 @@ def test_feature_importance(spark):
     assert rows[0].importance == pytest.approx(0.8927135917033484)
     zero = scoring.feature_importance(spark, {"a": 0.0}).first()
     assert zero.importance == 0.0 and not math.isnan(zero.importance)
+
+
+def test_certificate_tells_an_optimum_from_an_early_stop(samples, trained, monkeypatch):
+    rows = horizon.train_rows(samples)
+    told = certificates.logistic_certificate(rows, trained.model).first()
+    assert told.rows == rows.count() and told.violation < 1e-3
+    monkeypatch.setattr(fv, "MODEL_ITERATIONS", 1)
+    early = training.train(samples).model
+    assert certificates.logistic_certificate(rows, early).first().violation > 1e-2
+    same = certificates.differing_scores(training.score(samples, trained.model), training.score(samples, trained.model)).first()
+    assert same == (samples.count(), 0)
+    other = certificates.differing_scores(training.score(samples, trained.model), training.score(samples, early)).first()
+    assert other.differing > 0
+
+
+def test_certificate_of_states(samples):
+    fitted = states.fit_states(samples, 3, 3)
+    assigned = states.assign_states(samples, fitted)
+    told = certificates.state_certificate(assigned, fitted).first()
+    assert (told.rows, told.states, told.not_nearest) == (samples.count(), 3, 0) and told.centre_gap < 0.05
+    turned = assigned.withColumn("prediction", ((F.col("prediction") + 1) % 3).cast("int"))
+    told = certificates.state_certificate(turned, fitted).first()
+    assert told.not_nearest == samples.count() and told.centre_gap > 1
+
+
+@pytest.mark.parametrize("pieces", [1, 7, 200])
+def test_thinned_curve_is_short_and_close(spark, pieces):
+    rng = random.Random(9)
+    rows = [(int(rng.random() < s), s) for s in (round(rng.random(), 4) for _ in range(5000))]
+    curve = evaluation.score_curve(spark.createDataFrame(rows, "label int, prob_congestion double"))
+    points = evaluation.chart_points(curve, pieces).collect()
+    assert len(points) <= 2 * pieces + 2 and {(0.0, 0.0), (1.0, 1.0)} <= {(p.fpr, p.tpr) for p in points}
+    told = evaluation.chart_error(curve, pieces).first()
+    assert told.points == len(points) and abs(told.error) <= told.bound == 0.5 / pieces
+    one_class = evaluation.score_curve(spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, prob_congestion double"))
+    assert len(evaluation.chart_points(one_class, pieces).collect()) <= 2 * pieces + 2
