@@ -56,7 +56,8 @@ def logistic_certificate(train_rows: DataFrame, model: PipelineModel) -> DataFra
     assemble, scaler, fitted = model.stages
     reg, share = fitted.getRegParam(), fitted.getElasticNetParam()
     beta, size = [float(v) for v in fitted.coefficients], fitted.numFeatures
-    rows = PipelineModel(stages=[assemble, scaler]).transform(train_rows)
+    # Positives without negatives have no class weight: they count once.
+    rows = PipelineModel(stages=[assemble, scaler]).transform(train_rows.fillna({"weight": 1.0}))
     spread = rows.select(Summarizer.metrics("std").summary(F.col("features"), F.col("weight")).alias("s")).select(
         vector_to_array("s.std").alias("std")).first().std
     x = vector_to_array("features")

@@ -1,11 +1,12 @@
 """Events so dense that all slots are in one state and every hour's maximum is above the limit."""
 
+import compare
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from speedloom.catalog.queries import QUERIES
-from speedloom.operators import horizon, training
+from speedloom.operators import certificates, horizon, training
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,12 @@ def dense_dir(tmp_path_factory):
     return str(folder)
 
 
+@pytest.mark.parametrize("name", ["logistic_certificate"])
+def test_equal_to_sql(spark, dense_dir, name):
+    status, _, note = compare.compare(spark, compare.connect(dense_dir), name, dense_dir)
+    assert status == "ok", note
+
+
 def test_every_sample_is_scored(spark, dense_dir):
     rows = QUERIES["train_logistic"](spark, dense_dir).agg(F.count("*"), F.sum("label"), F.sum("prob_congestion")).first()
     assert rows[0] == rows[1] == rows[2] > 0
@@ -36,5 +43,6 @@ def test_one_class_is_certain(spark, tmp_path, label):
     loaded = training.load_model(str(tmp_path / "m"))
     scores = training.score(samples, loaded).select("prob_congestion", "prediction_congested").distinct().collect()
     assert [tuple(r) for r in scores] == [(float(label), float(label))]
+    assert certificates.logistic_certificate(horizon.train_rows(samples), loaded).first().violation == 0
     with pytest.raises(ValueError, match="no labelled samples"):
         training.model_of(samples.limit(0))
