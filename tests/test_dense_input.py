@@ -20,7 +20,7 @@ def dense_dir(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["logistic_certificate"])
+@pytest.mark.parametrize("name", ["logistic_certificate", "served_requests"])
 def test_equal_to_sql(spark, dense_dir, name):
     status, _, note = compare.compare(spark, compare.connect(dense_dir), name, dense_dir)
     assert status == "ok", note
