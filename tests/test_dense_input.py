@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from speedloom.catalog.queries import QUERIES
 from speedloom.operators import certificates, horizon, training
+from speedloom.plans import job
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def dense_dir(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["logistic_certificate", "served_requests"])
+@pytest.mark.parametrize("name", ["logistic_certificate", "served_requests", "whole_job_tables"])
 def test_equal_to_sql(spark, dense_dir, name):
     status, _, note = compare.compare(spark, compare.connect(dense_dir), name, dense_dir)
     assert status == "ok", note
@@ -46,3 +47,11 @@ def test_one_class_is_certain(spark, tmp_path, label):
     assert certificates.logistic_certificate(horizon.train_rows(samples), loaded).first().violation == 0
     with pytest.raises(ValueError, match="no labelled samples"):
         training.model_of(samples.limit(0))
+
+
+def test_readings_are_reported_without_a_usable_slot(spark, tmp_path):
+    (tmp_path / "fast.csv").write_text("timestamp,1,2\n1/1/2024 3:00,150,160\n1/1/2024 4:00,150,160\n")
+    out = job.run(spark, str(tmp_path / "fast.csv"), str(tmp_path / "out"))
+    assert out.skipped == "no usable slots"
+    assert sorted(tuple(r) for r in spark.read.json(out.tables["analysis/sensor_activity"]).select("sensor", "count").collect()) == [
+        ("1", 0), ("2", 0)]
