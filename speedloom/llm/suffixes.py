@@ -140,12 +140,34 @@ def cuts(x: np.ndarray) -> np.ndarray:
 
 
 def by_document(key: np.ndarray, value: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Documents and the list of values of each."""
-    order = np.argsort(key, kind="stable")
+    """Documents and the list of values of each, in any order."""
+    order = np.argsort(key)
     ends = cuts(key[order])
     return pa.array(key[order][ends[:-1]]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value[order].view(np.int64)))
 
 
+def distinct_pairs(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs of 48-bit values and keys, by value; they are sorted in one word where the place of the key fits beside the value."""
+    names, place = np.unique(keys, return_inverse=True)
+    width = max(1, int(len(names) - 1).bit_length())
+    if 48 + width > 64:
+        order = np.lexsort((place, values))
+        values, place = values[order], place[order]
+        new = np.concatenate([[True], (values[1:] != values[:-1]) | (place[1:] != place[:-1])])
+        return values[new], names[place[new]]
+    both = np.sort(values << np.uint64(width) | place.astype(np.uint64))
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+    return both >> np.uint64(width), names[(both & np.uint64((1 << width) - 1)).astype(np.int64)]
+
+
+def stands_in(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the known ones."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    known = np.sort(known)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 ASKED = "bucket long, key long, known array<long>, anchors binary, documents binary, counts binary"
 
 
@@ -153,10 +175,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
     """key, anchors: the anchors of a text (named by its print) that others have too; null key: anchors of more than ``hot`` texts. Staged."""
 
     def asked(keys: np.ndarray, values: np.ndarray):
-        order = np.lexsort((keys, values))
-        keys, values = keys[order], values[order]
-        new = np.concatenate([[True], (values[1:] != values[:-1]) | (keys[1:] != keys[:-1])])
-        keys, values = keys[new], values[new]
+        values, keys = distinct_pairs(values, keys)
         ends = cuts(values)
         count = np.diff(ends)
         several = np.repeat(count > 1, count)
@@ -197,7 +216,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                     continue
                 values = np.concatenate([np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in rows.column("anchors").to_pylist()])
                 owner, count = (np.concatenate([unpack(x) for x in rows.column(c).to_pylist()]) for c in ("documents", "counts"))
-                order = np.argsort(values, kind="stable")
+                order = np.argsort(values)
                 values, owner, count = values[order], owner[order], count[order]
                 ends = cuts(values)
                 total = np.add.reduceat(count, ends[:-1])
@@ -233,12 +252,21 @@ def in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return both & ((1 << width) - 1), both >> width
 
 
-def named(key: np.ndarray, old: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the classes of sorted keys inside sorted old classes, and which are in company: the old name plus the place in it."""
-    at, within = cuts(key), cuts(old)
-    size = np.diff(at)
-    start = np.repeat(at[:-1], size) - np.repeat(within[:-1], np.diff(within))
-    return old + start, np.repeat(size > 1, size)
+def starts_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value of a sorted run the place where its equals start, and which ones start."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return np.flatnonzero(new)[np.cumsum(new) - 1], new
+
+
+def named(key: np.ndarray, old: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the classes of sorted keys inside sorted old classes (none: one class), and which are in company: the old name plus the place in it."""
+    start, new = starts_of(key)
+    company = ~new
+    company[:-1] |= ~new[1:]
+    if old is not None:
+        start += old - starts_of(old)[0]
+    return start, company
 
 
 def transform(strings: list[bytes]) -> np.ndarray:
@@ -262,7 +290,7 @@ def transform(strings: list[bytes]) -> np.ndarray:
         span, word = span + more, word << bits * more | following
     some, word = in_order(word, span * bits)
     start = np.empty(n, np.int64)
-    start[some], company = named(word, np.zeros(n, np.int64))
+    start[some], company = named(word)
     while span <= size.max():
         some = some[company]  # in the order of their classes
         if not len(some):
@@ -308,8 +336,8 @@ def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np
     n = len(before)
     width = np.int64(max(1, int(n - 1).bit_length()))
     start = np.empty(n, np.int64)
-    order = np.argsort(word, kind="stable")  # sorted runs: they are merged
-    start[order], company = named(word[order], np.zeros(n, np.int64))
+    order = np.argsort(word)  # equal words get one name: their order does not matter, here and below
+    start[order], company = named(word[order])
     shared = np.zeros(n, bool)
     shared[order] = company
     del word, order, company
@@ -323,8 +351,8 @@ def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np
     for needed, jump in ((made_of, by7), (by28, by14), (windows, by22)):
         some = np.flatnonzero(needed & shared)
         key = start[some] << width | start[jump[some]]
-        order = np.argsort(key, kind="stable")
-        some, key = some[order], key[order]
+        order, key = in_order(key, 2 * int(width))
+        some = some[order]
         shared[some] = False
         start[some], company = named(key, key >> width)
         shared[some[company]] = True
@@ -362,7 +390,7 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
             lists = part.column("anchors")
             of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
             mark = lambda v, i: mixed(v ^ (i.astype(np.uint64) + np.uint64(1)) * M1)
-            repeated = np.isin(mark(value, text), mark(lists.flatten().to_numpy().view(np.uint64), of))
+            repeated = stands_in(mark(value, text), mark(lists.flatten().to_numpy().view(np.uint64), of))
             text, first, count, value = (x[repeated] for x in (text, first, count, value))
             dealt = passes(bits, value)  # each window of frequent anchors is a string of its own
             times = np.where(dealt, count, 1)

@@ -97,3 +97,32 @@ def test_merged_transforms(seed):
                 least[s[k : k + 50]] = min(least.get(s[k : k + 50], i), i)
     for strings, got in zip(shards, suffixes.window_minima(transforms, owners, counts)):
         assert got.tolist() == [least[s[k : k + 50]] for s in strings for k in range(len(s) - 49)]
+
+
+@pytest.mark.parametrize("texts", [1, 40, 1 << 17])
+def test_pairs_by_value(texts):
+    """With few texts a pair is one word; with many it is sorted by both."""
+    rng = np.random.default_rng(texts)
+    names = rng.integers(0, 1 << 48, texts)
+    keys = np.concatenate([names, names[rng.integers(0, texts, 3000)]])
+    values = rng.integers(0, 1 << 48, len(keys)).astype(np.uint64)
+    values[::3] = values[0]
+    got = suffixes.distinct_pairs(values, keys)
+    assert list(zip(*(x.tolist() for x in got))) == sorted(set(zip(values.tolist(), keys.tolist())))
+
+
+def test_names_inside_old_classes():
+    rng = np.random.default_rng(4)
+    old = np.sort(rng.integers(0, 30, 500))
+    old = np.searchsorted(old, old)  # named by their first place
+    key = np.sort(old * 8 + rng.integers(0, 8, 500))
+    name, company = suffixes.named(key, key >> 3)
+    assert name.tolist() == [int((key >> 3)[i] + np.searchsorted(key, key[i]) - np.searchsorted(key >> 3, (key >> 3)[i])) for i in range(500)]
+    assert company.tolist() == [(key == k).sum() > 1 for k in key]
+    assert suffixes.named(key)[0].tolist() == np.searchsorted(key, key).tolist()
+
+
+def test_known_values():
+    x = np.array([5, 1, 9, 1], np.uint64)
+    assert suffixes.stands_in(x, np.array([9, 5, 5], np.uint64)).tolist() == [True, False, True, False]
+    assert not suffixes.stands_in(x, np.empty(0, np.uint64)).any()
