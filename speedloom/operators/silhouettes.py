@@ -61,6 +61,8 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
 def _met(block_groups: int, points: pa.Table, groups: pa.Table) -> pa.Table:
     """_id and _b of the points of a chunk: the least of ``_first`` and the distances to the groups of a tile."""
     of = lambda table, name: table.column(name).to_numpy()
+    # The distance to a group with a member that is not a number is none, and counts nowhere.
+    groups = groups.filter(np.isfinite(of(groups, "_norm")))
     n, m = points.num_rows, groups.num_rows
     best = np.array(points.column("_first").fill_null(np.inf).to_numpy())
     if n and m:
@@ -89,7 +91,8 @@ def _met(block_groups: int, points: pa.Table, groups: pa.Table) -> pa.Table:
             inside = np.flatnonzero((at[some] >= a) & (at[some] < b))
             far[inside, at[some][inside] - a] = np.inf
             best[some] = np.minimum(best[some], np.maximum(far.min(axis=1) + sq[some], 0))
-    found = np.isfinite(best)
+        best[np.isnan(sq)] = np.nan  # a point that is not a number is as far from all groups
+    found = best != np.inf
     return pa.table({"_id": of(points, "_id")[found], "_b": best[found]})
 
 

@@ -41,3 +41,13 @@ def test_rows_follow_points_and_groups_not_their_product(spark):
     assert out.count() == 4000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_vectors_that_are_no_numbers(spark):
+    """They leave the other vectors' values as they are without them, and have NaN themselves."""
+    nan = float("nan")
+    rows = [(0, [0.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [5.0, 5.0], 1), (3, [5.0, 6.0], 1), (4, [nan, 1.0], 2), (5, [1.0, 1.0], 2)]
+    frame = lambda some: spark.createDataFrame(some, "i int, x array<double>, g int")
+    got = {r.i: r.silhouette for r in silhouettes.silhouette_values(frame(rows), "x", "g").collect()}
+    want = {r.i: r.silhouette for r in silhouettes.silhouette_values(frame(rows[:4]), "x", "g").collect()}
+    assert {i: got[i] for i in want} == pytest.approx(want) and np.isnan(got[4]) and np.isnan(got[5])
