@@ -8,7 +8,8 @@ Equal texts come first: all of them but the one with the smallest doc_id are rem
 1. Each worker sorts the anchors of its texts; buckets of anchors find those in more than one text.
 2. Texts are joined with their own repeated anchors. The windows that share an occurrence of one form a string of at most
    LENGTH + SPAN - 1 bytes; equal strings of a worker count once, with their smallest document. The strings of a
-   shard are sorted into one Burrows-Wheeler transform per bucket of anchors.
+   shard are sorted into one Burrows-Wheeler transform per bucket of anchors, and travel with those of the neighbouring buckets
+   in one row (a part): shards and buckets both grow with the input, so a row for each pair of them would grow with its square.
 3. A bucket merges the transforms of all shards. Their order is never sorted again: each suffix gets the class of its first
    symbols, the classes of sorted shards are interleaved, and a round refines them by the class that stands so many symbols later, found by
    following the transform. Classes over 7, 14, 28 and then LENGTH symbols are the intervals of suffixes with a common prefix of
@@ -42,11 +43,15 @@ SPAN = LENGTH - GRAM + 1
 CHUNK, POSITION = 1 << 18, np.uint64(20)
 #: Text bytes for each bucket of anchors.
 BUCKET_BYTES = 1 << 20
+#: Buckets of a part: they are sent in one row, so that rows stay long when shards and buckets are many.
+TOGETHER = 16
 #: Anchors that a worker sorts at a time, and distinct strings or their places in a shard.
-ANCHORS, STRINGS, PLACES = 1 << 18, 1 << 17, 1 << 19
+ANCHORS, STRINGS, PLACES = 1 << 19, 1 << 18, 1 << 20
+#: Symbols of a shard that are sorted at a time (one bucket at least).
+SYMBOLS = 1 << 17
 #: Bytes of text, compressed or not, that are held as objects at a time (one document at least).
 AT_ONCE = 1 << 20
-HOT, MOST_HOT = 4096, 1 << 20
+HOT, MOST_HOT = 1 << 14, 1 << 20
 NEVER = np.iinfo(np.int64).max
 
 
@@ -68,13 +73,16 @@ def unpressed(part: pa.RecordBatch) -> list[bytes]:
     return [press(x) for x in part.column("data").to_pylist()]
 
 
+PRESS, UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(x: np.ndarray) -> bytes:
-    """64-bit values, compressed byte by byte of their places."""
-    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    """Values of a fixed width, compressed byte by byte of their places."""
+    return PRESS.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
 
 def unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(kind).reshape(-1)
+    return np.ascontiguousarray(np.frombuffer(UNPRESS.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
 def gram_hashes(buffer: np.ndarray, size: int) -> np.ndarray:
@@ -168,10 +176,10 @@ def stands_in(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-ASKED = "bucket long, key long, known array<long>, anchors binary, documents binary, counts binary"
+ASKED = "part long, key long, known array<long>, anchors binary, documents binary, counts binary"
 
 
-def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
+def repeated_anchors(docs: DataFrame, parts: int, hot: int) -> DataFrame:
     """key, anchors: the anchors of a text (named by its print) that others have too; null key: anchors of more than ``hot`` texts. Staged."""
 
     def asked(keys: np.ndarray, values: np.ndarray):
@@ -182,14 +190,14 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
         names = [x.split()[0] for x in ASKED.split(", ")]
         key, known = by_document(keys[several], values[several])
         nothing = lambda n, kind: pa.nulls(n, kind)
-        yield pa.RecordBatch.from_arrays([pa.array(key.to_numpy() % buckets), key, known, *[nothing(len(key), pa.binary())] * 3], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(key.to_numpy() % parts), key, known, *[nothing(len(key), pa.binary())] * 3], names=names)
         head, owner = values[ends[:-1]], keys[ends[:-1]]
-        bucket = bucket_of(head, buckets)
-        at = cuts(bucket)
-        parts = list(zip(at[:-1].tolist(), at[1:].tolist()))
-        steps = [pack(np.diff(head[lo:hi], prepend=np.uint64(0))) for lo, hi in parts]
-        columns = [pa.array([pack(x[lo:hi].astype(np.int64)) for lo, hi in parts], pa.binary()) for x in (owner, count)]
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]]), nothing(len(parts), pa.int64()), nothing(len(parts), pa.list_(pa.int64())), pa.array(steps, pa.binary()), *columns], names=names)
+        part = bucket_of(head, parts)
+        at = cuts(part)
+        runs = list(zip(at[:-1].tolist(), at[1:].tolist()))
+        steps = [pack(np.diff(head[lo:hi], prepend=np.uint64(0))) for lo, hi in runs]
+        columns = [pa.array([pack(x[lo:hi].astype(np.int64)) for lo, hi in runs], pa.binary()) for x in (owner, count)]
+        yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]]), nothing(len(runs), pa.int64()), nothing(len(runs), pa.list_(pa.int64())), pa.array(steps, pa.binary()), *columns], names=names)
 
     def ask(batches):
         held, size = [], 0
@@ -205,7 +213,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
             yield from asked(*(np.concatenate([x[i] for x in held]) for i in (0, 1)))
 
     def answer(batches):
-        for whole, starts in whole_groups(batches, ["bucket"]):
+        for whole, starts in whole_groups(batches, ["part"]):
             for lo, hi in zip(starts, starts[1:]):
                 rows = whole.slice(lo, hi - lo)
                 mine = rows.filter(rows.column("key").is_valid())
@@ -228,7 +236,7 @@ def repeated_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([key, known], names=["key", "anchors"])
 
     spark = docs.sparkSession
-    dealt = docs.mapInArrow(ask, ASKED).repartition(parts_for(spark, buckets, 8), "bucket").sortWithinPartitions("bucket")
+    dealt = docs.mapInArrow(ask, ASKED).repartition(parts_for(spark, parts, 1), "part").sortWithinPartitions("part")
     return stage(dealt.mapInArrow(answer, "key long, anchors array<long>"), "repeated-anchors")
 
 
@@ -269,8 +277,11 @@ def named(key: np.ndarray, old: np.ndarray | None = None) -> tuple[np.ndarray, n
     return start, company
 
 
-def transform(strings: list[bytes]) -> np.ndarray:
-    """Burrows-Wheeler transform of sorted strings: the symbol before each suffix, in the order of the suffixes, equal ones in the order of the strings."""
+def transform(strings: list[bytes], groups: np.ndarray | None = None) -> np.ndarray:
+    """Burrows-Wheeler transform of sorted strings: the symbol before each suffix, in the order of the suffixes, equal ones in the order of the strings.
+
+    With a group of each string (rising), the transforms of the groups' strings, one after another.
+    """
     text = symbols(strings)
     n = len(text)
     size = np.array([len(x) + 1 for x in strings], np.int64)
@@ -300,19 +311,26 @@ def transform(strings: list[bytes]) -> np.ndarray:
         some = some[order]
         start[some], company = named(key, key >> width)
         span *= 2
-    return text[in_order(start, width)[0] - 1]
+    order = in_order(start, width)[0]
+    if groups is not None:
+        of = np.repeat(np.cumsum(np.diff(groups, prepend=groups[:1]) != 0), size)[order]
+        order = order[np.argsort(of.astype(np.uint16) if of.max() < 1 << 16 else of, kind="stable")]
+    return text[order - 1]
 
 
-def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+def window_classes(before: np.ndarray, lengths: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Class of each window, in the order of the shards, their strings and the windows' places: equal windows, equal class.
 
+    ``before``: the shards' transforms, one after another, ``lengths``: how long each is, ``count``: windows of each string.
+
     The transforms are interleaved by classes of suffixes that begin with the same symbols. A shard's suffixes are in
     order, so a round merges sorted runs; it splits classes by the class that stands so many symbols later.
     """
-    lengths = [len(x) for x in transforms]
-    before = np.concatenate(transforms)
     place = np.int32 if len(before) < 1 << 31 else np.int64
-    after = np.concatenate([(np.argsort(x, kind="stable") + lo).astype(place) for x, lo in zip(transforms, np.cumsum([0, *lengths]).tolist())])  # from a suffix to the next shorter one
+    after = np.argsort(before, kind="stable").astype(place)  # from a suffix to the next shorter one of its shard
+    shard = np.repeat(np.arange(len(lengths), dtype=np.uint16 if len(lengths) <= 1 << 16 else np.int64), lengths)
+    after = after[np.argsort(shard[after], kind="stable")]
+    del shard
     word = before[after].astype(np.int64)
     whole = np.flatnonzero(before == 0)  # suffixes that are whole strings, in the order of the strings
     ends = np.flatnonzero(word == 0)
@@ -326,7 +344,6 @@ def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np
     del by2, by4
     by14 = by7[by7]
     by22 = by14[by7[after]]
-    count = np.concatenate(counts)
     base = np.concatenate([[0], np.cumsum(count)])
     rows, row = np.empty(int(base[-1]), place), whole
     for step in range(int(count.max())):
@@ -359,20 +376,45 @@ def window_classes(transforms: list[np.ndarray], counts: list[np.ndarray]) -> np
     return start[rows]
 
 
+def places_of(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places in runs that start here and are so long."""
+    return np.repeat(start - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
+
+
+def part_minima(held: np.ndarray, transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each shard, the smallest owner of a string with an equal window in its bucket, for each window of its strings in order.
+
+    ``held``: strings of each shard (row) and bucket. Shards are many and may hold little of a bucket: no step is made for each of them.
+    """
+    owner, count = np.concatenate(owners), np.concatenate(counts)
+    before = np.concatenate(transforms)
+    strings = np.concatenate([[0], np.cumsum(held)])  # where what a shard holds of a bucket starts
+    symbols, windows = (np.concatenate([[0], np.cumsum(x)])[strings] for x in (count + LENGTH, count))
+    out = np.empty(int(windows[-1]), np.int64)
+    for b in range(held.shape[1]):
+        at = np.arange(len(held)) * held.shape[1] + b
+        runs = [(x[at], x[at + 1] - x[at]) for x in (strings, symbols, windows)]
+        some, mine, asked = (places_of(*x) for x in runs)
+        if not len(some):
+            continue
+        classes = window_classes(before[mine], runs[1][1], count[some])
+        least = np.full(len(mine), NEVER)
+        np.minimum.at(least, classes, np.repeat(owner[some], count[some]))
+        out[asked] = least[classes]
+    cut = windows[:: held.shape[1]].tolist()
+    return [out[lo:hi] for lo, hi in zip(cut[:-1], cut[1:])]
+
+
 def window_minima(transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
-    """For each shard, the smallest owner of a string with an equal window, for each window of its strings in order."""
-    classes = window_classes(transforms, counts)
-    least = np.full(sum(map(len, transforms)), NEVER)
-    np.minimum.at(least, classes, np.repeat(np.concatenate(owners), np.concatenate(counts)))
-    cut = np.cumsum([0, *(int(c.sum()) for c in counts)])
-    return [least[classes[lo:hi]] for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    """``part_minima`` of a single bucket."""
+    return part_minima(np.array([[len(x)] for x in owners]), transforms, owners, counts)
 
 
-SHARD = "shard string, bucket long, transform binary, owners binary, counts binary, documents binary, prints binary, of binary, at binary, string binary"
+SHARD = "shard string, part long, held binary, transform binary, owners binary, counts binary, documents binary, prints binary, of binary, at binary, string binary"
 
 
 def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
-    """Transforms of the strings around repeated anchors (a row per shard and bucket) and where the strings stand (a row per shard). Staged."""
+    """Transforms of the strings around repeated anchors (a row per shard and part, ``held``: strings of each bucket) and where the strings stand (a row per shard). Staged."""
     frequent = anchors.where("key is null").select(F.explode("anchors").alias("a"))
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(frequent, "a"))  # 2 MB whatever the input
     of_text = anchors.where("key is not null").groupBy(F.col("key").alias("print")).agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
@@ -420,13 +462,18 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
             order = np.array([i for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()) for i in sorted(order[lo:hi].tolist(), key=names.__getitem__)], np.int64)
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
+            place = place[order]
             size = np.array([len(x) for x in names], np.int64)[order] - LENGTH + 1
+            ends = np.concatenate([[0], np.cumsum(size + LENGTH)])  # in symbols, each string with its end
+            block = at[:-1][cuts(ends[at[:-1]] // SYMBOLS)[:-1]].tolist()  # whole buckets
+            told = np.concatenate([transform([names[i] for i in order[lo:hi].tolist()], place[lo:hi]) for lo, hi in zip(block, [*block[1:], len(order)])])
             name, fields = uuid.uuid4().hex, [x.split()[0] for x in SHARD.split(", ")]
+            at = cuts(place // TOGETHER)
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
-                some = order[lo:hi]
-                told = zstandard.compress(transform([names[i] for i in some.tolist()]).view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([bucket[some[0]]], pa.int64()), *[pa.array([v], pa.binary()) for v in (told, pack(least[some]), pack(size[lo:hi]), *[None] * 5)]], names=fields)
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.nulls(1, pa.int64()), *[pa.array([v], pa.binary()) for v in (None, None, pack(size), pack(keys), pack(prints), pack(of), pack(first), pack(rank[number]))]], names=fields)
+                part = int(place[lo]) // TOGETHER
+                columns = np.bincount(place[lo:hi] - part * TOGETHER, minlength=TOGETHER), told[ends[lo] : ends[hi]], least[order[lo:hi]], size[lo:hi]
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), *[pa.array([v], pa.binary()) for v in (*map(pack, columns), *[None] * 5)]], names=fields)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.nulls(1, pa.int64()), *[pa.array([v], pa.binary()) for v in (None, None, None, pack(size), pack(keys), pack(prints), pack(of), pack(first), pack(rank[number]))]], names=fields)
 
         places = 0
         for batch in batches:
@@ -443,26 +490,25 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
     return stage(told.mapInArrow(rows, SHARD), "passage-shards")
 
 
-def merged_shards(parts: DataFrame, buckets: int) -> DataFrame:
-    """shard, answers: (bucket, lengths, values) of the runs of the smallest documents over the shard's windows."""
+def merged_shards(shards: DataFrame, parts: int) -> DataFrame:
+    """shard, answers: (part, lengths, values) of the runs of the smallest documents over the shard's windows."""
 
     def rows(batches):
-        for whole, starts in whole_groups(batches, ["bucket"]):
+        for whole, starts in whole_groups(batches, ["part"]):
             for lo, hi in zip(starts, starts[1:]):
                 group = whole.slice(lo, hi - lo)
-                told = [np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(2, -1).T).view(np.uint16).reshape(-1) for x in group.column("transform").to_pylist()]
-                owners, counts = ([unpack(x) for x in group.column(c).to_pylist()] for c in ("owners", "counts"))
+                read = lambda name, kind=np.int64: [unpack(x, kind) for x in group.column(name).to_pylist()]  # noqa: B023, E731
                 lengths, values = [], []
-                for least in window_minima(told, owners, counts):
+                for least in part_minima(np.stack(read("held")), read("transform", np.uint16), read("owners"), read("counts")):
                     at = cuts(least)
                     lengths.append(pack(np.diff(at)))
                     values.append(pack(least[at[:-1]]))
-                yield pa.RecordBatch.from_arrays([*(group.column(c).combine_chunks() for c in ("shard", "bucket")), pa.array(lengths, pa.binary()), pa.array(values, pa.binary())], names=["shard", "bucket", "lengths", "least"])
+                yield pa.RecordBatch.from_arrays([*(group.column(c).combine_chunks() for c in ("shard", "part")), pa.array(lengths, pa.binary()), pa.array(values, pa.binary())], names=["shard", "part", "lengths", "least"])
 
-    mine = parts.where("bucket is not null").select("shard", "bucket", "transform", "owners", "counts")
-    dealt = mine.repartition(parts_for(parts.sparkSession, buckets, 8), "bucket").sortWithinPartitions("bucket")
-    merged = dealt.mapInArrow(rows, "shard string, bucket long, lengths binary, least binary")
-    return merged.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "lengths", "least"))).alias("answers"))
+    mine = shards.where("part is not null").select("shard", "part", "held", "transform", "owners", "counts")
+    dealt = mine.repartition(parts_for(shards.sparkSession, parts, 1), "part").sortWithinPartitions("part")
+    merged = dealt.mapInArrow(rows, "shard string, part long, lengths binary, least binary")
+    return merged.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("part", "lengths", "least"))).alias("answers"))
 
 
 def joined_spans(first: np.ndarray, last: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -475,7 +521,7 @@ def joined_spans(first: np.ndarray, last: np.ndarray, new: np.ndarray) -> tuple[
     return first[opens], reach[closes] - shift[closes], opens
 
 
-def document_spans(parts: DataFrame, answers: DataFrame) -> DataFrame:
+def document_spans(shards: DataFrame, answers: DataFrame) -> DataFrame:
     """key, print, first, last: removed runs of bytes (last exclusive) of each document as far as one shard knows them."""
 
     def rows(batches):
@@ -504,7 +550,7 @@ def document_spans(parts: DataFrame, answers: DataFrame) -> DataFrame:
                 told = of[opens][ends[:-1]]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[told]), pa.array(prints[told]), *lists], names=["key", "print", "first", "last"])
 
-    places = parts.where("bucket is null").drop("bucket", "transform", "owners")
+    places = shards.where("part is null").drop("part", "held", "transform", "owners")
     return places.join(answers, "shard").mapInArrow(rows, "key long, print long, first array<long>, last array<long>")
 
 
@@ -520,9 +566,10 @@ def repeated_passages(docs: DataFrame, with_text: bool = False) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
     buckets = max(1, -(-size // BUCKET_BYTES))
     keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NEVER))).alias("key"), F.shiftrightunsigned(F.xxhash64("text"), 16).alias("print"), "text")
-    anchors = repeated_anchors(keyed.select("print", "text"), buckets, max(HOT, size // (SPAN + 1) * 2 // MOST_HOT))
-    parts = shards(keyed.drop("doc_id"), anchors, buckets)
-    spans = document_spans(parts, merged_shards(parts, buckets))
+    parts = -(-buckets // TOGETHER)
+    anchors = repeated_anchors(keyed.select("print", "text"), parts, max(HOT, size // (SPAN + 1) * 2 // MOST_HOT))
+    told = shards(keyed.drop("doc_id"), anchors, buckets)
+    spans = document_spans(told, merged_shards(told, parts))
     whole = F.array(F.lit(0).cast("long")).alias("first"), F.array(F.lit(int(NEVER) >> 8)).alias("last")
     spans = spans.union(later_copies(keyed).select("key", "print", *whole))
     of_doc = spans.groupBy("key", "print").agg(F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("last")).alias("last"))

@@ -126,3 +126,49 @@ def test_known_values():
     x = np.array([5, 1, 9, 1], np.uint64)
     assert suffixes.stands_in(x, np.array([9, 5, 5], np.uint64)).tolist() == [True, False, True, False]
     assert not suffixes.stands_in(x, np.empty(0, np.uint64)).any()
+
+
+def test_few_rows_for_many_buckets(spark, monkeypatch):
+    """A shard sends a row for each part, not for each bucket, so that rows do not grow with the square of the input."""
+    rows, staged = passages(200), {}
+
+    def keep(df, name, stage=suffixes.stage):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(suffixes, "stage", keep)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 200)
+    check(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), rows)
+    buckets = -(-sum(len(x) for _, x in rows) // 200)
+    parts = -(-buckets // suffixes.TOGETHER)
+    told = staged["passage-shards"].where("transform is not null").groupBy("shard").count().collect()
+    assert told and buckets > 100 and max(r["count"] for r in told) <= parts
+
+
+def test_transforms_of_groups():
+    rng = random.Random(9)
+    groups = [sorted({bytes(rng.choice([0, 1, 255]) for _ in range(rng.randint(50, 82))) for _ in range(rng.randint(1, 20))}) for _ in range(7)]
+    number = np.repeat(np.arange(7) * 3 + 2, [len(x) for x in groups])
+    want = np.concatenate([suffixes.transform(x) for x in groups])
+    assert suffixes.transform([x for group in groups for x in group], number).tolist() == want.tolist()
+
+
+def test_minima_of_a_part():
+    """Each bucket has its own classes; a shard may hold nothing of a bucket."""
+    rng = random.Random(5)
+    shared = [bytes(rng.choice([0, 1]) for _ in range(rng.randint(50, 60))) for _ in range(6)]
+    held = [[sorted(rng.sample(shared, rng.randint(0, 4))) for _ in range(5)] for _ in range(3)]
+    owners = [[np.array([rng.randint(0, 99) for _ in x], np.int64) for x in shard] for shard in held]
+    counts = [[np.array([len(y) - 49 for y in x], np.int64) for x in shard] for shard in held]
+    none = np.empty(0, np.uint16)
+    transforms = [np.concatenate([none, *(suffixes.transform(x) for x in shard if x)]) for shard in held]
+    got = suffixes.part_minima(np.array([[len(x) for x in shard] for shard in held]), transforms, *([np.concatenate(x) for x in y] for y in (owners, counts)))
+    want = [[] for _ in held]
+    for b in range(5):
+        least = {}
+        for own, x in ((o, y) for i in range(3) for o, y in zip(owners[i][b].tolist(), held[i][b])):
+            for k in range(len(x) - 49):
+                least[x[k : k + 50]] = min(least.get(x[k : k + 50], own), own)
+        for i in range(3):
+            want[i] += [least[x[k : k + 50]] for x in held[i][b] for k in range(len(x) - 49)]
+    assert [x.tolist() for x in got] == want
