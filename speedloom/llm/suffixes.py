@@ -147,11 +147,16 @@ def cuts(x: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) if len(x) else np.zeros(1, np.int64)
 
 
-def by_document(key: np.ndarray, value: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Documents and the list of values of each, in any order."""
-    order = np.argsort(key)
-    ends = cuts(key[order])
-    return pa.array(key[order][ends[:-1]]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value[order].view(np.int64)))
+def of_texts(keys: np.ndarray, values: np.ndarray, parts: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """Pairs of text and anchor in a row for each group of texts that has some: the groups; texts, how many anchors each has, and these."""
+    group = keys % parts
+    order = np.lexsort((keys, group))
+    keys, values, group = keys[order], values[order].view(np.int64), group[order]
+    at, rows = cuts(group), []
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+        ends = cuts(keys[lo:hi])
+        rows.append((pack(keys[lo:hi][ends[:-1]]), pack(np.diff(ends)), pack(values[lo:hi])))
+    return group[at[:-1]], [pa.array([x[i] for x in rows], pa.binary()) for i in range(3)]
 
 
 def distinct_pairs(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,11 +181,16 @@ def stands_in(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-ASKED = "part long, key long, known array<long>, anchors binary, documents binary, counts binary"
+KNOWN = "prints binary, sizes binary, known binary"
+ASKED = f"part long, {KNOWN}, anchors binary, documents binary, counts binary"
+ANSWERED = f"part long, {KNOWN}, frequent array<long>"
 
 
 def repeated_anchors(docs: DataFrame, parts: int, hot: int) -> DataFrame:
-    """key, anchors: the anchors of a text (named by its print) that others have too; null key: anchors of more than ``hot`` texts. Staged."""
+    """The anchors that a text (named by its print) shares with others: rows of ``of_texts``; and ``frequent``: anchors of more than ``hot`` texts. Staged.
+
+    Texts are answered in as many groups as there are parts: a row for each text and part would be nearly one for each anchor where parts are many.
+    """
 
     def asked(keys: np.ndarray, values: np.ndarray):
         values, keys = distinct_pairs(values, keys)
@@ -188,16 +198,16 @@ def repeated_anchors(docs: DataFrame, parts: int, hot: int) -> DataFrame:
         count = np.diff(ends)
         several = np.repeat(count > 1, count)
         names = [x.split()[0] for x in ASKED.split(", ")]
-        key, known = by_document(keys[several], values[several])
-        nothing = lambda n, kind: pa.nulls(n, kind)
-        yield pa.RecordBatch.from_arrays([pa.array(key.to_numpy() % parts), key, known, *[nothing(len(key), pa.binary())] * 3], names=names)
+        nothing = lambda n: [pa.nulls(n, pa.binary())] * 3
+        group, known = of_texts(keys[several], values[several], parts)
+        yield pa.RecordBatch.from_arrays([pa.array(group), *known, *nothing(len(group))], names=names)
         head, owner = values[ends[:-1]], keys[ends[:-1]]
         part = bucket_of(head, parts)
         at = cuts(part)
         runs = list(zip(at[:-1].tolist(), at[1:].tolist()))
         steps = [pack(np.diff(head[lo:hi], prepend=np.uint64(0))) for lo, hi in runs]
         columns = [pa.array([pack(x[lo:hi].astype(np.int64)) for lo, hi in runs], pa.binary()) for x in (owner, count)]
-        yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]]), nothing(len(runs), pa.int64()), nothing(len(runs), pa.list_(pa.int64())), pa.array(steps, pa.binary()), *columns], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(part[at[:-1]]), *nothing(len(runs)), pa.array(steps, pa.binary()), *columns], names=names)
 
     def ask(batches):
         held, size = [], 0
@@ -213,13 +223,14 @@ def repeated_anchors(docs: DataFrame, parts: int, hot: int) -> DataFrame:
             yield from asked(*(np.concatenate([x[i] for x in held]) for i in (0, 1)))
 
     def answer(batches):
+        names = [x.split()[0] for x in ANSWERED.split(", ")]
         for whole, starts in whole_groups(batches, ["part"]):
             for lo, hi in zip(starts, starts[1:]):
                 rows = whole.slice(lo, hi - lo)
-                mine = rows.filter(rows.column("key").is_valid())
-                for x in mine.select(["key", "known"]).rename_columns(["key", "anchors"]).to_batches():
+                mine = rows.filter(rows.column("known").is_valid()).select(names[:4])
+                for x in mine.append_column("frequent", pa.nulls(mine.num_rows, pa.list_(pa.int64()))).to_batches():
                     yield x
-                rows = rows.filter(rows.column("key").is_null())
+                rows = rows.filter(rows.column("known").is_null())
                 if not rows.num_rows:
                     continue
                 values = np.concatenate([np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in rows.column("anchors").to_pylist()])
@@ -229,15 +240,33 @@ def repeated_anchors(docs: DataFrame, parts: int, hot: int) -> DataFrame:
                 ends = cuts(values)
                 total = np.add.reduceat(count, ends[:-1])
                 several = np.repeat((np.diff(ends) > 1) & (total > 1), np.diff(ends)) & (count == 1)  # with more, the worker knew itself
-                key, known = by_document(owner[several], values[several])
+                group, known = of_texts(owner[several], values[several], parts)
                 frequent = values[ends[:-1]][total > hot].view(np.int64)
                 if len(frequent):
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([frequent], pa.list_(pa.int64()))], names=["key", "anchors"])
-                yield pa.RecordBatch.from_arrays([key, known], names=["key", "anchors"])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 3, pa.array([frequent], pa.list_(pa.int64()))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(group), *known, pa.nulls(len(group), pa.list_(pa.int64()))], names=names)
 
     spark = docs.sparkSession
     dealt = docs.mapInArrow(ask, ASKED).repartition(parts_for(spark, parts, 1), "part").sortWithinPartitions("part")
-    return stage(dealt.mapInArrow(answer, "key long, anchors array<long>"), "repeated-anchors")
+    return stage(dealt.mapInArrow(answer, ANSWERED), "repeated-anchors")
+
+
+def by_text(anchors: DataFrame, parts: int) -> DataFrame:
+    """print, anchors (packed) of each text that shares some."""
+
+    def rows(batches):
+        for whole, starts in whole_groups(batches, ["part"]):
+            for lo, hi in zip(starts, starts[1:]):
+                prints, sizes, known = (np.concatenate([unpack(x) for x in whole.slice(lo, hi - lo).column(c).to_pylist()]) for c in ("prints", "sizes", "known"))
+                prints = np.repeat(prints, sizes)
+                order = np.argsort(prints)
+                prints, known = prints[order], known[order]
+                at = cuts(prints)
+                told = [pack(np.sort(known[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(prints[at[:-1]]), pa.array(told, pa.binary())], names=["print", "anchors"])
+
+    dealt = anchors.where("part is not null").drop("frequent").repartition(parts_for(anchors.sparkSession, parts, 1), "part")
+    return dealt.sortWithinPartitions("part").mapInArrow(rows, "print long, anchors binary")
 
 
 def symbols(strings: list[bytes]) -> np.ndarray:
@@ -381,13 +410,11 @@ def places_of(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
 
 
-def part_minima(held: np.ndarray, transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+def part_minima(held: np.ndarray, before: np.ndarray, owner: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
     """For each shard, the smallest owner of a string with an equal window in its bucket, for each window of its strings in order.
 
-    ``held``: strings of each shard (row) and bucket. Shards are many and may hold little of a bucket: no step is made for each of them.
+    ``held``: strings of each shard (row) and bucket; the others: what the shards tell, one after another. Shards are many and may hold little of a bucket: no step is made for each of them.
     """
-    owner, count = np.concatenate(owners), np.concatenate(counts)
-    before = np.concatenate(transforms)
     strings = np.concatenate([[0], np.cumsum(held)])  # where what a shard holds of a bucket starts
     symbols, windows = (np.concatenate([[0], np.cumsum(x)])[strings] for x in (count + LENGTH, count))
     out = np.empty(int(windows[-1]), np.int64)
@@ -407,7 +434,7 @@ def part_minima(held: np.ndarray, transforms: list[np.ndarray], owners: list[np.
 
 def window_minima(transforms: list[np.ndarray], owners: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
     """``part_minima`` of a single bucket."""
-    return part_minima(np.array([[len(x)] for x in owners]), transforms, owners, counts)
+    return part_minima(np.array([[len(x)] for x in owners]), *map(np.concatenate, (transforms, owners, counts)))
 
 
 SHARD = "shard string, part long, held binary, transform binary, owners binary, counts binary, documents binary, prints binary, of binary, at binary, string binary"
@@ -415,11 +442,10 @@ SHARD = "shard string, part long, held binary, transform binary, owners binary,
 
 def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
     """Transforms of the strings around repeated anchors (a row per shard and part, ``held``: strings of each bucket) and where the strings stand (a row per shard). Staged."""
-    frequent = anchors.where("key is null").select(F.explode("anchors").alias("a"))
+    frequent = anchors.where("part is null").select(F.explode("frequent").alias("a"))
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(frequent, "a"))  # 2 MB whatever the input
-    of_text = anchors.where("key is not null").groupBy(F.col("key").alias("print")).agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
     firsts = docs.groupBy("print").agg(F.min("key").alias("key"))
-    of_doc = of_text.join(firsts, "print")
+    of_doc = by_text(anchors, -(-buckets // TOGETHER)).join(firsts, "print")
 
     def rows(batches):
         bits = np.frombuffer(sent.value, np.uint8)
@@ -429,10 +455,10 @@ def shards(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         def add(part: pa.RecordBatch) -> int:
             texts = unpressed(part)
             text, first, count, value = anchored(texts)
-            lists = part.column("anchors")
-            of = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            known = [unpack(x) for x in part.column("anchors").to_pylist()]
+            of = np.repeat(np.arange(part.num_rows), [len(x) for x in known])
             mark = lambda v, i: mixed(v ^ (i.astype(np.uint64) + np.uint64(1)) * M1)
-            repeated = stands_in(mark(value, text), mark(lists.flatten().to_numpy().view(np.uint64), of))
+            repeated = stands_in(mark(value, text), mark(np.concatenate(known).view(np.uint64), of))
             text, first, count, value = (x[repeated] for x in (text, first, count, value))
             dealt = passes(bits, value)  # each window of frequent anchors is a string of its own
             times = np.where(dealt, count, 1)
@@ -497,9 +523,9 @@ def merged_shards(shards: DataFrame, parts: int) -> DataFrame:
         for whole, starts in whole_groups(batches, ["part"]):
             for lo, hi in zip(starts, starts[1:]):
                 group = whole.slice(lo, hi - lo)
-                read = lambda name, kind=np.int64: [unpack(x, kind) for x in group.column(name).to_pylist()]  # noqa: B023, E731
+                read = lambda name, kind=np.int64: np.concatenate([unpack(x, kind) for x in group.column(name).to_pylist()])  # noqa: B023, E731
                 lengths, values = [], []
-                for least in part_minima(np.stack(read("held")), read("transform", np.uint16), read("owners"), read("counts")):
+                for least in part_minima(read("held").reshape(-1, TOGETHER), read("transform", np.uint16), read("owners"), read("counts")):
                     at = cuts(least)
                     lengths.append(pack(np.diff(at)))
                     values.append(pack(least[at[:-1]]))

@@ -161,8 +161,9 @@ def test_minima_of_a_part():
     owners = [[np.array([rng.randint(0, 99) for _ in x], np.int64) for x in shard] for shard in held]
     counts = [[np.array([len(y) - 49 for y in x], np.int64) for x in shard] for shard in held]
     none = np.empty(0, np.uint16)
-    transforms = [np.concatenate([none, *(suffixes.transform(x) for x in shard if x)]) for shard in held]
-    got = suffixes.part_minima(np.array([[len(x) for x in shard] for shard in held]), transforms, *([np.concatenate(x) for x in y] for y in (owners, counts)))
+    transforms = [[none, *(suffixes.transform(x) for x in shard if x)] for shard in held]
+    joined = [np.concatenate([x for shard in told for x in shard]) for told in (transforms, owners, counts)]
+    got = suffixes.part_minima(np.array([[len(x) for x in shard] for shard in held]), *joined)
     want = [[] for _ in held]
     for b in range(5):
         least = {}
